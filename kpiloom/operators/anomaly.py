@@ -79,20 +79,26 @@ def score_zscore(
     scored = series.select(
         "*",
         F.count("value").over(frame).alias("points"),
+        F.min("value").over(frame).alias("low"),
+        F.max("value").over(frame).alias("high"),
         F.avg("value").over(frame).alias("raw_mean"),
         F.stddev_pop("value").over(frame).alias("raw_sd"),
     )
     known = F.col("points") >= min_points
-    flat = F.col("raw_sd") == 0
-    differs = F.col("value") != F.col("raw_mean")
-    z = (F.col("value") - F.col("raw_mean")) / F.nullif(F.col("raw_sd"), F.lit(0.0))
+    # Flatness and distance from a flat baseline are told from its extremes, which carry no
+    # rounding error of the mean.
+    flat = F.col("low") == F.col("high")
+    differs = F.col("value") != F.col("low")
+    mean = F.when(flat, F.col("low")).otherwise(F.col("raw_mean"))
+    sd = F.when(flat, 0.0).otherwise(F.col("raw_sd"))
+    z = (F.col("value") - mean) / F.nullif(sd, F.lit(0.0))
     return scored.select(
         *SERIES,
         "date",
         "value",
         "points",
-        F.when(known, F.col("raw_mean")).otherwise(0.0).alias("mean"),
-        F.when(known, F.col("raw_sd")).otherwise(0.0).alias("sd"),
+        F.when(known, mean).otherwise(0.0).alias("mean"),
+        F.when(known, sd).otherwise(0.0).alias("sd"),
         F.when(~known, 0.0).when(flat & differs, F.lit(None).cast("double")).when(flat, 0.0).otherwise(z).alias("z"),
         F.when(~known, False).when(flat, differs).otherwise(F.abs(z) > sigma).alias("is_anomaly"),
     )
@@ -226,8 +232,8 @@ def orders_count(mart: DataFrame, method: str = "zscore", lookback: int = LOOKBA
             *alert,
             "is_anomaly",
             F.col("value").alias("current_value"),
-            rounded(F.col("lower_fence"), 4).alias("lower_fence"),
-            rounded(F.col("upper_fence"), 4).alias("upper_fence"),
+            rounded(F.col("lower_fence"), 6).alias("lower_fence"),
+            rounded(F.col("upper_fence"), 6).alias("upper_fence"),
             F.when(F.col("is_anomaly"), "WARNING").otherwise("INFO").alias("severity"),
         )
     return score_zscore(series, SIGMA, lookback).select(
@@ -319,8 +325,8 @@ def scored_metrics(series: DataFrame, method: str = "zscore", lookback: int = LO
             *SERIES,
             "date",
             F.col("value").alias("current_value"),
-            rounded(F.col("lower_fence"), 4).alias("lower_fence"),
-            rounded(F.col("upper_fence"), 4).alias("upper_fence"),
+            rounded(F.col("lower_fence"), 6).alias("lower_fence"),
+            rounded(F.col("upper_fence"), 6).alias("upper_fence"),
             "is_anomaly",
         )
     return score_zscore(series, SIGMA, lookback).select(

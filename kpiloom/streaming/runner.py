@@ -83,7 +83,7 @@ def batches_to_table(
     _finish(stream.writeStream.outputMode(mode).foreachBatch(write), f"{home}/checkpoint")
     if not schemas:
         return transform(spark.createDataFrame([], stream.schema)).withColumn(BATCH, F.lit(0))
-    return spark.read.schema(schemas[-1].add(BATCH, "int")).parquet(f"{home}/out")
+    return spark.read.schema(schemas[-1].add(BATCH, "integer")).parquet(f"{home}/out")
 
 
 def latest(table: DataFrame, keys: list[str]) -> DataFrame:
