@@ -377,10 +377,14 @@ def seasonal(mart: DataFrame, trend_rows: int = 28, lookback: int = LOOKBACK) ->
     """
     days = mart.filter("total_orders > 0").select("date", F.col("total_revenue").alias("value"))
     before = Window.orderBy("date").rowsBetween(-trend_rows, -1)
-    detrended = days.select("date", "value", F.avg("value").over(before).alias("trend")).filter("trend is not null")
     weekday = Window.partitionBy(F.weekday("date"))
-    residual = detrended.withColumn("effect", F.avg(F.col("value") - F.col("trend")).over(weekday)).withColumn(
-        "residual", rounded(F.col("value") - F.col("trend") - F.col("effect"), 4)
+    # Sums are exact (decimal), so means do not depend on the order of the rows.
+    trend = ratio(F.sum(F.col("value").cast("decimal(20,2)")).over(before), F.count("value").over(before))
+    effect = ratio(F.sum(F.col("distance").cast("decimal(20,6)")).over(weekday), F.count("distance").over(weekday))
+    residual = (
+        days.withColumn("distance", F.col("value") - trend)
+        .filter("distance is not null")
+        .withColumn("residual", rounded(F.col("distance") - effect, 2))
     )
     scored = score_zscore(metric(residual, "ecommerce", "revenue_residual", "residual"), SIGMA, lookback)
     return scored.select(

@@ -1110,9 +1110,9 @@ twin(
     ("ecommerce",),
     f"""SELECT date, value AS residual, {r('mean', 4)} AS expected_residual, {r('z', 6)} AS z_score, is_anomaly
 FROM ({_scored(f'''SELECT 'ecommerce' AS domain, 'revenue_residual' AS metric, '' AS entity, date,
-  {r('value - trend - effect', 4)} AS value
-  FROM (SELECT *, avg(value - trend) OVER (PARTITION BY isodow(date)) AS effect
-        FROM (SELECT date, total_revenue AS value,
-                     avg(total_revenue) OVER (ORDER BY date ROWS BETWEEN 28 PRECEDING AND 1 PRECEDING) AS trend
-              FROM ecommerce WHERE total_orders > 0) WHERE trend IS NOT NULL)''')})""",
+  {r('distance - effect', 2)} AS value
+  FROM (SELECT date, distance, {ratio('sum(CAST(distance AS DECIMAL(20,6))) OVER (PARTITION BY isodow(date))', 'count(*) OVER (PARTITION BY isodow(date))')} AS effect
+        FROM (SELECT date, total_revenue - {ratio('sum(CAST(total_revenue AS DECIMAL(20,2))) OVER w', 'count(*) OVER w')} AS distance
+              FROM ecommerce WHERE total_orders > 0 WINDOW w AS (ORDER BY date ROWS BETWEEN 28 PRECEDING AND 1 PRECEDING))
+        WHERE distance IS NOT NULL)''')})""",
 )
