@@ -7,7 +7,7 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from kpiloom.functions.expressions import date_id, flag, percent
+from kpiloom.functions.expressions import date_id, flag, percent, units
 
 
 def products(staged: DataFrame) -> DataFrame:
@@ -28,7 +28,7 @@ def products(staged: DataFrame) -> DataFrame:
 
 def customers(staged: DataFrame, order_totals: DataFrame) -> DataFrame:
     """Customers with the sum of their order totals; 0 for a customer without orders."""
-    value = order_totals.groupBy("customer_id").agg(F.sum("total_amount").alias("lifetime_value"))
+    value = order_totals.groupBy("customer_id").agg(units(F.sum("total_cents")).alias("lifetime_value"))
     return (
         staged.drop("lifetime_value")
         .join(value, "customer_id", "left")
@@ -38,7 +38,7 @@ def customers(staged: DataFrame, order_totals: DataFrame) -> DataFrame:
             "segment",
             "country",
             "region",
-            F.coalesce("lifetime_value", F.lit(0)).alias("lifetime_value"),
+            F.coalesce("lifetime_value", F.lit(0.0)).alias("lifetime_value"),
         )
     )
 

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kpiloom.functions import checks
-from kpiloom.functions.expressions import or_zero, rounded
+from kpiloom.functions.expressions import or_zero, rounded, units
 
 # History lengths, bounds and confidence.
 HISTORY_DAYS = 90
@@ -192,18 +192,18 @@ def cash_flow_days(order_totals: DataFrame, transactions: DataFrame) -> DataFram
     """Money in (orders not cancelled) and out (credits of payments) per day, 0 where a side
     has none."""
     inflow = (
-        order_totals.filter(F.col("order_status") != "cancelled").groupBy("date").agg(F.sum("total_amount").alias("inflow"))
+        order_totals.filter(F.col("order_status") != "cancelled").groupBy("date").agg(units(F.sum("total_cents")).alias("inflow"))
     )
     outflow = (
         transactions.filter(F.col("transaction_type").isin("payment", "expense"))
         .groupBy("date")
-        .agg(F.sum("credit_amount").alias("outflow"))
+        .agg(F.sum("credit_amount").cast("double").alias("outflow"))
     )
     return inflow.join(outflow, "date", "full").select(
         "date",
-        or_zero("inflow").cast("double").alias("inflow"),
-        or_zero("outflow").cast("double").alias("outflow"),
-        (or_zero("inflow") - or_zero("outflow")).cast("double").alias("net_flow"),
+        or_zero("inflow").alias("inflow"),
+        or_zero("outflow").alias("outflow"),
+        rounded(or_zero("inflow") - or_zero("outflow"), 2).alias("net_flow"),
     )
 
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from kpiloom.functions.expressions import date_id, double, flag, or_zero, percent, ratio, rounded
+from kpiloom.functions.expressions import cents, date_id, double, flag, or_zero, percent, ratio, rounded, units
 
 
 def inventory_value(products: DataFrame) -> DataFrame:
@@ -32,9 +32,9 @@ def ecommerce_daily(order_totals: DataFrame, sessions: DataFrame, products: Data
     sales = order_totals.groupBy("date").agg(
         F.sum("order_count").alias("total_orders"),
         F.countDistinct("customer_id").alias("total_customers"),
-        F.sum("total_amount").alias("total_revenue"),
-        F.sum("cost_amount").alias("total_cost"),
-        F.sum(F.col("order_amount") - F.col("cost_amount")).alias("gross_profit"),
+        units(F.sum("total_cents")).alias("total_revenue"),
+        units(F.sum("cost_cents")).alias("total_cost"),
+        units(F.sum(F.col("order_cents") - F.col("cost_cents"))).alias("gross_profit"),
     )
     stock = inventory_value(products).scalar()
     return sales.join(funnel_daily(sessions), "date", "full").select(
@@ -42,9 +42,9 @@ def ecommerce_daily(order_totals: DataFrame, sessions: DataFrame, products: Data
         "date",
         or_zero("total_orders").cast("bigint").alias("total_orders"),
         or_zero("total_customers").cast("bigint").alias("total_customers"),
-        double(or_zero("total_revenue")).alias("total_revenue"),
-        double(or_zero("total_cost")).alias("total_cost"),
-        double(or_zero("gross_profit")).alias("gross_profit"),
+        or_zero("total_revenue").alias("total_revenue"),
+        or_zero("total_cost").alias("total_cost"),
+        or_zero("gross_profit").alias("gross_profit"),
         or_zero(rounded(ratio(F.col("total_revenue"), F.col("total_orders")), 2)).alias("average_order_value"),
         "conversion_rate",
         "cart_abandonment_rate",
@@ -60,7 +60,7 @@ def supply_chain_daily(deliveries: DataFrame) -> DataFrame:
             F.count("delivery_id").alias("total_deliveries"),
             on_time.alias("on_time_deliveries"),
             percent(on_time, F.count("is_on_time")).alias("on_time_delivery_pct"),
-            double(F.sum("total_cost")).alias("total_procurement_cost"),
+            units(F.sum(cents("total_cost"))).alias("total_procurement_cost"),
             rounded(F.avg("lead_time_days"), 2).alias("average_lead_time_days"),
             percent(F.sum(flag(F.col("is_quality_pass"))), F.count("is_quality_pass")).alias("supplier_quality_score"),
         )
@@ -76,7 +76,7 @@ def financial_daily(transactions: DataFrame, budget_actuals: DataFrame, order_to
     )
     budget = budget_actuals.groupBy("date").agg(F.sum("variance_amount").alias("variance"))
     margin = order_totals.groupBy("date").agg(
-        percent(F.sum(F.col("order_amount") - F.col("cost_amount")), F.sum("order_amount")).alias("gross_margin_pct")
+        percent(F.sum(F.col("order_cents") - F.col("cost_cents")), F.sum("order_cents")).alias("gross_margin_pct")
     )
     net = or_zero("revenue") - or_zero("expense")
     # One row per day: the running total is over the calendar, not over the ledger.
@@ -104,8 +104,8 @@ def unified_daily(
     """Cross-domain day: shop revenue per active supplier, profit per product, stock to sales,
     and the mean lead time of what was ordered that day."""
     sales = order_totals.groupBy("date").agg(
-        F.sum("total_amount").alias("revenue"),
-        F.sum(F.col("order_amount") - F.col("cost_amount")).alias("profit"),
+        units(F.sum("total_cents")).alias("revenue"),
+        units(F.sum(F.col("order_cents") - F.col("cost_cents"))).alias("profit"),
     )
     cycle = deliveries.groupBy(F.col("order_date").alias("date")).agg(
         rounded(F.avg("lead_time_days"), 0).cast("int").alias("cycle_days")
@@ -133,7 +133,7 @@ def rollup_category_day(product_sales: DataFrame, products: DataFrame) -> DataFr
     by_day = (
         product_sales.join(products.select("product_id", "category"), "product_id")
         .groupBy("category", "date")
-        .agg(F.sum("order_count").alias("orders"), F.sum("quantity").alias("quantity"), F.sum("revenue").alias("revenue"))
+        .agg(F.sum("order_count").alias("orders"), F.sum("quantity").alias("quantity"), F.sum("revenue_cents").alias("revenue"))
     )
     return (
         by_day.rollup("category", "date")
@@ -141,7 +141,7 @@ def rollup_category_day(product_sales: DataFrame, products: DataFrame) -> DataFr
             F.grouping_id().cast("int").alias("level"),
             F.sum("orders").cast("bigint").alias("total_orders"),
             F.sum("quantity").cast("bigint").alias("total_quantity"),
-            double(F.sum("revenue")).alias("total_revenue"),
+            units(F.sum("revenue")).alias("total_revenue"),
         )
         .select("level", "category", "date", "total_orders", "total_quantity", "total_revenue")
     )

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from kpiloom.functions import checks
-from kpiloom.functions.expressions import double, flag, percent, ratio, rounded
+from kpiloom.functions.expressions import double, flag, percent, rounded, units
 
 
 def revenue_by_product(product_sales: DataFrame, products: DataFrame) -> DataFrame:
@@ -16,8 +16,8 @@ def revenue_by_product(product_sales: DataFrame, products: DataFrame) -> DataFra
     sums = product_sales.groupBy("product_id").agg(
         F.sum("order_count").cast("bigint").alias("orders"),
         F.sum("quantity").cast("bigint").alias("quantity"),
-        double(F.sum("revenue")).alias("revenue"),
-        double(F.sum(F.col("revenue") - F.col("cost"))).alias("profit"),
+        units(F.sum("revenue_cents")).alias("revenue"),
+        units(F.sum(F.col("revenue_cents") - F.col("cost_cents"))).alias("profit"),
     )
     return sums.join(products.select("product_id", "product_name", "category"), "product_id")
 
@@ -30,7 +30,7 @@ def top_products(product_sales: DataFrame, products: DataFrame, days: int = 30,
     best = (
         product_sales.filter(F.col("date") > F.date_sub(newest, days))
         .groupBy("product_id")
-        .agg(F.sum("revenue").alias("revenue"), F.sum("quantity").alias("quantity"))
+        .agg(F.sum("revenue_cents").alias("revenue"), F.sum("quantity").alias("quantity"))
         .orderBy(F.desc("revenue"), F.asc("product_id"))
         .limit(limit)
     )
@@ -40,7 +40,7 @@ def top_products(product_sales: DataFrame, products: DataFrame, days: int = 30,
         rank.alias("rank"),
         "product_id",
         "product_name",
-        double("revenue").alias("revenue"),
+        units("revenue").alias("revenue"),
         F.col("quantity").cast("bigint").alias("quantity"),
     )
 

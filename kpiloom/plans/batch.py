@@ -1,4 +1,4 @@
-"""The nightly batch: dimensions, facts, marts, quality log and audit, in that order."""
+"""The nightly batch: quality log, dimensions, facts, marts and audit, in that order."""
 
 from __future__ import annotations
 
@@ -7,6 +7,7 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from kpiloom.functions.expressions import cents
 from kpiloom.operators import dimensions, facts, loads, marts, quality
 from kpiloom.sources import staging, warehouse
 
@@ -32,6 +33,15 @@ def referential_checks(
     )
 
 
+def staging_checks(
+    order_lines: DataFrame, order_headers: DataFrame, deliveries: DataFrame, transactions: DataFrame
+) -> DataFrame:
+    """The checks that staging must pass before it is loaded."""
+    return quality.union(
+        quality.orders(order_lines, order_headers), quality.deliveries(deliveries), quality.transactions(transactions)
+    )
+
+
 class _Run:
     """Writes tables under one folder and keeps an audit row for each."""
 
@@ -71,21 +81,32 @@ def fact_order_totals(fact_orders: DataFrame) -> DataFrame:
         fact_orders.groupBy("order_id", "customer_id", "order_date_id", "order_status")
         .agg(
             F.count(F.lit(1)).alias("order_count"),
-            F.sum("order_amount").alias("order_amount"),
-            F.sum("total_amount").alias("total_amount"),
-            F.sum("cost_amount").alias("cost_amount"),
+            F.sum(cents("order_amount")).alias("order_cents"),
+            F.sum(cents("total_amount")).alias("total_cents"),
+            F.sum(cents("cost_amount")).alias("cost_cents"),
         )
         .withColumn("date", F.to_date(F.col("order_date_id").cast("string"), "yyyyMMdd"))
     )
 
 
-def run_batch(spark: SparkSession, src: str, out: str) -> None:
-    """Load a whole warehouse into ``out``. Running it again gives the same tables.
+def run_batch(spark: SparkSession, src: str, out: str, strict: bool = True) -> None:
+    """Validate staging, then load a whole warehouse into ``out``. Running it again gives the
+    same tables. With ``strict`` a failed check stops the batch before anything is loaded.
 
     Each table is written once and counted by its own write; later steps read the stored
     tables, so a lost executor costs one step and never the chain before it.
     """
     run = _Run(spark, out)
+    checks = staging_checks(
+        staging.order_lines(spark, src),
+        staging.order_headers(spark, src),
+        staging.deliveries(spark, src),
+        staging.transactions(spark, src),
+    )
+    logged = run.table("data_quality_log", checks.withColumn("run_timestamp", F.current_timestamp()))
+    if strict:
+        quality.raise_on_failure(logged)
+
     products = run.table("dim_products", dimensions.products(staging.products(spark, src)))
     run.table("dim_gl_accounts", dimensions.gl_accounts(staging.gl_accounts(spark, src)))
     days = staging.raw(spark, src, "orders").select(F.to_date("o_orderdate").alias("date"))
@@ -108,11 +129,4 @@ def run_batch(spark: SparkSession, src: str, out: str) -> None:
     run.table("supply_chain_daily_metrics", marts.supply_chain_daily(deliveries))
     run.table("financial_daily_metrics", marts.financial_daily(ledger, budget, totals))
     run.table("unified_kpi_metrics", marts.unified_daily(totals, deliveries, suppliers, products))
-
-    checks = quality.union(
-        quality.orders(orders),
-        quality.deliveries(deliveries),
-        quality.transactions(ledger),
-    )
-    run.table("data_quality_log", checks.withColumn("run_timestamp", F.current_timestamp()))
     run.close()

@@ -287,7 +287,7 @@ def forecast_cash_flow(spark, src):
 
 @query
 def dq_orders(spark, src):
-    return quality.orders(staging.orders(spark, src))
+    return quality.orders(staging.order_lines(spark, src), staging.order_headers(spark, src))
 
 
 @query
@@ -348,7 +348,7 @@ def _enum_checks(spark, src):
 @query
 def dq_log(spark, src):
     checks = quality.union(
-        quality.orders(staging.orders(spark, src)),
+        dq_orders(spark, src),
         quality.deliveries(staging.deliveries(spark, src)),
         quality.transactions(staging.transactions(spark, src)),
         quality.duplicate_summary(staging.order_lines(spark, src), "stg_orders", ["order_id", "line_number"]),

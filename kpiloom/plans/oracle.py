@@ -387,10 +387,11 @@ def _outside(column: str, *domain: str) -> str:
     return f"{column} NOT IN ({', '.join(repr(v) for v in domain)})"
 
 
-CHECKS_ORDERS = _check(
-    "stg_orders",
-    "stg_orders",
-    {"null_order_id": "order_id IS NULL", "null_customer_id": "customer_id IS NULL", "negative_amounts": "total_amount < 0"},
+CHECKS_ORDERS = " UNION ALL ".join(
+    (
+        _check("lines", "stg_orders", {"null_order_id": "order_id IS NULL", "negative_amounts": "total_amount < 0"}),
+        _check("heads", "stg_orders", {"null_customer_id": "customer_id IS NULL"}),
+    )
 )
 CHECKS_DELIVERIES = _check("stg_deliveries", "stg_deliveries", {"over_deliveries": "quantity_delivered > quantity_ordered"})
 CHECKS_TRANSACTIONS = _check(
@@ -790,7 +791,7 @@ FROM (SELECT day, fit, greatest(il + isl * day, 0) AS i, greatest(ol + osl * day
 
 # --- quality and loads -----------------------------------------------------------------------
 
-twin("dq_orders", ("stg_orders",), CHECKS_ORDERS)
+twin("dq_orders", ("lines", "heads"), CHECKS_ORDERS)
 twin("dq_deliveries", ("stg_deliveries",), CHECKS_DELIVERIES)
 twin("dq_transactions", ("fact_transactions",), CHECKS_TRANSACTIONS)
 twin(

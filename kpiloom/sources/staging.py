@@ -13,7 +13,7 @@ from decimal import Decimal
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kpiloom.functions.expressions import LEDGER_MONEY, MONEY, date_id, flag
+from kpiloom.functions.expressions import LEDGER_MONEY, MONEY, cents, date_id, flag
 from kpiloom.sources.schemas import RAW
 
 COST_SHARE = Decimal("0.60")
@@ -172,16 +172,16 @@ def order_totals(
     """Orders summed to one row each, *before* the join with their heads.
 
     Daily sums need no single line, so the lines are reduced on the map side first: the join
-    then sees one row per order, however many lines a hot order has.
+    then sees one row per order, however many lines a hot order has. Amounts are in cents.
     """
     sums = (
         order_lines(spark, src)
         .groupBy("order_id")
         .agg(
             F.count(F.lit(1)).alias("order_count"),
-            F.sum("order_amount").alias("order_amount"),
-            F.sum("total_amount").alias("total_amount"),
-            F.sum("cost_amount").alias("cost_amount"),
+            F.sum(cents("order_amount")).alias("order_cents"),
+            F.sum(cents("total_amount")).alias("total_cents"),
+            F.sum(cents("cost_amount")).alias("cost_cents"),
         )
     )
     heads = order_headers(spark, src, start, end).select(
@@ -191,7 +191,7 @@ def order_totals(
 
 
 def daily_product_sales(spark: SparkSession, src: str) -> DataFrame:
-    """Quantity, revenue, cost and lines per product and order day."""
+    """Quantity, revenue, cost (in cents) and lines per product and order day."""
     heads = order_headers(spark, src).select("order_id", F.to_date("order_date").alias("date"))
     return (
         order_lines(spark, src)
@@ -200,8 +200,8 @@ def daily_product_sales(spark: SparkSession, src: str) -> DataFrame:
         .agg(
             F.count(F.lit(1)).alias("order_count"),
             F.sum(F.col("quantity").cast("bigint")).alias("quantity"),
-            F.sum("total_amount").alias("revenue"),
-            F.sum("cost_amount").alias("cost"),
+            F.sum(cents("total_amount")).alias("revenue_cents"),
+            F.sum(cents("cost_amount")).alias("cost_cents"),
         )
     )
 
@@ -236,7 +236,7 @@ def deliveries(spark: SparkSession, src: str) -> DataFrame:
     lead = (1 + (F.col("l_orderkey") * 31 + F.col("l_partkey") * 17 + F.col("l_linenumber")) % 45).cast("int")
     total = (F.col("l_extendedprice").cast(MONEY) * F.lit(COST_SHARE)).cast(MONEY)
     # Cost per unit in whole cents, half up, by integer division.
-    cents = F.expr("(2 * cast(total_cost * 100 as bigint) + quantity_ordered) div (2 * quantity_ordered)")
+    unit_cents = F.expr("(2 * cast(total_cost * 100 as bigint) + quantity_ordered) div (2 * quantity_ordered)")
     return (
         raw(spark, src, "lineitem")
         .select(
@@ -253,7 +253,7 @@ def deliveries(spark: SparkSession, src: str) -> DataFrame:
             (F.col("l_returnflag") != "R").alias("is_quality_pass"),
             F.col("l_linestatus"),
         )
-        .withColumn("unit_cost", (cents.cast("decimal(14,0)") / 100).cast(MONEY))
+        .withColumn("unit_cost", (unit_cents.cast("decimal(14,0)") / 100).cast(MONEY))
         .withColumn("order_date", F.date_sub("delivery_date", F.col("staged_lead")))
         .withColumn("promised_date", F.date_add("order_date", PROMISE_DAYS))
         .withColumn(
