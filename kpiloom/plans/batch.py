@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timezone
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -48,27 +50,30 @@ class _Run:
     def __init__(self, spark: SparkSession, out: str):
         self.spark, self.out, self.rows = spark, out, []
 
-    def _audited(self, table: str, write) -> None:
+    def _audited(self, table: str, write) -> DataFrame:
+        path = f"{self.out}/{table}"
         start = datetime.now(timezone.utc)
         try:
-            count = write()
+            count = write(path)
         except Exception as failure:
             self.rows.append((PROCESS, SOURCE, table, None, "FAILED", start, datetime.now(timezone.utc), str(failure)))
-            self.close()
             raise
         self.rows.append((PROCESS, SOURCE, table, count, "SUCCESS", start, datetime.now(timezone.utc), None))
+        return warehouse.read(self.spark, path)
 
     def table(self, name: str, df: DataFrame) -> DataFrame:
-        path = f"{self.out}/{name}"
-        self._audited(
-            name, lambda: loads.counted_write(facts.with_load_times(df), lambda d: warehouse.overwrite(d, path))
-        )
-        return warehouse.read(self.spark, path)
+        def write(path: str) -> int:
+            return loads.counted_write(facts.with_load_times(df), lambda d: warehouse.overwrite(d, path))
+
+        return self._audited(name, write)
 
     def fact(self, name: str, df: DataFrame, date_id: str) -> DataFrame:
-        path = f"{self.out}/{name}"
-        self._audited(name, lambda: loads.append_fact(facts.with_load_times(df), path, date_id))
-        return warehouse.read(self.spark, path)
+        return self._audited(name, lambda path: loads.append_fact(facts.with_load_times(df), path, date_id))
+
+    def together(self, *steps) -> list[DataFrame]:
+        """Steps that do not need each other, as concurrent jobs of the one session."""
+        with ThreadPoolExecutor(len(steps)) as pool:
+            return [done.result() for done in [pool.submit(inheritable_thread_target(self.spark)(step)) for step in steps]]
 
     def close(self) -> None:
         audit = self.spark.createDataFrame(self.rows, loads.AUDIT)
@@ -97,6 +102,14 @@ def run_batch(spark: SparkSession, src: str, out: str, strict: bool = True) -> N
     tables, so a lost executor costs one step and never the chain before it.
     """
     run = _Run(spark, out)
+    try:
+        _validate(run, spark, src, strict)
+        _load(run, spark, src)
+    finally:
+        run.close()
+
+
+def _validate(run: _Run, spark: SparkSession, src: str, strict: bool) -> None:
     checks = staging_checks(
         staging.order_lines(spark, src),
         staging.order_headers(spark, src),
@@ -107,26 +120,35 @@ def run_batch(spark: SparkSession, src: str, out: str, strict: bool = True) -> N
     if strict:
         quality.raise_on_failure(logged)
 
-    products = run.table("dim_products", dimensions.products(staging.products(spark, src)))
-    run.table("dim_gl_accounts", dimensions.gl_accounts(staging.gl_accounts(spark, src)))
+
+def _load(run: _Run, spark: SparkSession, src: str) -> None:
     days = staging.raw(spark, src, "orders").select(F.to_date("o_orderdate").alias("date"))
-    run.table("dim_dates", dimensions.dates_spanning(days))
-
-    orders = run.fact("fact_orders", facts.orders(staging.orders(spark, src)), "order_date_id")
-    deliveries = run.fact("fact_deliveries", facts.deliveries(staging.deliveries(spark, src)), "delivery_date_id")
-    ledger = run.fact("fact_transactions", facts.transactions(staging.transactions(spark, src)), "transaction_date_id")
-    budget = run.fact(
-        "fact_budget_actuals",
-        facts.budget_actuals(staging.budgets(spark, src), staging.actuals(spark, src)),
-        "date_id",
+    orders, deliveries, ledger, budget, products, _, _ = run.together(
+        lambda: run.fact("fact_orders", facts.orders(staging.orders(spark, src)), "order_date_id"),
+        lambda: run.fact("fact_deliveries", facts.deliveries(staging.deliveries(spark, src)), "delivery_date_id"),
+        lambda: run.fact(
+            "fact_transactions", facts.transactions(staging.transactions(spark, src)), "transaction_date_id"
+        ),
+        lambda: run.fact(
+            "fact_budget_actuals",
+            facts.budget_actuals(staging.budgets(spark, src), staging.actuals(spark, src)),
+            "date_id",
+        ),
+        lambda: run.table("dim_products", dimensions.products(staging.products(spark, src))),
+        lambda: run.table("dim_gl_accounts", dimensions.gl_accounts(staging.gl_accounts(spark, src))),
+        lambda: run.table("dim_dates", dimensions.dates_spanning(days)),
     )
-
     totals = fact_order_totals(orders)
-    run.table("dim_customers", dimensions.customers(staging.customers(spark, src), totals))
-    suppliers = run.table("dim_suppliers", dimensions.suppliers(staging.suppliers(spark, src), deliveries))
-
-    run.table("ecommerce_daily_metrics", marts.ecommerce_daily(totals, staging.sessions(spark, src), products))
-    run.table("supply_chain_daily_metrics", marts.supply_chain_daily(deliveries))
-    run.table("financial_daily_metrics", marts.financial_daily(ledger, budget, totals))
-    run.table("unified_kpi_metrics", marts.unified_daily(totals, deliveries, suppliers, products))
-    run.close()
+    staged_suppliers = staging.suppliers(spark, src)
+    run.together(
+        lambda: run.table("dim_customers", dimensions.customers(staging.customers(spark, src), totals)),
+        lambda: run.table("dim_suppliers", dimensions.suppliers(staged_suppliers, deliveries)),
+        lambda: run.table(
+            "ecommerce_daily_metrics", marts.ecommerce_daily(totals, staging.sessions(spark, src), products)
+        ),
+        lambda: run.table("supply_chain_daily_metrics", marts.supply_chain_daily(deliveries)),
+        lambda: run.table("financial_daily_metrics", marts.financial_daily(ledger, budget, totals)),
+        lambda: run.table(
+            "unified_kpi_metrics", marts.unified_daily(totals, deliveries, staged_suppliers, products)
+        ),
+    )

@@ -22,13 +22,19 @@ JOB_SETTINGS = {
     "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
 }
 
+#: Settings that only a new session takes.
+START_SETTINGS = {
+    # Call sites of column expressions are not recorded: that takes much of the time to build a plan.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
+}
+
 
 def build_session(app: str = "kpiloom", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the job settings; ``conf`` wins over them."""
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for key, value in {**JOB_SETTINGS, **conf}.items():
+    for key, value in {**JOB_SETTINGS, **START_SETTINGS, **conf}.items():
         builder = builder.config(key, value)
     return tune(builder.getOrCreate())
 

@@ -195,6 +195,7 @@ def test_failed_step_is_audited(spark, tmp_path):
     broken = spark.range(3).select(F.raise_error(F.lit("broken input")).alias("x"))
     with pytest.raises(Exception, match="broken input"):
         run.table("t", broken)
+    run.close()
     row = warehouse.read(spark, f"{tmp_path}/dw_load_audit").first()
     assert (row["table_name"], row["status"]) == ("t", "FAILED") and "broken input" in row["error_message"]
 
