@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kpiloom.functions import checks
@@ -22,13 +22,15 @@ def revenue_by_product(product_sales: DataFrame, products: DataFrame) -> DataFra
     return sums.join(products.select("product_id", "product_name", "category"), "product_id")
 
 
-def top_products(product_sales: DataFrame, products: DataFrame, days: int = 30, limit: int = 10) -> DataFrame:
-    """Products by revenue over the last ``days`` days; equal revenue goes to the lower id."""
+def top_products(
+    product_sales: DataFrame, products: DataFrame, as_of: date | Column, days: int = 30, limit: int = 10
+) -> DataFrame:
+    """Products by revenue over the ``days`` days up to ``as_of``; equal revenue goes to the lower id."""
     checks.days(days)
     checks.limit(limit)
-    newest = product_sales.agg(F.max("date")).scalar()
+    newest = as_of if isinstance(as_of, Column) else F.lit(as_of)
     best = (
-        product_sales.filter(F.col("date") > F.date_sub(newest, days))
+        product_sales.filter(F.col("date").between(F.date_sub(newest, days - 1), newest))
         .groupBy("product_id")
         .agg(F.sum("revenue_cents").alias("revenue"), F.sum("quantity").alias("quantity"))
         .orderBy(F.desc("revenue"), F.asc("product_id"))

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kpiloom import session
+from kpiloom.functions import checks
 from kpiloom.functions.expressions import double
 from kpiloom.operators import anomaly, dimensions, facts, forecast, loads, marts, quality, reports, serving
 from kpiloom.plans import batch, frames
@@ -128,7 +129,7 @@ def customers_approx_daily(spark, src):
 
 # --- serving ---------------------------------------------------------------------------------
 
-FIRST_DAY, LAST_DAY = "1996-01-01", "1998-12-31"
+RANGE = checks.date_range("1996-01-01", "1998-12-31")
 
 
 @query
@@ -147,9 +148,7 @@ def ecommerce_metrics_monthly(spark, src):
 
 
 def _shop_range(spark, src, granularity):
-    first, last = serving.checks.date_range(FIRST_DAY, LAST_DAY)
-    mart = frames.ecommerce(spark, src, first, last)
-    return serving.ecommerce_metrics(mart, first, last, granularity)
+    return serving.ecommerce_metrics(frames.ecommerce(spark, src, *RANGE), *RANGE, granularity)
 
 
 @query
@@ -159,7 +158,7 @@ def conversion_rate_stats(spark, src):
 
 @query
 def supply_chain_metrics_range(spark, src):
-    return serving.metrics_range(frames.supply_chain(spark, src), serving.SUPPLY_CHAIN, FIRST_DAY, LAST_DAY)
+    return serving.metrics_range(frames.supply_chain(spark, src, *RANGE), serving.SUPPLY_CHAIN, *RANGE)
 
 
 @query
@@ -169,7 +168,7 @@ def supplier_performance(spark, src):
 
 @query
 def financial_metrics_range(spark, src):
-    return serving.metrics_range(frames.financial(spark, src), serving.FINANCIAL, FIRST_DAY, LAST_DAY)
+    return serving.metrics_range(frames.financial(spark, src, *RANGE), serving.FINANCIAL, *RANGE)
 
 
 @query
@@ -180,7 +179,7 @@ def budget_vs_actual(spark, src):
 
 @query
 def unified_kpis_range(spark, src):
-    return serving.metrics_range(frames.unified(spark, src), serving.UNIFIED, FIRST_DAY, LAST_DAY)
+    return serving.metrics_range(frames.unified(spark, src, *RANGE), serving.UNIFIED, *RANGE)
 
 
 @query
@@ -347,7 +346,7 @@ def _enum_checks(spark, src):
 
 @query
 def dq_log(spark, src):
-    checks = quality.union(
+    found = quality.union(
         dq_orders(spark, src),
         quality.deliveries(staging.deliveries(spark, src)),
         quality.transactions(staging.transactions(spark, src)),
@@ -356,7 +355,7 @@ def dq_log(spark, src):
         dq_range_checks(spark, src),
         _enum_checks(spark, src),
     )
-    return quality.overall(checks)
+    return quality.overall(found)
 
 
 @query
@@ -436,7 +435,9 @@ for _build in (
 
 @query
 def top_products(spark, src):
-    return reports.top_products(staging.daily_product_sales(spark, src), frames.dim_products(spark, src))
+    newest, days = staging.newest_order_day(spark, src), 30
+    sales = staging.daily_product_sales(spark, src, start=F.date_sub(newest, days - 1))
+    return reports.top_products(sales, frames.dim_products(spark, src), newest, days)
 
 
 @query

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import DataFrame, SparkSession
 
 from kpiloom.operators import dimensions, facts, marts
@@ -12,12 +14,12 @@ def fact_orders(spark: SparkSession, src: str) -> DataFrame:
     return facts.orders(staging.orders(spark, src))
 
 
-def fact_deliveries(spark: SparkSession, src: str) -> DataFrame:
-    return facts.deliveries(staging.deliveries(spark, src))
+def fact_deliveries(spark: SparkSession, src: str, start=None, end=None) -> DataFrame:
+    return facts.deliveries(staging.deliveries(spark, src, start, end))
 
 
-def fact_transactions(spark: SparkSession, src: str) -> DataFrame:
-    return facts.transactions(staging.transactions(spark, src))
+def fact_transactions(spark: SparkSession, src: str, start=None, end=None) -> DataFrame:
+    return facts.transactions(staging.transactions(spark, src, start, end))
 
 
 def fact_budget_actuals(spark: SparkSession, src: str) -> DataFrame:
@@ -42,20 +44,26 @@ def ecommerce(spark: SparkSession, src: str, start=None, end=None) -> DataFrame:
     )
 
 
-def supply_chain(spark: SparkSession, src: str) -> DataFrame:
-    return marts.supply_chain_daily(fact_deliveries(spark, src))
+def supply_chain(spark: SparkSession, src: str, start=None, end=None) -> DataFrame:
+    return marts.supply_chain_daily(fact_deliveries(spark, src, start, end))
 
 
-def financial(spark: SparkSession, src: str) -> DataFrame:
+def financial(spark: SparkSession, src: str, start=None, end=None) -> DataFrame:
+    """With a range, the cash position counts from its first day."""
     return marts.financial_daily(
-        fact_transactions(spark, src), fact_budget_actuals(spark, src), staging.order_totals(spark, src)
+        fact_transactions(spark, src, start, end),
+        fact_budget_actuals(spark, src),
+        staging.order_totals(spark, src, start, end),
     )
 
 
-def unified(spark: SparkSession, src: str) -> DataFrame:
+def unified(spark: SparkSession, src: str, start=None, end=None) -> DataFrame:
+    """With a range, only the days inside it are whole; what was ordered on them is delivered
+    up to the longest lead time later."""
+    last_delivery = end and end + timedelta(days=staging.MAX_LEAD_DAYS)
     return marts.unified_daily(
-        staging.order_totals(spark, src),
-        fact_deliveries(spark, src),
+        staging.order_totals(spark, src, start, end),
+        fact_deliveries(spark, src, start, last_delivery),
         staging.suppliers(spark, src),
         dim_products(spark, src),
     )

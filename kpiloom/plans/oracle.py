@@ -900,11 +900,15 @@ FROM fact_transactions GROUP BY date, transaction_type""",
 )
 twin(
     "stream_multi_topic_route",
-    ("stg_orders", "fact_deliveries", "fact_transactions"),
+    ("stg_orders", "fact_deliveries", "fact_transactions", "fact_budget_actuals"),
     f"""SELECT topic, count(*) AS messages, count(DISTINCT key) AS keys, {dbl('sum(amount)')} AS amount
 FROM (SELECT 'ecommerce.orders' AS topic, order_id AS key, total_amount AS amount FROM stg_orders
       UNION ALL SELECT 'supply_chain.deliveries', delivery_id, total_cost FROM fact_deliveries
-      UNION ALL SELECT 'financials.transactions', transaction_id, net_amount FROM fact_transactions)
+      UNION ALL SELECT 'financials.transactions', transaction_id, net_amount FROM fact_transactions
+      UNION ALL SELECT 'financials.budgets', budget_id, budget_amount FROM fact_budget_actuals WHERE budget_id IS NOT NULL
+      UNION ALL SELECT 'financials.actuals', date_id * 10 + CAST(left(gl_account_id, 1) AS INTEGER), actual_amount
+        FROM fact_budget_actuals WHERE actual_amount IS NOT NULL
+      UNION ALL SELECT 'ecommerce.inventory', user_id, {STOCK} FROM events)
 GROUP BY topic""",
 )
 AMOUNT = "CAST(value AS DECIMAL(12,2))"
@@ -991,11 +995,11 @@ FROM (SELECT date_trunc('hour', ts) AS h,
 
 twin(
     "top_products",
-    ("sales", "stg_products"),
+    ("sales", "heads", "stg_products"),
     f"""SELECT CAST(row_number() OVER (ORDER BY v DESC, product_id) AS INTEGER) AS rank, product_id, product_name,
        {dbl('v')} AS revenue, q AS quantity
 FROM (SELECT product_id, sum(revenue) AS v, {big('sum(quantity)')} AS q FROM sales
-      WHERE date > (SELECT max(date) FROM sales) - 30 GROUP BY product_id ORDER BY v DESC, product_id LIMIT 10)
+      WHERE date > (SELECT max(date) FROM heads) - 30 GROUP BY product_id ORDER BY v DESC, product_id LIMIT 10)
 JOIN stg_products USING (product_id)""",
 )
 twin(

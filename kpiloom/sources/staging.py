@@ -10,7 +10,7 @@ from __future__ import annotations
 from datetime import date, timedelta
 from decimal import Decimal
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kpiloom.functions.expressions import LEDGER_MONEY, MONEY, cents, date_id, flag
@@ -19,6 +19,7 @@ from kpiloom.sources.schemas import RAW
 COST_SHARE = Decimal("0.60")
 PLANNED_ORDER_VALUE = 225_000
 PROMISE_DAYS = 30
+MAX_LEAD_DAYS = 45
 #: The click stream is dated January 2024, the orders end on 2001-08-01. Funnel days are
 #: moved back by this fixed number of days, so that they fall on the last 30 order days.
 CLICKSTREAM_SHIFT_DAYS = 8217
@@ -28,6 +29,26 @@ def raw(spark: SparkSession, src: str, table: str) -> DataFrame:
     return spark.read.schema(RAW[table]).parquet(f"{src}/{table}.parquet")
 
 
+Day = date | Column | None
+
+
+def in_days(df: DataFrame, moment: str, start: Day, end: Day) -> DataFrame:
+    """Rows whose timestamp falls on the days ``start`` to ``end``, both included; either may be
+    open or a column such as a scalar subquery. The raw column is compared as it stands, so
+    the range reaches the file scan."""
+    if start is not None:
+        df = df.filter(F.col(moment) >= _midnight(start, 0))
+    if end is not None:
+        df = df.filter(F.col(moment) < _midnight(end, 1))
+    return df
+
+
+def _midnight(day: date | Column, days_later: int) -> Column:
+    if isinstance(day, date):
+        return F.lit(day + timedelta(days=days_later)).cast("timestamp_ntz")
+    return F.date_add(day, days_later).cast("timestamp_ntz")
+
+
 # --- dimensions ------------------------------------------------------------------------------
 
 
@@ -130,15 +151,8 @@ def order_lines(spark: SparkSession, src: str) -> DataFrame:
     )
 
 
-def order_headers(
-    spark: SparkSession, src: str, start: date | None = None, end: date | None = None
-) -> DataFrame:
-    """Order heads; a date range is put on the raw timestamp, so that it reaches the scan."""
-    heads = raw(spark, src, "orders")
-    if start is not None:
-        heads = heads.filter(F.col("o_orderdate") >= F.lit(start).cast("timestamp_ntz"))
-    if end is not None:
-        heads = heads.filter(F.col("o_orderdate") < F.lit(end + timedelta(days=1)).cast("timestamp_ntz"))
+def order_headers(spark: SparkSession, src: str, start: Day = None, end: Day = None) -> DataFrame:
+    heads = in_days(raw(spark, src, "orders"), "o_orderdate", start, end)
     status = F.col("o_orderstatus")
     cancelled = (status == "P") & (F.col("o_orderpriority") == "5-LOW")
     return heads.select(
@@ -155,9 +169,12 @@ def order_headers(
     )
 
 
-def orders(
-    spark: SparkSession, src: str, start: date | None = None, end: date | None = None
-) -> DataFrame:
+def newest_order_day(spark: SparkSession, src: str) -> Column:
+    """The last order date, as a scalar subquery over one column."""
+    return raw(spark, src, "orders").agg(F.to_date(F.max("o_orderdate"))).scalar()
+
+
+def orders(spark: SparkSession, src: str, start: Day = None, end: Day = None) -> DataFrame:
     """Staged orders: one row per order line, since an order event carries one product."""
     return (
         order_lines(spark, src)
@@ -166,9 +183,7 @@ def orders(
     )
 
 
-def order_totals(
-    spark: SparkSession, src: str, start: date | None = None, end: date | None = None
-) -> DataFrame:
+def order_totals(spark: SparkSession, src: str, start: Day = None, end: Day = None) -> DataFrame:
     """Orders summed to one row each, *before* the join with their heads.
 
     Daily sums need no single line, so the lines are reduced on the map side first: the join
@@ -190,9 +205,9 @@ def order_totals(
     return sums.join(heads, "order_id")
 
 
-def daily_product_sales(spark: SparkSession, src: str) -> DataFrame:
+def daily_product_sales(spark: SparkSession, src: str, start: Day = None) -> DataFrame:
     """Quantity, revenue, cost (in cents) and lines per product and order day."""
-    heads = order_headers(spark, src).select("order_id", F.to_date("order_date").alias("date"))
+    heads = order_headers(spark, src, start).select("order_id", F.to_date("order_date").alias("date"))
     return (
         order_lines(spark, src)
         .join(heads, "order_id")
@@ -228,17 +243,17 @@ def sessions(spark: SparkSession, src: str) -> DataFrame:
 # --- supply chain ----------------------------------------------------------------------------
 
 
-def deliveries(spark: SparkSession, src: str) -> DataFrame:
+def deliveries(spark: SparkSession, src: str, start: Day = None, end: Day = None) -> DataFrame:
     """One delivery per line. Ship and order dates are unrelated in the raw data, so the lead
     time comes from the keys and the order date from delivery minus lead time."""
     quantity = F.col("l_quantity").cast("int")
     rejected = F.when(F.col("l_returnflag") == "R", quantity).otherwise(0)
-    lead = (1 + (F.col("l_orderkey") * 31 + F.col("l_partkey") * 17 + F.col("l_linenumber")) % 45).cast("int")
+    lead = (1 + (F.col("l_orderkey") * 31 + F.col("l_partkey") * 17 + F.col("l_linenumber")) % MAX_LEAD_DAYS).cast("int")
     total = (F.col("l_extendedprice").cast(MONEY) * F.lit(COST_SHARE)).cast(MONEY)
     # Cost per unit in whole cents, half up, by integer division.
     unit_cents = F.expr("(2 * cast(total_cost * 100 as bigint) + quantity_ordered) div (2 * quantity_ordered)")
     return (
-        raw(spark, src, "lineitem")
+        in_days(raw(spark, src, "lineitem"), "l_shipdate", start, end)
         .select(
             (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("delivery_id"),
             F.col("l_orderkey").alias("po_id"),
@@ -269,11 +284,11 @@ def deliveries(spark: SparkSession, src: str) -> DataFrame:
 # --- ledger ----------------------------------------------------------------------------------
 
 
-def transactions(spark: SparkSession, src: str) -> DataFrame:
+def transactions(spark: SparkSession, src: str, start: Day = None, end: Day = None) -> DataFrame:
     amount = F.col("o_totalprice").cast(LEDGER_MONEY)
     nothing = F.lit(Decimal("0.00")).cast(LEDGER_MONEY)
     is_payment = F.col("o_orderstatus") == "O"
-    return raw(spark, src, "orders").select(
+    return in_days(raw(spark, src, "orders"), "o_orderdate", start, end).select(
         F.col("o_orderkey").alias("transaction_id"),
         F.col("o_orderdate").alias("transaction_date"),
         F.col("o_orderpriority").alias("gl_account_id"),

@@ -65,18 +65,82 @@ def messages_per_key(messages: DataFrame) -> DataFrame:
 
 
 def order_events(spark: SparkSession, src: str) -> DataFrame:
-    return _as_event(staging.orders(spark, src), "orders")
+    return as_event(staging.orders(spark, src), "orders")
 
 
 def delivery_events(spark: SparkSession, src: str) -> DataFrame:
-    return _as_event(staging.deliveries(spark, src), "deliveries")
+    return as_event(staging.deliveries(spark, src), "deliveries")
+
+
+def purchase_order_events(spark: SparkSession, src: str) -> DataFrame:
+    """The purchase order behind each delivery."""
+    ordered = staging.deliveries(spark, src).select(
+        "po_id",
+        "supplier_id",
+        "product_id",
+        F.col("quantity_ordered").alias("quantity"),
+        "unit_cost",
+        "total_cost",
+        "order_date",
+        F.col("promised_date").alias("expected_delivery_date"),
+        F.when(F.col("delivery_status") == "in_transit", "Confirmed").otherwise("Received").alias("po_status"),
+    )
+    return as_event(ordered, "purchase_orders")
+
+
+def inventory_events(spark: SparkSession, src: str) -> DataFrame:
+    """Stock levels from the click stream: product = user, level = 3k."""
+    level = F.get_json_object("props", "$.k").cast("int") * 3
+    return as_event(
+        staging.raw(spark, src, "events").select(
+            F.col("user_id").alias("product_id"), level.alias("stock_level"), F.col("ts").alias("timestamp")
+        ),
+        "inventory",
+    )
+
+
+def customer_events(spark: SparkSession, src: str) -> DataFrame:
+    return as_event(staging.customers(spark, src), "customers")
+
+
+def supplier_events(spark: SparkSession, src: str) -> DataFrame:
+    return as_event(staging.suppliers(spark, src), "suppliers")
 
 
 def transaction_events(spark: SparkSession, src: str) -> DataFrame:
-    return _as_event(staging.transactions(spark, src), "transactions")
+    booked = staging.transactions(spark, src)
+    return as_event(booked.withColumn("net_amount", F.col("debit_amount") - F.col("credit_amount")), "transactions")
+
+
+def budget_events(spark: SparkSession, src: str) -> DataFrame:
+    planned = staging.budgets(spark, src)
+    month = F.col("budget_date")
+    return as_event(
+        planned.withColumn("budget_year", F.year(month))
+        .withColumn("budget_month", F.month(month))
+        .withColumn("budget_quarter", F.quarter(month)),
+        "budgets",
+    )
+
+
+def actual_events(spark: SparkSession, src: str) -> DataFrame:
+    return as_event(staging.actuals(spark, src).withColumnRenamed("actual_date", "transaction_date"), "actuals")
+
+
+EVENT_MAKERS = {
+    "orders": order_events,
+    "inventory": inventory_events,
+    "customers": customer_events,
+    "suppliers": supplier_events,
+    "deliveries": delivery_events,
+    "purchase_orders": purchase_order_events,
+    "transactions": transaction_events,
+    "budgets": budget_events,
+    "actuals": actual_events,
+}
 
 
-def _as_event(staged: DataFrame, kind: str) -> DataFrame:
+def as_event(staged: DataFrame, kind: str) -> DataFrame:
     """The event fields the frame has, in the event's types."""
     fields = StructType.fromDDL(EVENTS[kind]).fields
     return staged.select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in fields if f.name in staged.columns))

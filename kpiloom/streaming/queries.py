@@ -88,24 +88,24 @@ def stream_land_staging(spark: SparkSession, src: str) -> DataFrame:
 
 
 def stream_multi_topic_route(spark: SparkSession, src: str) -> DataFrame:
-    """Three topics in one stream: each message is parsed by its topic's schema and lands in its
+    """Six topics in one stream: each message is parsed by its topic's schema and lands in its
     topic's partition, in a single pass."""
     landing = work_dir(spark, "topics")
-    for kind, made in (
-        ("orders", events.order_events),
-        ("deliveries", events.delivery_events),
-        ("transactions", events.transaction_events),
-    ):
-        land(events.encode(made(spark, src), kind), landing)
-    amounts = {"orders": "total_amount", "deliveries": "total_cost", "transactions": "net_amount"}
+    amounts = {
+        "orders": "total_amount",
+        "deliveries": "total_cost",
+        "transactions": "net_amount",
+        "budgets": "budget_amount",
+        "actuals": "actual_amount",
+        "inventory": "stock_level",
+    }
+    for kind in amounts:
+        land(events.encode(events.EVENT_MAKERS[kind](spark, src), kind), landing)
 
     def amount(kind: str) -> Column:
-        parsed = events.parse(F.col("value"), kind)
-        if kind == "transactions":
-            return parsed["debit_amount"] - parsed["credit_amount"]
-        return parsed[amounts[kind]]
+        return events.parse(F.col("value"), kind)[amounts[kind]].cast("decimal(15,2)")
 
-    routed = F.coalesce(*(F.when(F.col("topic") == TOPICS[kind], amount(kind).cast("decimal(15,2)")) for kind in amounts))
+    routed = F.coalesce(*(F.when(F.col("topic") == TOPICS[kind], amount(kind)) for kind in amounts))
     table = append_to_table(
         spark, message_stream(spark, landing).select("topic", "key", routed.alias("amount")), "routed", partition_by=["topic"]
     )

@@ -43,6 +43,13 @@ def test_range_reaches_the_scan(spark, src):
     assert "LessThan(o_orderdate,1999-01-01" in text
 
 
+def test_other_ranges_reach_the_scan(spark, src):
+    text = plan(entry_points.queries()["supply_chain_metrics_range"](spark, src))
+    assert "LessThan(l_shipdate,1999-01-01" in text
+    text = plan(entry_points.queries()["unified_kpis_range"](spark, src))
+    assert "LessThan(l_shipdate,1999-02-15" in text and "LessThan(o_orderdate,1999-01-01" in text
+
+
 def test_scan_reads_only_what_is_used(spark, src):
     text = plan(frames.supply_chain(spark, src))
     assert "l_tax" not in text and "l_discount" not in text

@@ -69,6 +69,20 @@ def test_every_topic_has_a_key_and_a_schema():
     assert all(f"{TOPIC_KEYS[kind]} " in EVENTS[kind] for kind in TOPICS)
 
 
+def test_events_of_every_kind_survive_the_topic(spark, src):
+    for kind, made in events.EVENT_MAKERS.items():
+        sent = made(spark, src)
+        sent = sent.withColumns({name: F.col(name).cast("timestamp") for name, type_ in sent.dtypes if type_ == "timestamp"})
+        decoded = events.decode(events.encode(sent, kind), kind)
+        assert decoded.filter("is_corrupt").count() == 0, kind
+        back = decoded.select(*(F.col(f"event.{name}").alias(name) for name in sent.columns))
+        same = sent.columns if kind != "inventory" else [c for c in sent.columns if c != "timestamp"]  # sent in milliseconds
+        key = lambda row: repr(row)
+        assert sorted(back.select(*same).collect(), key=key) == sorted(sent.select(*same).collect(), key=key), kind
+        missing = decoded.filter(f"key <> cast(event.{TOPIC_KEYS[kind]} as string)").count()
+        assert missing == 0, kind
+
+
 def test_resumed_stream_reads_only_what_is_new(spark, tmp_path):
     landing, home = str(tmp_path / "in"), str(tmp_path / "home")
     for value in ("1", "2"):
