@@ -18,15 +18,18 @@ def processed_keys(loaded: DataFrame, key: str) -> DataFrame:
     return loaded.select(key).distinct()
 
 
-def counted_write(df: DataFrame, write) -> int:
-    """Run a write and return the rows it wrote, counted by the write itself."""
+def overwrite_table(df: DataFrame, path: str) -> int:
+    """Overwrite a table and return its rows, counted by the write itself."""
     seen = Observation()
-    write(df.observe(seen, F.count(F.lit(1)).alias("rows")))
+    warehouse.overwrite(df.observe(seen, F.count(F.lit(1)).alias("rows")), path)
     return seen.get["rows"]
 
 
 def append_fact(fact: DataFrame, path: str, date_id: str) -> int:
-    return counted_write(fact, lambda df: warehouse.overwrite_months(df, path, date_id))
+    """Replace the months of a fact that ``fact`` holds and return the rows written."""
+    seen = Observation()
+    warehouse.overwrite_months(fact, path, date_id, seen)
+    return seen.get["rows"]
 
 
 def month_totals(fact: DataFrame, amount: str) -> DataFrame:

@@ -62,10 +62,7 @@ class _Run:
         return warehouse.read(self.spark, path)
 
     def table(self, name: str, df: DataFrame) -> DataFrame:
-        def write(path: str) -> int:
-            return loads.counted_write(facts.with_load_times(df), lambda d: warehouse.overwrite(d, path))
-
-        return self._audited(name, write)
+        return self._audited(name, lambda path: loads.overwrite_table(facts.with_load_times(df), path))
 
     def fact(self, name: str, df: DataFrame, date_id: str) -> DataFrame:
         return self._audited(name, lambda path: loads.append_fact(facts.with_load_times(df), path, date_id))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import tempfile
 import uuid
 
@@ -39,6 +40,22 @@ def build_session(app: str = "kpiloom", master: str | None = None, **conf: str)
     return tune(builder.getOrCreate())
 
 
+def sized_for(input_bytes: int, shuffled_share: float = 0.2) -> dict[str, str]:
+    """Settings for ``build_session`` that keep tasks near 256 MB for a given input size.
+
+    ``shuffled_share`` is the part of the input that passes through the widest shuffle; order
+    lines against order heads move about a fifth of the raw bytes. AQE merges what turns out
+    small, so the number is an upper bound.
+    """
+    task = 256 * 1024**2
+    partitions = min(max(math.ceil(input_bytes * shuffled_share / task), 200), 100_000)
+    return {
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256MB",
+        "spark.sql.files.maxPartitionBytes": "256MB",
+    }
+
+
 def tune(spark: SparkSession) -> SparkSession:
     """Apply the job settings to a session made elsewhere.
 

@@ -7,7 +7,7 @@ others alone, so it can be run again after any failure.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -23,16 +23,18 @@ def append(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
 
-def overwrite_months(df: DataFrame, path: str, date_id: str) -> None:
+def overwrite_months(df: DataFrame, path: str, date_id: str, seen: Observation | None = None) -> None:
     """Replace the months present in ``df``; other months stay as they are.
 
     The rebalance hint gathers each month into few files and lets AQE split a month that
     holds most of the rows over several tasks.
     """
+    rows = df.withColumn("month_id", F.floor(F.col(date_id) / 100).cast("int")).hint("rebalance", "month_id")
+    if seen is not None:
+        # Counted behind the shuffle: a map task that is run again would be counted again.
+        rows = rows.observe(seen, F.count(F.lit(1)).alias("rows"))
     (
-        df.withColumn("month_id", F.floor(F.col(date_id) / 100).cast("int"))
-        .hint("rebalance", "month_id")
-        .write.mode("overwrite")
+        rows.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("month_id")
         .parquet(path)

@@ -200,6 +200,11 @@ def test_failed_step_is_audited(spark, tmp_path):
     assert (row["table_name"], row["status"]) == ("t", "FAILED") and "broken input" in row["error_message"]
 
 
+def test_sizes_follow_the_input():
+    widths = [int(session.sized_for(n)["spark.sql.adaptive.coalescePartitions.initialPartitionNum"]) for n in (10**9, 10**13, 10**14)]
+    assert widths[0] == 200 and 7_000 < widths[1] < 8_000 and 74_000 < widths[2] < 75_000
+
+
 class Cluster:
     """A session as far as the work folder is concerned, on a master that is not local."""
 
