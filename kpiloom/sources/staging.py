@@ -13,10 +13,10 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kpiloom.functions.expressions import LEDGER_MONEY, MONEY, cents, date_id, flag
+from kpiloom.functions.expressions import LEDGER_MONEY, MONEY, date_id, divided, flag, hundredths, money
 from kpiloom.sources.schemas import RAW
 
-COST_SHARE = Decimal("0.60")
+COST_PCT = 60
 PLANNED_ORDER_VALUE = 225_000
 PROMISE_DAYS = 30
 MAX_LEAD_DAYS = 45
@@ -60,7 +60,7 @@ def products(spark: SparkSession, src: str) -> DataFrame:
         F.col("p_type").alias("category"),
         F.col("p_brand").alias("subcategory"),
         (F.col("p_partkey") % 10).alias("supplier_id"),
-        (price * F.lit(COST_SHARE)).cast("decimal(10,2)").alias("cost"),
+        (price * F.lit(COST_PCT) / 100).cast("decimal(10,2)").alias("cost"),
         price.alias("list_price"),
         ((F.col("p_partkey") * 37) % 300).cast("int").alias("current_stock_level"),
         F.lit(100).alias("reorder_point"),
@@ -127,27 +127,34 @@ def gl_accounts(spark: SparkSession, src: str) -> DataFrame:
 
 
 def order_lines(spark: SparkSession, src: str) -> DataFrame:
-    price = F.col("l_extendedprice").cast(MONEY)
-    amount = (price * (1 - F.col("l_discount").cast("decimal(4,2)"))).cast(MONEY)
-    tax = (F.col("order_amount") * F.col("l_tax").cast("decimal(4,2)")).cast(MONEY)
-    return (
+    """Order lines, with their amounts in MONEY and in whole cents; a reader of sums takes the
+    cents and never touches a decimal."""
+    price = hundredths("l_extendedprice")
+    amounts = (
         raw(spark, src, "lineitem")
-        .withColumn("order_amount", amount)
-        .select(
-            F.col("l_orderkey").alias("order_id"),
-            F.col("l_linenumber").alias("line_number"),
-            F.col("l_partkey").alias("product_id"),
-            F.col("l_suppkey").alias("supplier_id"),
-            F.col("l_quantity").cast("int").alias("quantity"),
-            price.alias("list_price"),
-            (price - F.col("order_amount")).cast(MONEY).alias("discount_amount"),
-            "order_amount",
-            tax.alias("tax_amount"),
-            F.lit(Decimal("0.00")).cast(MONEY).alias("shipping_amount"),
-            (F.col("order_amount") + tax).cast(MONEY).alias("total_amount"),
-            (price * F.lit(COST_SHARE)).cast(MONEY).alias("cost_amount"),
-            F.when(F.col("l_linestatus") == "F", "shipped").otherwise("processing").alias("shipping_status"),
-        )
+        .withColumn("list_cents", price)
+        .withColumn("cost_cents", divided(F.col("list_cents") * COST_PCT, 100))
+        .withColumn("order_cents", divided(F.col("list_cents") * (100 - hundredths("l_discount")), 100))
+        .withColumn("tax_cents", divided(F.col("order_cents") * hundredths("l_tax"), 100))
+        .withColumn("total_cents", F.col("order_cents") + F.col("tax_cents"))
+    )
+    return amounts.select(
+        F.col("l_orderkey").alias("order_id"),
+        F.col("l_linenumber").alias("line_number"),
+        F.col("l_partkey").alias("product_id"),
+        F.col("l_suppkey").alias("supplier_id"),
+        F.col("l_quantity").cast("int").alias("quantity"),
+        money("list_cents").alias("list_price"),
+        money(F.col("list_cents") - F.col("order_cents")).alias("discount_amount"),
+        money("order_cents").alias("order_amount"),
+        money("tax_cents").alias("tax_amount"),
+        F.lit(Decimal("0.00")).cast(MONEY).alias("shipping_amount"),
+        money("total_cents").alias("total_amount"),
+        money("cost_cents").alias("cost_amount"),
+        F.when(F.col("l_linestatus") == "F", "shipped").otherwise("processing").alias("shipping_status"),
+        "order_cents",
+        "total_cents",
+        "cost_cents",
     )
 
 
@@ -194,9 +201,9 @@ def order_totals(spark: SparkSession, src: str, start: Day = None, end: Day = No
         .groupBy("order_id")
         .agg(
             F.count(F.lit(1)).alias("order_count"),
-            F.sum(cents("order_amount")).alias("order_cents"),
-            F.sum(cents("total_amount")).alias("total_cents"),
-            F.sum(cents("cost_amount")).alias("cost_cents"),
+            F.sum("order_cents").alias("order_cents"),
+            F.sum("total_cents").alias("total_cents"),
+            F.sum("cost_cents").alias("cost_cents"),
         )
     )
     heads = order_headers(spark, src, start, end).select(
@@ -215,8 +222,8 @@ def daily_product_sales(spark: SparkSession, src: str, start: Day = None) -> Dat
         .agg(
             F.count(F.lit(1)).alias("order_count"),
             F.sum(F.col("quantity").cast("bigint")).alias("quantity"),
-            F.sum(cents("total_amount")).alias("revenue_cents"),
-            F.sum(cents("cost_amount")).alias("cost_cents"),
+            F.sum("total_cents").alias("revenue_cents"),
+            F.sum("cost_cents").alias("cost_cents"),
         )
     )
 
@@ -249,9 +256,7 @@ def deliveries(spark: SparkSession, src: str, start: Day = None, end: Day = None
     quantity = F.col("l_quantity").cast("int")
     rejected = F.when(F.col("l_returnflag") == "R", quantity).otherwise(0)
     lead = (1 + (F.col("l_orderkey") * 31 + F.col("l_partkey") * 17 + F.col("l_linenumber")) % MAX_LEAD_DAYS).cast("int")
-    total = (F.col("l_extendedprice").cast(MONEY) * F.lit(COST_SHARE)).cast(MONEY)
-    # Cost per unit in whole cents, half up, by integer division.
-    unit_cents = F.expr("(2 * cast(total_cost * 100 as bigint) + quantity_ordered) div (2 * quantity_ordered)")
+    total = divided(hundredths("l_extendedprice") * COST_PCT, 100)
     return (
         in_days(raw(spark, src, "lineitem"), "l_shipdate", start, end)
         .select(
@@ -262,13 +267,14 @@ def deliveries(spark: SparkSession, src: str, start: Day = None, end: Day = None
             quantity.alias("quantity_ordered"),
             quantity.alias("quantity_delivered"),
             rejected.alias("quantity_rejected"),
-            total.alias("total_cost"),
+            total.alias("total_cost_cents"),
             F.to_date("l_shipdate").alias("delivery_date"),
             lead.alias("staged_lead"),
             (F.col("l_returnflag") != "R").alias("is_quality_pass"),
             F.col("l_linestatus"),
         )
-        .withColumn("unit_cost", (unit_cents.cast("decimal(14,0)") / 100).cast(MONEY))
+        .withColumn("total_cost", money("total_cost_cents"))
+        .withColumn("unit_cost", money(divided(F.col("total_cost_cents"), F.col("quantity_ordered"))))
         .withColumn("order_date", F.date_sub("delivery_date", F.col("staged_lead")))
         .withColumn("promised_date", F.date_add("order_date", PROMISE_DAYS))
         .withColumn(

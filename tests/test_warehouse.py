@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from kpiloom import session
 from kpiloom.functions import checks
-from kpiloom.functions.expressions import date_id, percent, rounded
+from kpiloom.functions.expressions import date_id, divided, hundredths, money, percent, rounded
 from kpiloom.operators import dimensions, facts, loads, marts, quality, serving
 from kpiloom.plans import batch, frames
 from kpiloom.sources import schemas, staging, warehouse
@@ -46,6 +46,14 @@ def test_rounding_is_half_up(spark):
     assert [r["y"] for r in df.collect()] == [50.01, 1.01, -1.01, None]
 
 
+def test_whole_number_division(spark):
+    rows = [(5, 2), (-5, 2), (7, 3), (-7, 3), (1, 0)]
+    df = spark.createDataFrame(rows, "a bigint, b int").select(divided(F.col("a"), F.col("b")).alias("q"))
+    assert [r["q"] for r in df.collect()] == [3, -3, 2, -2, None]
+    prices = spark.createDataFrame([(0.29,), (1.1,), (-0.07,), (99999.99,)], "p double").select(money(hundredths("p")).alias("m"))
+    assert [str(r["m"]) for r in prices.collect()] == ["0.29", "1.10", "-0.07", "99999.99"]
+
+
 def test_date_id(spark):
     df = spark.createDataFrame([(D(2024, 1, 5),), (None,)], "d date").select(date_id("d").alias("k"))
     assert [r["k"] for r in df.collect()] == [20240105, None]
