@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -49,7 +51,7 @@ def hundredths(value: Column | str) -> Column:
 def money(total_cents: Column | str) -> Column:
     """Cents as MONEY."""
     total_cents = F.col(total_cents) if isinstance(total_cents, str) else total_cents
-    return (total_cents.cast("decimal(14,0)") / 100).cast(MONEY)
+    return (total_cents.cast("decimal(14,0)") * F.lit(Decimal("0.01"))).cast(MONEY)
 
 
 def divided(top: Column, bottom: Column | int) -> Column:
