@@ -6,13 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kpiloom.llm import decontamination, line_rules, ordinal, unigram
+from kpiloom.llm import decontamination, line_rules, ordinal, partenum, unigram
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return partenum.join(table(spark, sf_dir, "documents"), width=3, percent=90)
+
+
 def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontamination.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return decontamination.digest(found)
