@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kpiloom.llm import decontamination, line_rules, ordinal, partenum, unigram
+from kpiloom.llm import decontamination, line_rules, ordinal, partenum, text, unigram, weak_toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,6 +27,14 @@ def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ordinal.score(docs, ordinal.fit(docs, table(spark, sf_dir, "labels"), "quality"))
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    fold = text.remainder("doc_id", 5)
+    model = weak_toxicity.fit(docs, table(spark, sf_dir, "labels"), fold != 0)
+    scored = weak_toxicity.score(docs, model)
+    return scored.select("doc_id", (fold == 0).alias("held_out"), "score", "predicted")
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_rules.measure(table(spark, sf_dir, "documents"))
 
