@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kpiloom.llm import decontamination, line_rules, ordinal, partenum, text, unigram, weak_toxicity
+from kpiloom.llm import decontamination, language_id, line_rules, ordinal, partenum, text, unigram, weak_toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,6 +17,13 @@ def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return partenum.join(table(spark, sf_dir, "documents"), width=3, percent=90)
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    fold = text.remainder("doc_id", 3)
+    labelled = language_id.label(docs, language_id.fit(docs, fold != 1))
+    return labelled.select("doc_id", (fold == 1).alias("held_out"), "lang_pred", "score")
+
+
 def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontamination.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return decontamination.digest(found)

@@ -43,8 +43,9 @@ STEMS = (3, 4, 5, 6, 7)
 #: Lists that the learned features are dealt over, and how many are learned.
 LISTS, LEARNED = 8, 96
 
-#: A learned feature occurs in so many toxic texts, and so rarely in others.
-LEAST_TEXTS, LEAST_PRECISION = 5, 0.9
+#: A learned feature occurs in so many texts, and at least this share of them is toxic: among rated
+#: texts, and in the classifier's sample, half of which is toxic.
+LEAST_TEXTS, LEAST_PRECISION, BALANCED_PRECISION = 5, 0.85, 0.9
 NEAR = 4
 PATTERNS = ("address", "shouting", "exclamation", "disguise", "several")
 MAX_FEATURES = 256
@@ -113,7 +114,7 @@ def _features(w: text.Words, codes: np.ndarray, hashed: np.ndarray) -> tuple[np.
     return row[new], feature[new]
 
 
-def mined(rated: DataFrame, most: int) -> np.ndarray:
+def mined(rated: DataFrame, most: int, precision: float) -> np.ndarray:
     """Hashes of the features that occur in the most toxic texts and almost only there, in this
     order. ``rated`` has toxic and text. Of features with equal counts one is taken."""
 
@@ -135,10 +136,10 @@ def mined(rated: DataFrame, most: int) -> np.ndarray:
 
     counts = rated.select("toxic", "text").mapInArrow(run, "feature bigint, toxic bigint, clean bigint")
     counts = counts.groupBy("feature").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
-    pure = F.col("toxic") >= LEAST_PRECISION * (F.col("toxic") + F.col("clean"))
+    pure = F.col("toxic") >= precision * (F.col("toxic") + F.col("clean"))
     counts = counts.filter((F.col("toxic") >= LEAST_TEXTS) & pure)
     counts = counts.groupBy("toxic", "clean").agg(F.min("feature").alias("feature"))
-    best = counts.orderBy(F.desc(F.col("toxic") - 10 * F.col("clean")), "clean", "feature").limit(most)
+    best = counts.orderBy(F.desc(F.col("toxic") - 3 * F.col("clean")), "clean", "feature").limit(most)
     return np.array([row["feature"] for row in best.collect()], np.int64).view(np.uint64)
 
 
@@ -302,7 +303,7 @@ def fit(docs: DataFrame, labels: DataFrame, training: Column, label: str = "toxi
     rated = rated.filter("toxic in (0, 1)").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     rated = storage.written(rated.orderBy(F.xxhash64("doc_id"), "doc_id").limit(MAX_RATED), "rated")
     # At most MAX_RATED rows of two numbers are broadcast.
-    learned = mined(docs.join(F.broadcast(rated), "doc_id"), LEARNED)
+    learned = mined(docs.join(F.broadcast(rated), "doc_id"), LEARNED, LEAST_PRECISION)
     share = rated.agg(F.avg("toxic")).first()[0]
     lists = voter_lists(learned)
     shipped = docs.sparkSession.sparkContext.broadcast(lists)
@@ -328,7 +329,7 @@ def fit(docs: DataFrame, labels: DataFrame, training: Column, label: str = "toxi
     chosen = half(scored.filter("q >= 0.5")).unionAll(half(scored.filter("q < 0.5"))).groupBy("doc_id").agg(F.max("q").alias("q"))
     sample = docs.join(F.broadcast(chosen), "doc_id").select("q", "text").limit(MAX_TRAINING)
     sample = storage.written(sample, "sample")
-    features = np.sort(mined(sample.withColumn("toxic", F.expr("int(q >= 0.5)")), MAX_FEATURES))
+    features = np.sort(mined(sample.withColumn("toxic", F.expr("int(q >= 0.5)")), MAX_FEATURES, BALANCED_PRECISION))
     weights, intercept = classifier(*_sampled(sample, features), model.prior)
     rates = model.prior * model.fires[:, 1]
     return Model(model.prior, rates / (rates + (1 - model.prior) * model.fires[:, 0]), features, weights, intercept)
