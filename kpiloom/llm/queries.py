@@ -5,14 +5,21 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from kpiloom.llm import decontamination, language_id, line_rules, ordinal, partenum, text, unigram, weak_toxicity
+from kpiloom.llm import decontamination, language_id, line_rules, ordinal, partenum, ppm, text, unigram, weak_toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scored = ppm.pretrained(docs, text.remainder("doc_id", 7) != 2)
+    return scored.select("doc_id", (~F.col("training")).alias("held_out"), *(c for c in scored.columns if c not in ("doc_id", "training")))
+
+
 def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return partenum.join(table(spark, sf_dir, "documents"), width=3, percent=90)
 
