@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kpiloom.llm import decontamination, language_id, line_rules, ordinal, partenum, ppm, text, unigram, weak_toxicity
+from kpiloom.llm import decontamination, language_id, line_rules, ordinal, partenum, ppm, text, unigram, url_lm, warc, weak_toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,6 +20,20 @@ def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (~F.col("training")).alias("held_out"), *(c for c in scored.columns if c not in ("doc_id", "training")))
 
 
+#: Hosts with their subdomains, and the path from which a rule holds.
+URL_RULES = {
+    "com/": "allow",
+    "example.com/en/": "block",
+    "www.example.com/en/": "allow",
+    "net/es/": "block",
+    "net/fr/": "block",
+}
+
+
+def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_lm.judge(table(spark, sf_dir, "pages"), URL_RULES)
+
+
 def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return partenum.join(table(spark, sf_dir, "documents"), width=3, percent=90)
 
@@ -36,6 +50,11 @@ def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return decontamination.digest(found)
 
 
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return warc.lookup(warc.write(pages), pages)
+
+
 def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return ordinal.score(docs, ordinal.fit(docs, table(spark, sf_dir, "labels"), "quality"))
