@@ -35,7 +35,7 @@ END = 0x0A
 
 #: Bytes of text that ask for their strings together.
 SLICE_BYTES = 24 << 20
-_CHUNK_BYTES = 4 << 20
+_CHUNK_BYTES = 2 << 20
 
 
 def stream(w: text.Words, order: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -84,14 +84,20 @@ def _requests(rows: pa.RecordBatch, order: int) -> tuple[np.ndarray, np.ndarray,
     seen, learned, words, times = [], [], [], []
     for a, b, w in _chunks(rows["text"]):
         code, owner = grams(w, order)
-        seen.append(_different(code))
-        learned.append(code[training[a:b][owner]])
+        own = _different(code)
+        code = np.sort(code[training[a:b][owner]])
+        new = np.flatnonzero(np.append(True, code[1:] != code[:-1])) if len(code) else np.zeros(0, np.int64)
+        counts = np.zeros(len(own), np.int64)
+        counts[np.searchsorted(own, code[new])] = np.diff(np.append(new, len(code)))
+        seen.append(own)
+        learned.append(counts)
         different, codes = w.coded()
         words.append(different)
         times.append(np.bincount(codes[training[a:b][w.text_of()]], minlength=len(different)))
     all_grams = _different(np.concatenate([*seen, np.zeros(0, np.int64)]))
-    learned = np.sort(np.concatenate([*learned, np.zeros(0, np.int64)]))
-    counts = np.searchsorted(learned, all_grams, "right") - np.searchsorted(learned, all_grams, "left")
+    counts = np.zeros(len(all_grams), np.int64)
+    for own, n in zip(seen, learned, strict=True):
+        counts[np.searchsorted(all_grams, own)] += n
     coded = pa.concat_arrays([*words, pa.array([], pa.binary())]).dictionary_encode()
     indices = coded.indices.to_numpy(zero_copy_only=False)
     total = np.bincount(indices, np.concatenate([*times, np.zeros(0)]), len(coded.dictionary)).astype(np.int64)
