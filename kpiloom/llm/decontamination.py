@@ -236,8 +236,9 @@ def find(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> DataFrame:
     spark = docs.sparkSession
     out = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     doc_id = docs.schema["doc_id"].dataType.simpleString()
-    blocks = list(_blocks(benchmark, window))
-    for k, tests in enumerate(blocks):
+    for k, tests in enumerate(_blocks(benchmark, window)):
+        if k:  # one block at a time: a task does not hold the workers and data of all
+            out = storage.written(out, "decontamination")
         shipped = spark.sparkContext.broadcast(vars(tests))
 
         def search(batches: Iterator[pa.RecordBatch], shipped=shipped) -> Iterator[pa.RecordBatch]:
@@ -263,8 +264,6 @@ def find(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> DataFrame:
                     )
 
         out = out.mapInArrow(search, f"doc_id {doc_id}, text string, n_words bigint, hits {SPANS}, matches {MATCHES}")
-        if k + 1 < len(blocks):
-            out = storage.written(out, "decontamination")
     return out.drop("text")
 
 
@@ -273,7 +272,9 @@ def clean(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> DataFrame:
     null or empty text stay."""
     spark = docs.sparkSession
     out = docs
-    for tests in _blocks(benchmark, window):
+    for k, tests in enumerate(_blocks(benchmark, window)):
+        if k:  # one block at a time: a task does not hold the workers and data of all
+            out = storage.written(out, "decontamination")
         shipped = spark.sparkContext.broadcast(vars(tests))
 
         def keep(batches: Iterator[pa.RecordBatch], shipped=shipped) -> Iterator[pa.RecordBatch]:

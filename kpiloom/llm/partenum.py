@@ -383,8 +383,18 @@ def _nameless(source: DataFrame, width: int) -> DataFrame:
 
 def keep_one(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """The rows of ``docs``, all columns, of which one stays of each component: that of the smallest
-    id, and of rows of this id the one with the smallest text hash (equal rows all stay). Rows
-    without id stay."""
-    found = join(docs, width, percent).filter("doc_id = component_id").select("doc_id").distinct()
-    kept = docs.join(found, docs["doc_id"].cast("bigint") == found["doc_id"], "left_semi")
+    id, and of several rows of this id the one of the smallest text hash. Rows without id stay."""
+    found = join(docs, width, percent).filter("doc_id is not null")
+    found = found.groupBy("doc_id", "component_id").agg(F.count(F.lit(1)).alias("rows_of_id"))
+    found = storage.written(found.filter("doc_id = component_id").select("doc_id", "rows_of_id"), "kept")
+    same = docs["doc_id"].cast("bigint") == found["doc_id"]
+    repeated = found.filter("rows_of_id > 1")
+    if repeated.isEmpty():
+        kept = docs.join(found, same, "left_semi")
+    else:
+        single = docs.join(found.filter("rows_of_id = 1"), same, "left_semi")
+        row = F.struct(*(F.col(f"`{c}`") for c in docs.columns))
+        first = docs.join(repeated, same, "left_semi").groupBy(F.col("doc_id").alias("of"))
+        first = first.agg(F.min_by(row, F.struct(F.xxhash64("text"), "text")).alias("row")).select("row.*")
+        kept = single.unionByName(first)
     return kept.unionByName(docs.filter("doc_id is null"))
