@@ -8,6 +8,13 @@ of ``PARTS`` parts, n1 so large that some group holds at most ``SPARE`` of the k
 way to leave out ``SPARE`` parts of a group gives one signature, a hash of the elements in the
 others: linked sets share one.
 
+A signature of no element, or of widespread ones only (shingles of lines that many texts share), tells
+little: it is weak. Bands of several groups have s groups more than needed, so linked sets agree in
+s + 1 groups at least. A set with at most s groups that have a weak signature may therefore leave its
+weak ones out: one of the others is shared too. A set with more of them gives all, and so does any
+set that agrees with it in weak ones only. Which shingles count as widespread changes the work, never
+the links.
+
 What shares a signature is a candidate. Candidates are gathered into clusters by their connection
 alone: equal keys are reduced to a star around their smallest document, first within each task's
 slice of texts, so that a hot key leaves a task once. Then the texts of each cluster are compared
@@ -37,6 +44,12 @@ PARTS, SPARE = 3, 1
 #: Size bands grow by this factor.
 BAND = 1.25
 
+#: One group more than needed for so many groups.
+EXTRA = 8
+
+#: A widespread shingle is in so many texts of a slice, and of all slices; at most so many are told.
+HOT_IN_SLICE, HOT_TEXTS, MAX_HOT = 8, 32, 100_000
+
 #: Documents and shingles compared in one block.
 BLOCK_DOCS, BLOCK_SHINGLES = 256, 150_000
 
@@ -71,8 +84,10 @@ def _sums(values: np.ndarray, first: np.ndarray) -> np.ndarray:
     return total[first[1:]] - total[first[:-1]]
 
 
-def signatures(sets: np.ndarray, first: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """Keys of all non-empty sets, and the set of each key."""
+def signatures(
+    sets: np.ndarray, first: np.ndarray, percent: int, hot: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of all non-empty sets, and the set of each key; ``hot`` has the widespread shingles."""
     size = np.diff(first)
     starts = band_starts(int(size.max(initial=0)))
     band = np.searchsorted(starts, size, "right") - 1
@@ -86,6 +101,8 @@ def signatures(sets: np.ndarray, first: np.ndarray, percent: int) -> tuple[np.nd
     spare = np.minimum(SPARE, k)
     parts = np.where(spare > 0, PARTS, 1)
     groups = k // (spare + 1) + 1
+    extra = np.where(groups >= 3, np.maximum(groups // EXTRA, 1), 0)
+    groups = groups + extra
 
     # All elements once for each tag of their set, and the part each falls into.
     n = size[owner]
@@ -97,8 +114,12 @@ def signatures(sets: np.ndarray, first: np.ndarray, percent: int) -> tuple[np.nd
     cell = np.repeat(base, n) + ((value >> width) * np.repeat(cells, n).astype(np.uint64) >> np.uint64(32)).astype(np.int64)
     edges = np.searchsorted(cell, np.arange(cells.sum() + 1))
     content = _sums(text.mix(value + np.uint64(1)), edges)
+    telling = np.ones(len(value), bool)
+    if hot is not None and len(hot):
+        telling = hot[np.minimum(np.searchsorted(hot, value), len(hot) - 1)] != value
+    telling = np.diff(np.concatenate([[0], np.cumsum(telling)])[edges])
 
-    keys, owners = [], []
+    keys, owners, weak = [], [], []
     for used, left_out in ((1, 0), (PARTS, SPARE)):
         own = np.flatnonzero(parts == used)
         if not len(own):
@@ -107,16 +128,46 @@ def signatures(sets: np.ndarray, first: np.ndarray, percent: int) -> tuple[np.nd
         group = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
         row = np.repeat(own, many)
         at = base[row] + group * used
-        for kept in combinations(range(used), used - left_out):
+        choices = list(combinations(range(used), used - left_out))
+        weak_here = np.stack([sum(telling[at + p] for p in kept) == 0 for kept in choices])
+        weak_groups = np.bincount(row, weak_here.any(0), len(owner))
+        droppable = (weak_groups <= extra)[row]
+        for kept, is_weak in zip(choices, weak_here, strict=True):
             total = np.zeros(len(at), np.uint64)
             for p in kept:
                 total += text.mix(content[at + p] + np.uint64(p))
+            weak.append(is_weak & droppable & (extra[row] > 0))
             mark = (tag[row].astype(np.uint64) << np.uint64(40)) + group.astype(np.uint64) * np.uint64(64)
             keys.append(text.mix(total + text.mix(mark + np.uint64(sum(1 << p for p in kept)))))
             owners.append(owner[row])
         if PARTS == 1:
             break
-    return np.concatenate(keys), np.concatenate(owners)
+    kept = ~np.concatenate(weak)
+    return np.concatenate(keys)[kept], np.concatenate(owners)[kept]
+
+
+def widespread(docs: DataFrame, width: int) -> np.ndarray:
+    """The shingles that the most different texts share, in order."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, _, part in text.slices(batch["text"]):
+                sets, first = shingle_sets(part, width)
+                whole = _sums(text.mix(sets + np.uint64(2)), first)
+                new = np.zeros(len(whole), bool)
+                new[np.unique(whole, return_index=True)[1]] = True  # copies count once
+                ordered = np.sort(sets[np.repeat(new, np.diff(first))])
+                at = np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1])) if len(ordered) else np.zeros(0, int)
+                times = np.diff(np.append(at, len(ordered)))
+                often = times >= HOT_IN_SLICE
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(ordered[at[often]].astype(np.int64)), pa.array(times[often])], ["shingle", "texts"]
+                )
+
+    counts = docs.select("text").mapInArrow(run, "shingle bigint, texts bigint")
+    counts = counts.groupBy("shingle").agg(F.sum("texts").alias("texts")).filter(F.col("texts") >= HOT_TEXTS)
+    top = counts.orderBy(F.desc("texts"), "shingle").limit(MAX_HOT).select("shingle").toArrow()
+    return np.sort(top["shingle"].to_numpy().astype(np.uint64))
 
 
 def _stars(key: np.ndarray, node: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -159,6 +210,8 @@ def _rows(names: list[str], *parts: tuple) -> pa.RecordBatch:
 
 def _signed(docs: DataFrame, width: int, percent: int) -> DataFrame:
     """For each text its size, its key as a whole and its signatures, reduced within a slice."""
+    # At most MAX_HOT numbers are broadcast.
+    hot = docs.sparkSession.sparkContext.broadcast(widespread(docs, width))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -177,7 +230,7 @@ def _signed(docs: DataFrame, width: int, percent: int) -> DataFrame:
                 stands = order[new]
                 leader = ids[stands][np.cumsum(new) - 1][~new]
                 copy = ids[order[~new]]
-                signed, owner = signatures(sets, first, percent)
+                signed, owner = signatures(sets, first, percent, hot.value)
                 held = np.zeros(len(size), bool)
                 held[stands] = True
                 signed, owner = signed[held[owner]], owner[held[owner]]

@@ -82,16 +82,18 @@ def test_linked_sets_share_a_signature():
     import numpy as np
 
     draw = np.random.default_rng(5)
-    for _ in range(200):
-        n = int(draw.integers(1, 80))
+    for _ in range(300):
+        n = int(draw.integers(1, 300))
         a = np.unique(draw.integers(0, 1 << 50, n).astype(np.uint64))
         changed = int(draw.integers(0, max(1, n // 6) + 1))
         b = np.unique(np.concatenate([a[changed:], draw.integers(0, 1 << 50, int(draw.integers(0, 4))).astype(np.uint64)]))
         common = len(np.intersect1d(a, b))
         for percent in (80, 90):
             if len(b) and 100 * common >= percent * (len(a) + len(b) - common):
-                keys, owner = partenum.signatures(np.concatenate([a, b]), np.array([0, len(a), len(a) + len(b)]), percent)
-                assert set(keys[owner == 0].tolist()) & set(keys[owner == 1].tolist())
+                both, first = np.concatenate([a, b]), np.array([0, len(a), len(a) + len(b)])
+                for hot in (None, a[: len(a) // 2], np.union1d(a, b)):
+                    keys, owner = partenum.signatures(both, first, percent, hot)
+                    assert set(keys[owner == 0].tolist()) & set(keys[owner == 1].tolist())
 
 
 def test_components_of_paths_and_stars(spark):
