@@ -12,7 +12,8 @@ probability of a byte is one number for each string of order + 1 bytes. The trie
 strings, built level by level with joins. It is never gathered in one place: each slice of texts
 asks for the strings and words it holds, the answers are joined to the requests, and a slice meets
 its own answers. Requests of a slice are reduced to its different strings, so a hot one is a row for
-each slice and not for each occurrence.
+each slice and not for each occurrence. The ``COMMON`` strings and words that most slices hold are
+answered by broadcast instead: a bounded number of rows, which spares most of the answers' way.
 
 ``adaptive`` scores each text alone, with a trie that learns it byte by byte.
 """
@@ -37,6 +38,10 @@ END = 0x0A
 SLICE_BYTES = 24 << 20
 _CHUNK_BYTES = 2 << 20
 
+#: Strings, and words, whose values are broadcast, and bits for a place in a slice.
+COMMON = 1 << 18
+_PLACE_BITS = 25
+
 
 def stream(w: text.Words, order: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Bytes of all texts, ``order`` end bytes before each; the places that are predicted, and their
@@ -104,26 +109,26 @@ def _requests(rows: pa.RecordBatch, order: int) -> tuple[np.ndarray, np.ndarray,
     return all_grams, counts, coded.dictionary, total
 
 
-_PACKED = "slice bigint, place int, gram bigint, word binary, n bigint, texts binary"
+_PACKED = "at bigint, gram bigint, word binary, n bigint, texts binary"
 
 
 def _pack(docs: DataFrame, order: int) -> DataFrame:
     """Texts in compressed slices, and a row for each string and word that a slice asks for."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["slice", "place", "gram", "word", "n", "texts"]
-        number = TaskContext.get().partitionId() << 32
+        # ``at`` holds slice and place: one number, which varies little from row to row.
+        names = ["at", "gram", "word", "n", "texts"]
+        number = TaskContext.get().partitionId() << 16
         for batch in batches:
             for a, b, _ in text.slices(batch["text"], SLICE_BYTES):
                 rows = batch.slice(a, b - a)
                 sink = pa.BufferOutputStream()
-                with pa.ipc.new_stream(sink, rows.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+                with pa.ipc.new_stream(sink, rows.schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=9))) as out:
                     out.write_batch(rows)
                 learning = int(np.count_nonzero(rows["training"].to_numpy(zero_copy_only=False)))
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array([number], pa.int64()),
-                        pa.nulls(1, pa.int32()),
+                        pa.array([number << _PLACE_BITS], pa.int64()),
                         pa.nulls(1, pa.int64()),
                         pa.nulls(1, pa.binary()),
                         pa.array([learning], pa.int64()),
@@ -132,19 +137,18 @@ def _pack(docs: DataFrame, order: int) -> DataFrame:
                     names,
                 )
                 all_grams, counts, words, total = _requests(rows, order)
-                for keys, n, kind in ((all_grams, counts, 2), (words, total, 3)):
+                for keys, n, kind in ((all_grams, counts, 1), (words, total, 2)):
                     for at in range(0, len(keys), 100_000):
                         own = keys[at : at + 100_000]
                         size = len(own)
                         columns = [
-                            pa.array(np.full(size, number), pa.int64()),
-                            pa.array(np.arange(at, at + size), pa.int32()),
+                            pa.array((number << _PLACE_BITS) + np.arange(at, at + size), pa.int64()),
                             pa.nulls(size, pa.int64()),
                             pa.nulls(size, pa.binary()),
                             pa.array(n[at : at + size], pa.int64()),
                             pa.nulls(size, pa.binary()),
                         ]
-                        columns[kind] = pa.array(own, pa.int64()) if kind == 2 else own
+                        columns[kind] = pa.array(own, pa.int64()) if kind == 1 else own
                         yield pa.RecordBatch.from_arrays(columns, names)
                 number += 1
 
@@ -208,34 +212,40 @@ def pretrained(docs: DataFrame, training: Column, order: int = ORDER) -> DataFra
     asked = {kind: packed.filter(F.col(kind).isNotNull()) for kind in ("gram", "word")}
     # Each different string and word once, with its count over all training texts.
     known = {
-        kind: storage.written(rows.groupBy(kind).agg(F.sum("n").alias("n")), kind) for kind, rows in asked.items()
+        kind: storage.written(rows.groupBy(kind).agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("slices")), kind)
+        for kind, rows in asked.items()
     }
     ends = packed.filter(F.col("texts").isNotNull()).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     total, different = known["word"].agg(F.coalesce(F.sum("n"), F.lit(0)), F.count_if(F.col("n") > 0)).first()
     total, different = total + ends, different + (ends > 0)
     values = {
-        "gram": trie(known["gram"], order).select("gram", F.log10("p").alias("value")),
+        "gram": storage.written(trie(known["gram"], order).select("gram", F.log10("p").alias("value")), "values"),
         "word": known["word"].select("word", F.col("n").cast("double").alias("value")),
     }
-    answers = [
-        asked[kind].select(kind, "slice", "place").join(values[kind], kind).select("slice", F.lit(kind == "word").alias("is_word"), "place", "value")
-        for kind in asked
-    ]
-    texts = packed.filter(F.col("texts").isNotNull()).select(F.col("slice").alias("of"), "texts")
+    common, answers = {}, []
+    for kind in asked:
+        widest = known[kind].filter("slices > 1").orderBy(F.desc("slices"), kind).limit(COMMON).select(kind)
+        # At most COMMON rows are broadcast and gathered.
+        widest = storage.written(widest, "common")
+        table = values[kind].join(F.broadcast(widest), kind).orderBy(kind).toArrow()
+        common[kind] = (table[kind].combine_chunks(), table["value"].to_numpy())
+        rest = asked[kind].select(kind, "at").join(F.broadcast(widest), kind, "left_anti").join(values[kind], kind)
+        answers.append(_bundled(rest.select("at", F.lit(kind == "word").alias("is_word"), "value")))
+    shipped = docs.sparkSession.sparkContext.broadcast(common)
+    texts = packed.filter(F.col("texts").isNotNull()).select(F.shiftright("at", _PLACE_BITS).alias("of"), "texts")
     kind = source.schema["doc_id"].dataType.simpleString()
 
     def score(slices: pa.Table, answers: pa.Table) -> pa.Table:
+        found = {True: ([], []), False: ([], [])}
+        for is_word, bundle in zip(answers["is_word"].to_pylist(), answers["bundle"].to_pylist(), strict=True):
+            rows = pa.ipc.open_stream(bundle).read_all()
+            found[is_word][0].append(rows["place"].to_numpy())
+            found[is_word][1].append(rows["value"].to_numpy())
+        place, value = zip(*(tuple(np.concatenate([*x, np.zeros(0)]) for x in found[k]) for k in (False, True)), strict=True)
         out = []
-        is_word = answers["is_word"].to_numpy()
-        place, value = answers["place"].to_numpy(), answers["value"].to_numpy()
-        found = []
-        for chosen in (~is_word, is_word):
-            by_place = np.zeros(int(chosen.sum()))
-            by_place[place[chosen]] = value[chosen]
-            found.append(by_place)
         for packed_texts in slices["texts"].to_pylist():
             rows = pa.ipc.open_stream(packed_texts).read_all().combine_chunks().to_batches()[0]
-            out.append(_score(rows, order, *found, ends, total, different))
+            out.append(_score(rows, order, shipped.value, place, value, ends, total, different))
         return pa.concat_tables(out)
 
     return (
@@ -245,8 +255,48 @@ def pretrained(docs: DataFrame, training: Column, order: int = ORDER) -> DataFra
     )
 
 
-def _score(rows: pa.RecordBatch, order: int, gram_value, word_count, ends: int, total: int, different: int) -> pa.Table:
+def _bundled(answers: DataFrame) -> DataFrame:
+    """Answers for one slice from one task as one compressed row. Rows are put in order first, so
+    those of a slice follow each other; a bundle has a bounded number of them."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = batch["at"].to_numpy()
+            number, place = at >> _PLACE_BITS, (at & ((1 << _PLACE_BITS) - 1)).astype(np.int32)
+            cuts = np.append(np.flatnonzero(np.diff(number, prepend=-1)), len(at))
+            values, kinds = batch["value"], batch["is_word"]
+            slices, bundles = [], []
+            for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+                rows = pa.RecordBatch.from_arrays([pa.array(place[a:b]), values.slice(a, b - a)], ["place", "value"])
+                sink = pa.BufferOutputStream()
+                with pa.ipc.new_stream(sink, rows.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+                    out.write_batch(rows)
+                slices.append(int(number[a]))
+                bundles.append(sink.getvalue().to_pybytes())
+            if slices:
+                flags = kinds.take(pa.array(cuts[:-1]))
+                yield pa.RecordBatch.from_arrays([pa.array(slices), flags, pa.array(bundles, pa.binary())], ["slice", "is_word", "bundle"])
+
+    ordered = answers.sortWithinPartitions("at")
+    return ordered.mapInArrow(run, "slice bigint, is_word boolean, bundle binary")
+
+
+def _looked_up(keys, common: tuple, places: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """The value of each key of a slice: from the common ones, or from its answers by place."""
+    out = np.zeros(len(keys))
+    held, held_values = common
+    if len(held):
+        at = _place(held, keys if isinstance(keys, pa.Array) else pa.array(keys, pa.int64()))
+        known = at >= 0
+        out[known] = held_values[at[known]]
+    out[places.astype(np.int64)] = values
+    return out
+
+
+def _score(rows: pa.RecordBatch, order: int, common, place, value, ends: int, total: int, different: int) -> pa.Table:
     all_grams, _, words, _ = _requests(rows, order)
+    gram_value = _looked_up(all_grams, common["gram"], place[0], value[0])
+    word_count = _looked_up(words, common["word"], place[1], value[1])
     n = rows.num_rows
     tokens, known, base, score = np.zeros(n, np.int64), np.zeros(n, np.int64), np.zeros(n), np.zeros(n)
     room = total + different + 1
@@ -254,8 +304,7 @@ def _score(rows: pa.RecordBatch, order: int, gram_value, word_count, ends: int,
         code, owner = grams(w, order)
         score[a:b] = np.bincount(owner, gram_value[np.searchsorted(all_grams, code)], b - a)
         own, codes = w.coded()
-        place = _place(words, own)[codes]
-        doc, count = w.text_of(), word_count[place]
+        doc, count = w.text_of(), word_count[_place(words, own)[codes]]
         tokens[a:b] = w.counts + 1
         known[a:b] = np.bincount(doc, count > 0, b - a) + (ends > 0)
         base[a:b] = np.bincount(doc, np.log10((count + 1) / room), b - a) + math.log10((ends + 1) / room)
@@ -274,7 +323,7 @@ def _score(rows: pa.RecordBatch, order: int, gram_value, word_count, ends: int,
 def _place(values: pa.Array, wanted: pa.Array) -> np.ndarray:
     import pyarrow.compute as pc
 
-    return pc.index_in(wanted, value_set=values).to_numpy(zero_copy_only=False)
+    return pc.index_in(wanted, value_set=values).fill_null(-1).to_numpy(zero_copy_only=False)
 
 
 class Trie:
