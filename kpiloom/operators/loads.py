@@ -8,14 +8,14 @@ from pyspark.sql import functions as F
 from kpiloom.sources import warehouse
 
 
-def unprocessed(staged: DataFrame, processed: DataFrame, key: str) -> DataFrame:
+def unprocessed(staged: DataFrame, processed: DataFrame, *key: str) -> DataFrame:
     """Staged rows whose key no earlier load has finished."""
-    return staged.join(processed.select(key).distinct(), key, "left_anti")
+    return staged.join(processed.select(*key).distinct(), list(key), "left_anti")
 
 
-def processed_keys(loaded: DataFrame, key: str) -> DataFrame:
+def processed_keys(loaded: DataFrame, *key: str) -> DataFrame:
     """Keys to mark after a load: those that were loaded, not whatever arrived meanwhile."""
-    return loaded.select(key).distinct()
+    return loaded.select(*key).distinct()
 
 
 def overwrite_table(df: DataFrame, path: str) -> int:
@@ -25,10 +25,18 @@ def overwrite_table(df: DataFrame, path: str) -> int:
     return seen.get["rows"]
 
 
-def append_fact(fact: DataFrame, path: str, date_id: str) -> int:
-    """Replace the months of a fact that ``fact`` holds and return the rows written."""
+def append_fact(fact: DataFrame, path: str, date_id: str, load_id: str) -> int:
+    """Add a load to a fact, or replace it if it has run before, and return the rows written. Rows
+    of other loads stay, those of the same months too."""
     seen = Observation()
-    warehouse.overwrite_months(fact, path, date_id, seen)
+    warehouse.overwrite_load(fact, path, date_id, load_id, seen)
+    return seen.get["rows"]
+
+
+def replace_months(mart: DataFrame, path: str) -> int:
+    """Replace the months of a stored mart that ``mart`` holds, whole, and return the rows written."""
+    seen = Observation()
+    warehouse.overwrite_months(mart, path, "date_id", seen)
     return seen.get["rows"]
 
 
@@ -44,11 +52,6 @@ AUDIT = (
 )
 
 
-def audit_row(spark, process, source, table, count, status, start, end=None, error=None) -> DataFrame:
-    """One audit row per load step. Rows come from the driver: there are as many as tables."""
-    return spark.createDataFrame([(process, source, table, count, status, start, end, error)], AUDIT)
-
-
 def audit_summary(audit: DataFrame) -> DataFrame:
     """Final state of each table of a process: rows, status and number of attempts."""
     closed = F.col("status") != "IN_PROGRESS"

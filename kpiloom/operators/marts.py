@@ -150,3 +150,11 @@ def rollup_category_day(product_sales: DataFrame, products: DataFrame) -> DataFr
 def customers_approx_daily(order_totals: DataFrame) -> DataFrame:
     """Sketched distinct customers per day: one pass and one small shuffle."""
     return order_totals.groupBy("date").agg(F.approx_count_distinct("customer_id", 0.02).alias("approx_customers"))
+
+
+def customers_sketch_check(order_totals: DataFrame, bound: float = 0.1) -> DataFrame:
+    """The exact count of each day, and whether the sketch stays within ``bound`` of it (or one)."""
+    exact = order_totals.groupBy("date").agg(F.countDistinct("customer_id").alias("customers"))
+    off = F.abs(F.col("approx_customers") - F.col("customers"))
+    within = off <= F.greatest(F.lit(1.0), bound * F.col("customers"))
+    return exact.join(customers_approx_daily(order_totals), "date").select("date", "customers", within.alias("within_bound"))

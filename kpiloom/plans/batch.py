@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timezone
 
@@ -45,10 +46,19 @@ def staging_checks(
 
 
 class _Run:
-    """Writes tables under one folder and keeps an audit row for each."""
+    """Writes tables under one folder and keeps audit rows for each: one before a step begins and
+    one when it has ended, so a step that a lost driver leaves behind stands there as begun."""
 
-    def __init__(self, spark: SparkSession, out: str):
-        self.spark, self.out, self.rows = spark, out, []
+    def __init__(self, spark: SparkSession, out: str, load_id: str = "all"):
+        # Letters in front: folder names that look like numbers would be read back as numbers.
+        self.spark, self.out, self.load_id = spark, out, f"load-{load_id}"
+        self.run_id, self.rows = f"run-{uuid.uuid4().hex}", []
+
+    def begin(self, *tables: str) -> None:
+        """Note steps that are about to run; steps of one group share a file."""
+        now = datetime.now(timezone.utc)
+        rows = [(PROCESS, SOURCE, table, None, "IN_PROGRESS", now, None, None) for table in tables]
+        warehouse.append(self.spark.createDataFrame(rows, loads.AUDIT).coalesce(1), f"{self.out}/dw_load_audit")
 
     def _audited(self, table: str, write) -> DataFrame:
         path = f"{self.out}/{table}"
@@ -65,7 +75,16 @@ class _Run:
         return self._audited(name, lambda path: loads.overwrite_table(facts.with_load_times(df), path))
 
     def fact(self, name: str, df: DataFrame, date_id: str) -> DataFrame:
-        return self._audited(name, lambda path: loads.append_fact(facts.with_load_times(df), path, date_id))
+        return self._audited(
+            name, lambda path: loads.append_fact(facts.with_load_times(df), path, date_id, self.load_id)
+        )
+
+    def log(self, checks: DataFrame) -> DataFrame:
+        """Add the checks of this run to the quality log; only these are returned."""
+        name = "data_quality_log"
+        rows = checks.withColumn("run_timestamp", F.current_timestamp())
+        write = lambda path: loads.overwrite_table(facts.with_load_times(rows), f"{path}/run_id={self.run_id}")
+        return self._audited(name, write).filter(F.col("run_id") == self.run_id)
 
     def together(self, *steps) -> list[DataFrame]:
         """Steps that do not need each other, as concurrent jobs of the one session."""
@@ -73,8 +92,9 @@ class _Run:
             return [done.result() for done in [pool.submit(inheritable_thread_target(self.spark)(step)) for step in steps]]
 
     def close(self) -> None:
-        audit = self.spark.createDataFrame(self.rows, loads.AUDIT)
-        warehouse.append(audit.coalesce(1), f"{self.out}/dw_load_audit")
+        if self.rows:
+            audit = self.spark.createDataFrame(self.rows, loads.AUDIT)
+            warehouse.append(audit.coalesce(1), f"{self.out}/dw_load_audit")
 
 
 def fact_order_totals(fact_orders: DataFrame) -> DataFrame:
@@ -93,7 +113,8 @@ def fact_order_totals(fact_orders: DataFrame) -> DataFrame:
 
 def run_batch(spark: SparkSession, src: str, out: str, strict: bool = True) -> None:
     """Validate staging, then load a whole warehouse into ``out``. Running it again gives the
-    same tables. With ``strict`` a failed check stops the batch before anything is loaded.
+    same tables, and adds to the quality log and the audit. With ``strict`` a failed check stops the
+    batch before anything is loaded.
 
     Each table is written once and counted by its own write; later steps read the stored
     tables, so a lost executor costs one step and never the chain before it.
@@ -113,13 +134,18 @@ def _validate(run: _Run, spark: SparkSession, src: str, strict: bool) -> None:
         staging.deliveries(spark, src),
         staging.transactions(spark, src),
     )
-    logged = run.table("data_quality_log", checks.withColumn("run_timestamp", F.current_timestamp()))
+    run.begin("data_quality_log")
+    logged = run.log(checks)
     if strict:
         quality.raise_on_failure(logged)
 
 
 def _load(run: _Run, spark: SparkSession, src: str) -> None:
     days = staging.raw(spark, src, "orders").select(F.to_date("o_orderdate").alias("date"))
+    run.begin(
+        "fact_orders", "fact_deliveries", "fact_transactions", "fact_budget_actuals", "dim_products", "dim_gl_accounts",
+        "dim_dates",
+    )
     orders, deliveries, ledger, budget, products, _, _ = run.together(
         lambda: run.fact("fact_orders", facts.orders(staging.orders(spark, src)), "order_date_id"),
         lambda: run.fact("fact_deliveries", facts.deliveries(staging.deliveries(spark, src)), "delivery_date_id"),
@@ -136,6 +162,10 @@ def _load(run: _Run, spark: SparkSession, src: str) -> None:
         lambda: run.table("dim_dates", dimensions.dates_spanning(days)),
     )
     totals = fact_order_totals(orders)
+    run.begin(
+        "dim_customers", "dim_suppliers", "ecommerce_daily_metrics", "supply_chain_daily_metrics",
+        "financial_daily_metrics", "unified_kpi_metrics",
+    )
     staged_suppliers = staging.suppliers(spark, src)
     run.together(
         lambda: run.table("dim_customers", dimensions.customers(staging.customers(spark, src), totals)),
@@ -149,3 +179,61 @@ def _load(run: _Run, spark: SparkSession, src: str) -> None:
             "unified_kpi_metrics", marts.unified_daily(totals, deliveries, staged_suppliers, products)
         ),
     )
+
+
+def run_increment(
+    spark: SparkSession, lines: DataFrame, deliveries: DataFrame, sessions: DataFrame, products: DataFrame, out: str,
+    load_id: str,
+) -> None:
+    """Load what has arrived and no finished load has taken: facts, then the shop and supply-chain
+    marts of the months they touch, then the marks of what was loaded. Lines of one order arrive
+    together.
+
+    ``lines`` and ``deliveries`` are staged order lines (as ``staging.orders`` gives them) and
+    deliveries, all that is there so far. A load that broke off is run again under its id: it
+    replaces its own rows, and marks are set last. Marts are worked out anew from the stored facts
+    of their months, so late rows of an old month count there.
+    """
+    run = _Run(spark, out, load_id)
+    try:
+        run.begin("fact_orders", "fact_deliveries")
+        orders, delivered = run.together(
+            lambda: run.fact("fact_orders", facts.orders(_unmarked(run, lines, "orders")), "order_date_id"),
+            lambda: run.fact(
+                "fact_deliveries", facts.deliveries(_unmarked(run, deliveries, "deliveries")), "delivery_date_id"
+            ),
+        )
+        run.begin("ecommerce_daily_metrics", "supply_chain_daily_metrics")
+        shop = marts.ecommerce_daily(fact_order_totals(_touched(orders, run.load_id)), sessions, products)
+        in_months = _touched(orders, run.load_id).select("month_id").distinct()
+        shop = shop.withColumn("month", F.floor(F.col("date_id") / 100).cast("int"))
+        shop = shop.join(in_months, F.col("month") == F.col("month_id"), "left_semi").drop("month")
+        chain = marts.supply_chain_daily(_touched(delivered, run.load_id))
+        run.together(
+            lambda: run._audited("ecommerce_daily_metrics", lambda path: loads.replace_months(shop, path)),
+            lambda: run._audited("supply_chain_daily_metrics", lambda path: loads.replace_months(chain, path)),
+        )
+        for name, fact in (("orders", orders), ("deliveries", delivered)):
+            own = loads.processed_keys(fact.filter(F.col("load_id") == run.load_id), *MARKS[name])
+            warehouse.overwrite(own, f"{out}/processed_{name}/load_id={run.load_id}")
+    finally:
+        run.close()
+
+
+#: What a load marks as done. An id may be delivered on several days.
+MARKS = {"orders": ("order_id",), "deliveries": ("delivery_id", "delivery_date")}
+
+
+def _unmarked(run: _Run, staged: DataFrame, name: str) -> DataFrame:
+    """Staged rows that no finished load but this one has marked."""
+    path = f"{run.out}/processed_{name}"
+    if not warehouse.exists(run.spark, path):
+        return staged
+    marked = warehouse.read(run.spark, path).filter(F.col("load_id") != run.load_id)
+    return loads.unprocessed(staged, marked, *MARKS[name])
+
+
+def _touched(fact: DataFrame, load_id: str) -> DataFrame:
+    """The stored rows, of all loads, of the months that one load has rows in."""
+    months = fact.filter(F.col("load_id") == load_id).select("month_id").distinct()
+    return fact.join(months, "month_id", "left_semi")

@@ -124,7 +124,7 @@ def kpi_rollup_category_day(spark, src):
 
 @query
 def customers_approx_daily(spark, src):
-    return marts.customers_approx_daily(staging.order_totals(spark, src))
+    return marts.customers_sketch_check(staging.order_totals(spark, src))
 
 
 # --- serving ---------------------------------------------------------------------------------
@@ -369,15 +369,31 @@ def incremental_unprocessed(spark, src):
 
 @query
 def incremental_fact_append(spark, src):
-    """Deliveries loaded in two overlapping runs, the second of them twice, into one table."""
+    """Deliveries loaded in two runs, the second of them twice, into one table. The cut is in the
+    middle of a month, and every tenth of the earlier rows arrives late, with the second load."""
     path = session.work_dir(spark, "fact_deliveries")
     fact = frames.fact_deliveries(spark, src)
-    first, second = F.col("delivery_date_id") < 19990101, F.col("delivery_date_id") >= 19980101
-    for part in (first, second, second):
-        loads.append_fact(fact.filter(part), path, "delivery_date_id")
+    on_time = (F.col("delivery_date_id") < 19980115) & (F.col("delivery_id") % 10 != 3)
+    for part, load in ((on_time, "load-1"), (~on_time, "load-2"), (~on_time, "load-2")):
+        loads.append_fact(fact.filter(part), path, "delivery_date_id", load)
     return loads.month_totals(warehouse.read(spark, path), "total_cost")
 
 
+@query
+def incremental_batch(spark, src):
+    """The supply-chain mart after two incremental runs. The first sees what lies before the middle
+    of a month, but for every tenth order and delivery; the second sees everything and loads the
+    rest, late rows of old months among it."""
+    out = session.work_dir(spark, "increments")
+    lines, deliveries = staging.orders(spark, src), staging.deliveries(spark, src)
+    clicks, products = staging.sessions(spark, src), frames.dim_products(spark, src)
+    early = (F.col("order_date") < "1997-01-15") & (F.col("order_id") % 10 != 3)
+    arrived = (F.col("delivery_date") < "1997-01-15") & (F.col("delivery_id") % 10 != 3)
+    batch.run_increment(spark, lines.filter(early), deliveries.filter(arrived), clicks, products, out, "1")
+    batch.run_increment(spark, lines, deliveries, clicks, products, out, "2")
+    return warehouse.read(spark, f"{out}/supply_chain_daily_metrics").drop("month_id")
+
+
 @query
 def load_audit_summary(spark, src):
     """The audit of a whole batch run from raw tables to marts."""
@@ -402,12 +418,26 @@ def encode_batch_keyed(spark, src):
     return events.messages_per_key(messages)
 
 
+def _csv_round_trip(spark, mart, name):
+    path = f"{session.work_dir(spark, 'csv')}/{name}"
+    schema = schemas.MART_FILES[name]
+    warehouse.write_csv(mart.select(*(field.split()[0] for field in schema.split(","))), path)
+    return warehouse.read_csv(spark, path, schema)
+
+
 @query
 def csv_mart_roundtrip(spark, src):
-    path = session.work_dir(spark, "csv")
-    name = "supply_chain_daily_metrics"
-    warehouse.write_csv(frames.supply_chain(spark, src).select(*serving.SUPPLY_CHAIN), f"{path}/{name}")
-    return warehouse.read_csv(spark, f"{path}/{name}", schemas.MART_FILES[name])
+    return _csv_round_trip(spark, frames.supply_chain(spark, src), "supply_chain_daily_metrics")
+
+
+@query
+def csv_ecommerce_roundtrip(spark, src):
+    return _csv_round_trip(spark, frames.ecommerce(spark, src), "ecommerce_daily_metrics")
+
+
+@query
+def csv_financial_roundtrip(spark, src):
+    return _csv_round_trip(spark, frames.financial(spark, src), "financial_daily_metrics")
 
 
 # --- streams ---------------------------------------------------------------------------------

@@ -833,6 +833,13 @@ twin(
     f"""SELECT CAST(delivery_date_id // 100 AS INTEGER) AS month_id, count(*) AS rows, {dbl('sum(total_cost)')} AS amount
 FROM fact_deliveries GROUP BY delivery_date_id // 100""",
 )
+twin("incremental_batch", ("supply_chain",), "SELECT * FROM supply_chain")
+twin(
+    "customers_approx_daily",
+    ("heads", "lines"),
+    """SELECT date, count(DISTINCT customer_id) AS customers, true AS within_bound FROM heads
+WHERE order_id IN (SELECT order_id FROM lines) GROUP BY date""",
+)
 AUDITED = {
     "dim_products": "stg_products",
     "dim_gl_accounts": "stg_gl_accounts",
@@ -876,6 +883,16 @@ twin(
 FROM fact_transactions GROUP BY gl_account_id""",
 )
 twin("csv_mart_roundtrip", ("supply_chain",), f"SELECT {CHAIN} FROM supply_chain")
+twin(
+    "csv_ecommerce_roundtrip",
+    ("ecommerce",),
+    "SELECT date, total_orders, total_customers, total_revenue, average_order_value, conversion_rate, inventory_turnover FROM ecommerce",
+)
+twin(
+    "csv_financial_roundtrip",
+    ("financial",),
+    "SELECT date, total_revenue, total_expense, net_income, gross_margin_pct FROM financial",
+)
 twin(
     "stream_decode_orders",
     ("stg_orders",),
@@ -900,7 +917,7 @@ FROM fact_transactions GROUP BY date, transaction_type""",
 )
 twin(
     "stream_multi_topic_route",
-    ("stg_orders", "fact_deliveries", "fact_transactions", "fact_budget_actuals"),
+    ("stg_orders", "stg_customers", "fact_deliveries", "fact_transactions", "fact_budget_actuals"),
     f"""SELECT topic, count(*) AS messages, count(DISTINCT key) AS keys, {dbl('sum(amount)')} AS amount
 FROM (SELECT 'ecommerce.orders' AS topic, order_id AS key, total_amount AS amount FROM stg_orders
       UNION ALL SELECT 'supply_chain.deliveries', delivery_id, total_cost FROM fact_deliveries
@@ -908,6 +925,9 @@ FROM (SELECT 'ecommerce.orders' AS topic, order_id AS key, total_amount AS amoun
       UNION ALL SELECT 'financials.budgets', budget_id, budget_amount FROM fact_budget_actuals WHERE budget_id IS NOT NULL
       UNION ALL SELECT 'financials.actuals', date_id * 10 + CAST(left(gl_account_id, 1) AS INTEGER), actual_amount
         FROM fact_budget_actuals WHERE actual_amount IS NOT NULL
+      UNION ALL SELECT 'supply_chain.purchase_orders', po_id, total_cost FROM fact_deliveries
+      UNION ALL SELECT 'ecommerce.customers', customer_id, NULL FROM stg_customers
+      UNION ALL SELECT 'supply_chain.suppliers', s_suppkey, NULL FROM supplier
       UNION ALL SELECT 'ecommerce.inventory', user_id, {STOCK} FROM events)
 GROUP BY topic""",
 )

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import math
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -48,7 +47,7 @@ def sized_for(input_bytes: int, shuffled_share: float = 0.2) -> dict[str, str]:
     small, so the number is an upper bound.
     """
     task = 256 * 1024**2
-    partitions = min(max(math.ceil(input_bytes * shuffled_share / task), 200), 100_000)
+    partitions = max(math.ceil(input_bytes * shuffled_share / task), 200)
     return {
         "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256MB",
@@ -59,7 +58,8 @@ def sized_for(input_bytes: int, shuffled_share: float = 0.2) -> dict[str, str]:
 def tune(spark: SparkSession) -> SparkSession:
     """Apply the job settings to a session made elsewhere.
 
-    On ``local[n]`` the default of 200 shuffle partitions is only overhead, so an untouched
+    They are set whatever the session had before: results are compared in UTC, and loads rely on
+    dynamic partition overwrite. On ``local[n]`` the default of 200 shuffle partitions is only overhead, so an untouched
     default is lowered to the core count. On a cluster the configured width is kept.
     """
     for key, value in JOB_SETTINGS.items():
@@ -76,12 +76,9 @@ def is_local(spark: SparkSession) -> bool:
 def work_dir(spark: SparkSession, label: str) -> str:
     """A fresh folder for written tables and stream checkpoints.
 
-    It lies in the shared folder that the cluster names in ``spark.checkpoint.dir``. Only a
-    local master may go without that setting: there driver and tasks share one disk.
+    It lies in the shared folder that the cluster names in ``spark.checkpoint.dir``; where that is
+    unset, as in tests, in the session's warehouse. Never in a temporary folder of one machine. The
+    caller owns the folder and may delete it when its tables are no longer read.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not is_local(spark):
-            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-        base = tempfile.mkdtemp(prefix="run-")
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"

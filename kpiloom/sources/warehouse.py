@@ -1,8 +1,9 @@
 """Reading and writing warehouse tables.
 
-Dimensions and marts are overwritten whole. Facts are partitioned by month and written with
-dynamic partition overwrite: a repeated load replaces the months it touches and leaves the
-others alone, so it can be run again after any failure.
+Dimensions are overwritten whole, marts by the months that a load touches. Facts are the union of
+their loads: each load has a folder of its own, partitioned by month. A repeated load replaces its
+own folder and nothing else, so it can be run again after any failure, and rows that arrive late for
+an old month join those that are there.
 """
 
 from __future__ import annotations
@@ -15,6 +16,11 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+
 def overwrite(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
@@ -23,10 +29,18 @@ def append(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
 
+def overwrite_load(df: DataFrame, path: str, date_id: str, load_id: str, seen: Observation | None = None) -> None:
+    """Write the rows of one load, in place of what an earlier run of this load has written."""
+    _by_month(df, f"{path}/load_id={load_id}", date_id, "static", seen)
+
+
 def overwrite_months(df: DataFrame, path: str, date_id: str, seen: Observation | None = None) -> None:
-    """Replace the months present in ``df``; other months stay as they are.
+    """Replace the months present in ``df``, which holds them whole; other months stay as they are."""
+    _by_month(df, path, date_id, "dynamic", seen)
+
 
-    The rebalance hint gathers each month into few files and lets AQE split a month that
+def _by_month(df: DataFrame, path: str, date_id: str, mode: str, seen: Observation | None) -> None:
+    """The rebalance hint gathers each month into few files and lets AQE split a month that
     holds most of the rows over several tasks.
     """
     rows = df.withColumn("month_id", F.floor(F.col(date_id) / 100).cast("int")).hint("rebalance", "month_id")
@@ -35,7 +49,7 @@ def overwrite_months(df: DataFrame, path: str, date_id: str, seen: Observation |
         rows = rows.observe(seen, F.count(F.lit(1)).alias("rows"))
     (
         rows.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
+        .option("partitionOverwriteMode", mode)
         .partitionBy("month_id")
         .parquet(path)
     )

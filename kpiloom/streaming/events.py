@@ -31,8 +31,12 @@ def parse(value: Column, kind: str) -> Column:
 
 
 def decode(messages: DataFrame, kind: str) -> DataFrame:
-    """Messages with their parsed ``event`` and an ``is_corrupt`` flag."""
-    parsed = messages.withColumn("event", parse(F.col("value"), kind))
+    """Messages with their parsed ``event`` and an ``is_corrupt`` flag.
+
+    The event goes through an array of one: no filter or projection is moved below that, so each
+    message is parsed once, however often its fields are used.
+    """
+    parsed = messages.select("*", F.explode(F.array(parse(F.col("value"), kind))).alias("event"))
     return parsed.withColumn("is_corrupt", F.col("event").isNull() | F.col(f"event.{CORRUPT}").isNotNull())
 
 

@@ -88,8 +88,8 @@ def stream_land_staging(spark: SparkSession, src: str) -> DataFrame:
 
 
 def stream_multi_topic_route(spark: SparkSession, src: str) -> DataFrame:
-    """Six topics in one stream: each message is parsed by its topic's schema and lands in its
-    topic's partition, in a single pass."""
+    """All nine topics in one stream: each message is parsed by its topic's schema and lands in its
+    topic's partition, in a single pass. Customers and suppliers carry no amount."""
     landing = work_dir(spark, "topics")
     amounts = {
         "orders": "total_amount",
@@ -98,6 +98,9 @@ def stream_multi_topic_route(spark: SparkSession, src: str) -> DataFrame:
         "budgets": "budget_amount",
         "actuals": "actual_amount",
         "inventory": "stock_level",
+        "purchase_orders": "total_cost",
+        "customers": None,
+        "suppliers": None,
     }
     for kind in amounts:
         land(events.encode(events.EVENT_MAKERS[kind](spark, src), kind), landing)
@@ -105,7 +108,7 @@ def stream_multi_topic_route(spark: SparkSession, src: str) -> DataFrame:
     def amount(kind: str) -> Column:
         return events.parse(F.col("value"), kind)[amounts[kind]].cast("decimal(15,2)")
 
-    routed = F.coalesce(*(F.when(F.col("topic") == TOPICS[kind], amount(kind)) for kind in amounts))
+    routed = F.coalesce(*(F.when(F.col("topic") == TOPICS[kind], amount(kind)) for kind in amounts if amounts[kind]))
     table = append_to_table(
         spark, message_stream(spark, landing).select("topic", "key", routed.alias("amount")), "routed", partition_by=["topic"]
     )

@@ -94,3 +94,8 @@ def test_one_hot_order_is_split(spark, tmp_path):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.unset("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes")
         spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+
+
+def test_messages_are_parsed_once(spark, src):
+    plan = entry_points.queries()["encode_order_events"](spark, src)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("from_json(") == 1

@@ -166,15 +166,25 @@ def test_unknown_enum_members(spark):
     assert quality.enum_domain(df, "t", "s", schemas.PAYMENT_STATUS).first()["failed_count"] == 1
 
 
-def test_reload_replaces_only_its_months(spark, src, tmp_path):
+def test_loads_of_one_month_add_up(spark, src, tmp_path):
+    path = str(tmp_path / "fact")
+    march = frames.fact_deliveries(spark, src).filter("delivery_date_id between 19970301 and 19970331")
+    first, second = march.filter("delivery_date_id <= 19970315"), march.filter("delivery_date_id > 19970315")
+    counts = [loads.append_fact(part, path, "delivery_date_id", load) for part, load in ((first, "a"), (second, "b"), (second, "b"))]
+    assert counts[1] == counts[2] and counts[0] > 0 < counts[1]
+    stored = warehouse.read(spark, path)
+    assert stored.count() == stored.select("delivery_id").distinct().count() == counts[0] + counts[1] == march.count()
+
+
+def test_reload_replaces_its_own_rows_only(spark, src, tmp_path):
     path = str(tmp_path / "fact")
     fact = frames.fact_deliveries(spark, src)
-    total = fact.count()
-    assert loads.append_fact(fact, path, "delivery_date_id") == total
-    part = fact.filter("delivery_date_id between 19970301 and 19970430")
-    assert loads.append_fact(part, path, "delivery_date_id") == part.count()
+    loads.append_fact(fact.filter("delivery_id % 2 = 0"), path, "delivery_date_id", "even")
+    loads.append_fact(fact.filter("delivery_id % 2 = 1"), path, "delivery_date_id", "odd")
+    corrected = fact.filter("delivery_id % 2 = 1 and delivery_date_id < 19970101")
+    loads.append_fact(corrected, path, "delivery_date_id", "odd")
     stored = warehouse.read(spark, path)
-    assert stored.count() == total
+    assert stored.count() == fact.filter("delivery_id % 2 = 0").count() + corrected.count()
     assert "PartitionFilters: [isnotnull(month_id" in stored.filter("month_id = 199703")._jdf.queryExecution().executedPlan().toString()
 
 
@@ -196,6 +206,34 @@ def test_batch_twice_gives_the_same_tables(spark, src, tmp_path):
     assert first["ecommerce_daily_metrics"] == direct
     audit = loads.audit_summary(warehouse.read(spark, f"{out}/dw_load_audit"))
     assert {(r["status"], r["attempts"]) for r in audit.collect()} == {("SUCCESS", 2)} and audit.count() == 14
+    begun = warehouse.read(spark, f"{out}/dw_load_audit").filter("status = 'IN_PROGRESS'")
+    assert begun.count() == 2 * 14
+    logged = warehouse.read(spark, f"{out}/data_quality_log").groupBy("run_id").count().collect()
+    assert len(logged) == 2 and len({r["count"] for r in logged}) == 1
+
+
+def test_increments_equal_one_full_run(spark, src, tmp_path):
+    lines, deliveries = staging.orders(spark, src), staging.deliveries(spark, src)
+    clicks, products = staging.sessions(spark, src), frames.dim_products(spark, src)
+    early = lines.filter("order_date < '1997-01-15' and order_id % 10 != 3")
+    arrived = deliveries.filter("delivery_date < '1997-01-15' and delivery_id % 10 != 3")
+    out, whole = str(tmp_path / "parts"), str(tmp_path / "whole")
+    batch.run_increment(spark, early, arrived, clicks, products, out, "1")
+    batch.run_increment(spark, lines, deliveries, clicks, products, out, "2")
+    batch.run_increment(spark, lines, deliveries, clicks, products, out, "2")  # run again: nothing changes
+    batch.run_increment(spark, lines, deliveries, clicks, products, whole, "1")
+    for name in ("ecommerce_daily_metrics", "supply_chain_daily_metrics"):
+        one, other = (sorted(map(tuple, warehouse.read(spark, f"{x}/{name}").collect()), key=repr) for x in (out, whole))
+        assert one == other and one
+    audit = warehouse.read(spark, f"{out}/dw_load_audit").filter("table_name = 'fact_orders' and status = 'SUCCESS'")
+    counts = sorted(r["record_count"] for r in audit.collect())
+    assert counts == sorted([early.count(), *[lines.count() - early.count()] * 2])
+
+
+def test_begun_step_stays_in_the_audit(spark, tmp_path):
+    batch._Run(spark, str(tmp_path)).begin("fact_orders")  # and the driver is lost
+    row = warehouse.read(spark, f"{tmp_path}/dw_load_audit").first()
+    assert (row["table_name"], row["status"], row["end_time"]) == ("fact_orders", "IN_PROGRESS", None)
 
 
 def test_failed_step_is_audited(spark, tmp_path):
@@ -214,18 +252,18 @@ def test_sizes_follow_the_input():
 
 
 class Cluster:
-    """A session as far as the work folder is concerned, on a master that is not local."""
+    """A session as far as the work folder is concerned."""
 
     def __init__(self, folder):
-        self.conf = {"spark.checkpoint.dir": folder} if folder else {}
-        self.sparkContext = type("Context", (), {"master": "spark://host:7077"})
+        self.conf = {"spark.sql.warehouse.dir": "hdfs://shared/warehouse"}
+        if folder:
+            self.conf["spark.checkpoint.dir"] = folder
 
 
 def test_work_folder_comes_from_the_session(spark):
     first, second = (session.work_dir(Cluster("hdfs://shared/check/"), "x") for _ in range(2))
     assert first.startswith("hdfs://shared/check/x-") and first != second
-    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        session.work_dir(Cluster(None), "x")
+    assert session.work_dir(Cluster(None), "x").startswith("hdfs://shared/warehouse/x-")
     assert session.work_dir(spark, "x").split("/")[-1].startswith("x-")
 
 
