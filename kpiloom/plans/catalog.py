@@ -153,7 +153,9 @@ def _shop_range(spark, src, granularity):
 
 @query
 def conversion_rate_stats(spark, src):
-    return serving.conversion_rate_stats(frames.ecommerce(spark, src))
+    """The newest day comes from the raw columns, and only the days in question are built."""
+    newest = F.greatest(staging.newest_sold_day(spark, src), staging.newest_click_day(spark, src))
+    return serving.conversion_rate_stats(frames.ecommerce(spark, src, F.date_sub(newest, 30), newest))
 
 
 @query
@@ -184,9 +186,9 @@ def unified_kpis_range(spark, src):
 
 @query
 def kpi_summary_latest(spark, src):
-    return serving.kpi_summary(
-        frames.ecommerce(spark, src), frames.supply_chain(spark, src), frames.financial(spark, src)
-    )
+    """The newest day with orders is found first; the three marts are built for that day alone."""
+    day = staging.newest_sold_day(spark, src)
+    return serving.kpi_summary(*(mart(spark, src, day, day) for mart in (frames.ecommerce, frames.supply_chain, frames.financial)))
 
 
 @query

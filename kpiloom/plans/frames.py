@@ -40,7 +40,7 @@ def dim_suppliers(spark: SparkSession, src: str) -> DataFrame:
 
 def ecommerce(spark: SparkSession, src: str, start=None, end=None) -> DataFrame:
     return marts.ecommerce_daily(
-        staging.order_totals(spark, src, start, end), staging.sessions(spark, src), dim_products(spark, src)
+        staging.order_totals(spark, src, start, end), staging.sessions(spark, src, start, end), dim_products(spark, src)
     )
 
 

@@ -181,6 +181,19 @@ def newest_order_day(spark: SparkSession, src: str) -> Column:
     return raw(spark, src, "orders").agg(F.to_date(F.max("o_orderdate"))).scalar()
 
 
+def newest_sold_day(spark: SparkSession, src: str) -> Column:
+    """The last date of an order that has lines, as a scalar subquery over two key columns."""
+    lines = raw(spark, src, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"))
+    sold = raw(spark, src, "orders").join(lines, "o_orderkey", "left_semi")
+    return sold.agg(F.to_date(F.max("o_orderdate"))).scalar()
+
+
+def newest_click_day(spark: SparkSession, src: str) -> Column:
+    """The last day of the click stream, moved back onto the order days, as a scalar subquery."""
+    newest = F.date_sub(F.to_date(F.max("ts")), CLICKSTREAM_SHIFT_DAYS)
+    return raw(spark, src, "events").agg(newest).scalar()
+
+
 def orders(spark: SparkSession, src: str, start: Day = None, end: Day = None) -> DataFrame:
     """Staged orders: one row per order line, since an order event carries one product."""
     return (
@@ -228,11 +241,19 @@ def daily_product_sales(spark: SparkSession, src: str, start: Day = None) -> Dat
     )
 
 
-def sessions(spark: SparkSession, src: str) -> DataFrame:
-    """A session is one user's day in the click stream; cart = any click, order = any purchase."""
+def _clicked(day: Day) -> Day:
+    """The day of the click stream that stands for an order day."""
+    if isinstance(day, date):
+        return day + timedelta(days=CLICKSTREAM_SHIFT_DAYS)
+    return None if day is None else F.date_add(day, CLICKSTREAM_SHIFT_DAYS)
+
+
+def sessions(spark: SparkSession, src: str, start: Day = None, end: Day = None) -> DataFrame:
+    """A session is one user's day in the click stream; cart = any click, order = any purchase. A
+    range of order days is moved onto the click stream, so it reaches the scan of the events."""
     day = F.to_date("ts")
     return (
-        raw(spark, src, "events")
+        in_days(raw(spark, src, "events"), "ts", _clicked(start), _clicked(end))
         .groupBy("user_id", day.alias("click_day"))
         .agg(
             F.max(flag(F.col("event_type") == "purchase")).alias("has_order"),
