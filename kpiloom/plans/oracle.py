@@ -964,12 +964,12 @@ twin(
     "stream_sessions",
     (),
     f"""SELECT user_id, {text('min(ts)')} AS session_start, {text('max(ts) + INTERVAL 30 MINUTES')} AS session_end,
-       count(*) AS events, {dbl(f'sum({AMOUNT})')} AS total_value
+       count(*) AS events, {dbl(f'sum({AMOUNT})')} AS total_value,
+       max(ts) + INTERVAL 30 MINUTES > (SELECT date_trunc('milliseconds', max(ts)) FROM events) - INTERVAL 1 HOUR AS is_open
 FROM (SELECT *, sum(CASE WHEN ts <= before + INTERVAL 30 MINUTES THEN 0 ELSE 1 END)
                   OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS s
       FROM (SELECT *, lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS before FROM events))
-GROUP BY user_id, s
-HAVING max(ts) + INTERVAL 30 MINUTES <= (SELECT date_trunc('milliseconds', max(ts)) FROM events) - INTERVAL 1 HOUR""",
+GROUP BY user_id, s""",
 )
 twin(
     "stream_inventory_low",
@@ -989,8 +989,9 @@ twin(
   FROM events),
 minutes AS (
   SELECT event_type, user_id, date_trunc('minute', ts) AS minute, count(*) AS n, sum({AMOUNT}) AS amount
-  FROM events GROUP BY ALL HAVING date_trunc('minute', ts) + INTERVAL 1 MINUTE <= (SELECT w FROM closing))
-SELECT user_id, {text('minute')} AS minute, n AS purchases, {dbl('amount')} AS amount
+  FROM events GROUP BY ALL)
+SELECT user_id, {text('minute')} AS minute, n AS purchases, {dbl('amount')} AS amount,
+  minute + INTERVAL 1 MINUTE > (SELECT w FROM closing) AS is_open
 FROM minutes b WHERE event_type = 'purchase' AND EXISTS (
   SELECT 1 FROM minutes c WHERE c.event_type = 'click' AND c.user_id = b.user_id
     AND c.minute BETWEEN b.minute - INTERVAL 60 MINUTES AND b.minute)""",

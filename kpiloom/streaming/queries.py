@@ -169,21 +169,28 @@ def stream_zscore(spark: SparkSession, src: str) -> DataFrame:
 
 
 def stream_sessions(spark: SparkSession, src: str) -> DataFrame:
-    """User sessions with a gap of 30 minutes, once the watermark (1 hour) has closed them."""
-    sessions = (
-        event_stream(spark, src)
-        .withWatermark("ts", "1 hour")
-        .groupBy("user_id", F.session_window("ts", "30 minutes").alias("s"))
-        .agg(F.count(F.lit(1)).alias("events"), F.sum(F.col("value").cast(VALUE)).alias("total"))
-        .select("user_id", F.col("s.start").alias("start"), F.col("s.end").alias("end"), "events", "total")
-    )
-    table = append_to_table(spark, sessions, "sessions")
+    """User sessions with a gap of 30 minutes: those that the watermark (1 hour) has closed, and,
+    marked as open, those that may still grow. A user's open sessions hold what lies behind the end
+    of the last closed one."""
+
+    def sessions(events: DataFrame) -> DataFrame:
+        found = events.groupBy("user_id", F.session_window("ts", "30 minutes").alias("s"))
+        found = found.agg(F.count(F.lit(1)).alias("events"), F.sum(F.col("value").cast(VALUE)).alias("total"))
+        return found.select("user_id", F.col("s.start").alias("start"), F.col("s.end").alias("end"), "events", "total")
+
+    closed = append_to_table(spark, sessions(event_stream(spark, src).withWatermark("ts", "1 hour")), "sessions")
+    behind = closed.groupBy(F.col("user_id").alias("of")).agg(F.max("end").alias("closed_until"))
+    arrived = staging.raw(spark, src, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    tail = arrived.join(behind, F.col("user_id") == F.col("of"), "left")
+    tail = sessions(tail.filter("closed_until is null or ts >= closed_until"))
+    table = closed.withColumn("is_open", F.lit(False)).unionByName(tail.withColumn("is_open", F.lit(True)))
     return table.select(
         "user_id",
         _text(F.col("start")).alias("session_start"),
         _text(F.col("end")).alias("session_end"),
         "events",
         F.col("total").cast("double").alias("total_value"),
+        "is_open",
     )
 
 
@@ -229,34 +236,44 @@ def stream_click_to_purchase(spark: SparkSession, src: str) -> DataFrame:
 
     Both sides are first reduced to user and minute by the stream itself. The semi join then
     holds at most one row per user and minute and emits a purchase minute once, so a hot user
-    never yields all pairs of clicks and purchases. A minute counts when the watermark has
-    closed it.
+    never yields all pairs of clicks and purchases. The stream gives a minute when the watermark
+    has closed it; those behind the watermark are worked out from what has arrived, and marked as
+    open.
     """
 
-    def per_minute(kind: str) -> DataFrame:
-        return (
-            event_stream(spark, src)
-            .filter(F.col("event_type") == kind)
-            .withWatermark("ts", "10 minutes")
-            .groupBy("user_id", F.window("ts", "1 minute").alias("w"))
+    def joined(events: DataFrame) -> DataFrame:
+        def per_minute(kind: str) -> DataFrame:
+            return events.filter(F.col("event_type") == kind).groupBy("user_id", F.window("ts", "1 minute").alias("w"))
+
+        bought = (
+            per_minute("purchase")
+            .agg(F.count(F.lit(1)).alias("purchases"), F.sum(F.col("value").cast(VALUE)).alias("amount"))
+            .select("user_id", F.window_time("w").alias("bought_at"), F.col("w.start").alias("minute"), "purchases", "amount")
+        )
+        clicked = per_minute("click").agg(F.count(F.lit(1)).alias("clicks")).select(
+            F.col("user_id").alias("clicker"), F.window_time("w").alias("clicked_at")
+        )
+        return bought.join(
+            clicked,
+            F.expr("user_id = clicker and clicked_at <= bought_at and clicked_at >= bought_at - interval 60 minutes"),
+            "left_semi",
         )
 
-    bought = (
-        per_minute("purchase")
-        .agg(F.count(F.lit(1)).alias("purchases"), F.sum(F.col("value").cast(VALUE)).alias("amount"))
-        .select("user_id", F.window_time("w").alias("bought_at"), F.col("w.start").alias("minute"), "purchases", "amount")
-    )
-    clicked = per_minute("click").agg(F.count(F.lit(1)).alias("clicks")).select(
-        F.col("user_id").alias("clicker"), F.window_time("w").alias("clicked_at")
-    )
-    joined = bought.join(
-        clicked,
-        F.expr("user_id = clicker and clicked_at <= bought_at and clicked_at >= bought_at - interval 60 minutes"),
-        "left_semi",
-    )
-    table = append_to_table(spark, joined, "click-to-purchase")
+    closed = append_to_table(spark, joined(event_stream(spark, src).withWatermark("ts", "10 minutes")), "click-to-purchase")
+    arrived = staging.raw(spark, src, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    newest = [F.max(F.when(F.col("event_type") == kind, F.col("ts"))) for kind in ("click", "purchase")]
+    mark = arrived.agg(F.date_trunc("millisecond", F.least(*newest)) - F.expr("interval 10 minutes")).scalar()
+    # An open minute needs the clicks of the hour before it.
+    recent = arrived.filter((F.col("ts") >= mark - F.expr("interval 62 minutes")) | mark.isNull())
+    ends = F.col("minute") + F.expr("interval 1 minute")
+    tail = joined(recent).filter((ends > mark) | mark.isNull())
+    table = closed.withColumn("is_open", F.lit(False)).unionByName(tail.withColumn("is_open", F.lit(True)))
     return table.select(
-        "user_id", _text(F.col("minute")).alias("minute"), "purchases", F.col("amount").cast("double").alias("amount")
+        "user_id",
+        _text(F.col("minute")).alias("minute"),
+        "purchases",
+        F.col("amount").cast("double").alias("amount"),
+        "is_open",
     )
 
 
