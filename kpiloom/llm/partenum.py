@@ -284,7 +284,7 @@ def _linked(sets: np.ndarray, first: np.ndarray, percent: int) -> np.ndarray:
     """Which sets are linked with which, as a matrix."""
     size = np.diff(first)
     n = len(size)
-    universe, column = np.unique(sets, return_inverse=True) if len(sets) < 1 << 16 else _coded(sets)
+    universe, column = _coded(sets)
     times = np.bincount(column, minlength=len(universe))
     place = np.cumsum(times > 1) - 1
     row = np.repeat(np.arange(n), size)
@@ -294,9 +294,10 @@ def _linked(sets: np.ndarray, first: np.ndarray, percent: int) -> np.ndarray:
     chunk = 1 << 14
     order = np.argsort(column, kind="stable")
     row, column = row[order], column[order]
-    for at in range(0, int(place[-1]) + 1 if len(place) else 0, chunk):
+    columns = int(place[-1]) + 1 if len(place) else 0
+    for at in range(0, columns, chunk):
         a, b = np.searchsorted(column, [at, at + chunk])
-        held = np.zeros((n, chunk), np.float32)
+        held = np.zeros((n, min(chunk, columns - at)), np.float32)
         held[row[a:b], column[a:b] - at] = 1.0
         common += held @ held.T
     return 100 * common >= percent * (size[:, None] + size[None, :] - common)
@@ -304,7 +305,7 @@ def _linked(sets: np.ndarray, first: np.ndarray, percent: int) -> np.ndarray:
 
 def _coded(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     ordered = np.sort(values)
-    universe = ordered[np.append(True, ordered[1:] != ordered[:-1])]
+    universe = ordered[np.append(True, ordered[1:] != ordered[:-1])] if len(ordered) else ordered
     return universe, np.searchsorted(universe, values)
 
 
