@@ -18,7 +18,8 @@ the links.
 What shares a signature is a candidate. Candidates are gathered into clusters by their connection
 alone: equal keys are reduced to a star around their smallest document, first within each task's
 slice of texts, so that a hot key leaves a task once. Then the texts of each cluster are compared
-exactly. A cluster beyond one block's size is cut into blocks that are compared two by two in tasks
+exactly. From a cluster beyond one block's size, texts first go of whose shingles too few occur in any
+other of its texts, widespread ones taken as shared: they can have no link. The rest is cut into blocks that are compared two by two in tasks
 of their own; its members close to its most typical one are linked to that one first, and blocks of
 such members need no comparison with each other. Tasks return a spanning forest of the links, never
 the pairs. Components follow from copies (equal sets) and links.
@@ -208,10 +209,8 @@ def _rows(names: list[str], *parts: tuple) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c.astype(t)) for c, t in zip(columns, kinds, strict=True)], names)
 
 
-def _signed(docs: DataFrame, width: int, percent: int) -> DataFrame:
+def _signed(docs: DataFrame, width: int, percent: int, hot) -> DataFrame:
     """For each text its size, its key as a whole and its signatures, reduced within a slice."""
-    # At most MAX_HOT numbers are broadcast.
-    hot = docs.sparkSession.sparkContext.broadcast(widespread(docs, width))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -360,7 +359,36 @@ def _near(pairs: DataFrame, width: int, percent: int) -> DataFrame:
     return pairs.mapInArrow(run, "a bigint, b bigint")
 
 
-def _links(texts: DataFrame, clusters: DataFrame, sizes: DataFrame, degree: DataFrame, width: int, percent: int) -> DataFrame:
+def _possible(members: DataFrame, width: int, percent: int, hot) -> DataFrame:
+    """The ids of ``members`` (component, id, text) that may have a link within their component: at
+    least ``percent`` of their shingles are widespread or in another member too. Of several texts of
+    one id the smallest counts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for a, b, part in text.slices(batch["text"]):
+                component, ids = (batch[c].slice(a, b - a).to_numpy() for c in ("component", "id"))
+                sets, first = shingle_sets(part, width)
+                size = np.diff(first)
+                common = hot.value[np.minimum(np.searchsorted(hot.value, sets), max(len(hot.value) - 1, 0))] == sets if len(hot.value) else np.zeros(len(sets), bool)
+                owner = np.repeat(np.arange(len(size)), size)
+                known = np.bincount(owner[common], minlength=len(size))
+                own = owner[~common]
+                key = text.mix(sets[~common] + text.mix(component[own].astype(np.uint64)))
+                yield _rows(["key", "id", "size", "known"], (key.view(np.int64), ids[own], -1, np.zeros(len(own))), (text.mix(ids.astype(np.uint64)).view(np.int64), ids, size, known))
+
+    rows = storage.written(members.select("component", "id", "text").mapInArrow(run, "key bigint, id bigint, size bigint, known bigint"), "possible")
+    shingles = rows.filter("size < 0").select("key", "id")
+    shared = shingles.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high")).filter("low < high")
+    found = shingles.join(shared.select("key"), "key", "left_semi").groupBy("id").agg(F.count(F.lit(1)).alias("shared"))
+    whole = rows.filter("size >= 0").groupBy("id").agg(F.min("size").alias("size"), F.max("known").alias("known"))
+    kept = whole.join(found, "id", "left")
+    return kept.filter(100 * (F.col("known") + F.coalesce("shared", F.lit(0))) >= percent * F.col("size")).select("id")
+
+
+def _links(
+    texts: DataFrame, clusters: DataFrame, sizes: DataFrame, degree: DataFrame, width: int, percent: int, hot
+) -> DataFrame:
     """Links that connect what is linked within each cluster, found by comparing its texts."""
     members = clusters.join(sizes, "id").join(degree, "id", "left")
     whole = members.groupBy("component").agg(
@@ -370,8 +398,17 @@ def _links(texts: DataFrame, clusters: DataFrame, sizes: DataFrame, degree: Data
     placed = members.select("id", "component").join(whole, "component").join(texts, F.col("id") == F.col("doc_id"))
     placed = storage.written(placed.select("id", "component", "blocks", "center", "text"), "candidates")
 
-    # In large clusters, the members that are linked with the most typical one come first.
+    # In large clusters, texts that cannot be linked go; then the members that are linked with the
+    # most typical one come first.
     large = placed.filter("blocks > 1")
+    possible = storage.written(_possible(large, width, percent, hot), "possible")
+    count = placed.join(possible, "id", "left_semi").filter("blocks > 1")
+    whole = count.groupBy("component").agg(F.count(F.lit(1)).alias("members"), F.sum(F.length("text")).alias("chars"))
+    # A shingle takes five characters of text at least, so blocks stay within their bounds.
+    blocks = F.ceil(F.greatest(F.col("members") / BLOCK_DOCS, F.col("chars") / (5 * BLOCK_SHINGLES))).alias("blocks")
+    center = F.max_by("id", F.struct("degree", -F.col("id"))).alias("center")
+    most = members.join(possible, "id", "left_semi").groupBy("component").agg(center)
+    large = count.drop("blocks", "center").join(whole.select("component", blocks), "component").join(most, "component")
     centers = large.filter("id = center").groupBy("component").agg(F.min("text").alias("other_text"))
     pairs = large.filter("id != center").join(centers, "component").select("id", "text", F.col("center").alias("other"), "other_text")
     near = storage.written(_near(pairs, width, percent), "near")
@@ -400,7 +437,9 @@ def join(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """
     source = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     known = source.filter("doc_id is not null")
-    edges = storage.written(_edges(_signed(known, width, percent)), "edges")
+    # At most MAX_HOT numbers are broadcast.
+    hot = docs.sparkSession.sparkContext.broadcast(widespread(known, width))
+    edges = storage.written(_edges(_signed(known, width, percent, hot)), "edges")
     rows = edges.filter(F.col("kind") == _DOC).select(F.col("a").alias("id"), F.col("b").alias("n"))
     copies = edges.filter(F.col("kind").isin(_COPY, _COPY_IN_SLICE)).select("a", "b")
     candidates = edges.filter(F.col("kind") == _CANDIDATE).select("a", "b")
@@ -414,7 +453,7 @@ def join(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     ends = candidates.select(F.col("a").alias("id")).unionAll(candidates.select(F.col("b").alias("id")))
     degree = ends.groupBy("id").agg(F.count(F.lit(1)).alias("degree"))
     sizes = rows.groupBy("id").agg(F.max("n").alias("n"))
-    links = storage.written(_links(known, clusters, sizes, degree, width, percent), "links")
+    links = storage.written(_links(known, clusters, sizes, degree, width, percent, hot), "links")
     found = storage.written(graph.components(links.unionByName(copies)), "components")
     named = rows.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"))
     named = named.join(found.withColumnRenamed("id", "doc_id"), "doc_id", "left")
