@@ -29,7 +29,7 @@ MARKER = "▁"
 LONG_SEGMENT = 512
 
 #: Text reduced to its different segments at once, and segments walked through the trie at once.
-SLICE_BYTES, CHUNK_BYTES = 32 << 20, 1 << 19
+SLICE_BYTES, CHUNK_BYTES = 12 << 20, 1 << 19
 
 #: Vocabularies are sent to every task; a larger one is refused.
 MAX_PIECES = 1 << 20
