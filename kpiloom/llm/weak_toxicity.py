@@ -87,6 +87,15 @@ def stems(different: pa.BinaryArray) -> np.ndarray:
     return out
 
 
+def _parents(hashed: np.ndarray) -> np.ndarray:
+    """For each hash that ``stems`` gives, that of the next shorter beginning; 0 where there is none."""
+    out = np.zeros_like(hashed)
+    out[:, 2:] = hashed[:, 1:-1]
+    longest = (hashed[:, 1:] != 0).sum(1)
+    out[:, 0] = np.where(longest > 0, hashed[np.arange(len(hashed)), longest], 0)
+    return out
+
+
 def _tokens(part: text.Raw) -> tuple[text.Words, np.ndarray, pa.BinaryArray, np.ndarray]:
     """Words, their codes, the different words, and the hashes of these as wholes and beginnings."""
     w = text.words(part, text.ALNUM_LOWER)
@@ -116,7 +125,8 @@ def _features(w: text.Words, codes: np.ndarray, hashed: np.ndarray) -> tuple[np.
 
 def mined(rated: DataFrame, most: int, precision: float) -> np.ndarray:
     """Hashes of the features that occur in the most toxic texts and almost only there, in this
-    order. ``rated`` has toxic and text. Of features with equal counts one is taken."""
+    order. ``rated`` has toxic and text. A feature that occurs in the same texts as the next shorter
+    beginning is left out for that; a word that has one occurs there only, so equal counts tell it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -129,16 +139,27 @@ def mined(rated: DataFrame, most: int, precision: float) -> np.ndarray:
                 new = np.flatnonzero(np.append(True, feature[1:] != feature[:-1])) if len(feature) else np.zeros(0, int)
                 total = np.diff(np.append(new, len(feature)))
                 hits = np.add.reduceat(hit, new) if len(new) else total
+                kinds, at = np.unique(hashed, return_index=True)
+                parent = _parents(hashed).ravel()[at[np.searchsorted(kinds, feature[new])]]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(feature[new].view(np.int64)), pa.array(hits), pa.array(total - hits)],
-                    ["feature", "toxic", "clean"],
+                    [
+                        pa.array(feature[new].view(np.int64)),
+                        pa.array(parent.view(np.int64)),
+                        pa.array(hits),
+                        pa.array(total - hits),
+                    ],
+                    ["feature", "parent", "toxic", "clean"],
                 )
 
-    counts = rated.select("toxic", "text").mapInArrow(run, "feature bigint, toxic bigint, clean bigint")
-    counts = counts.groupBy("feature").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+    counts = rated.select("toxic", "text").mapInArrow(run, "feature bigint, parent bigint, toxic bigint, clean bigint")
+    counts = counts.groupBy("feature").agg(
+        F.min("parent").alias("parent"), F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")
+    )
     pure = F.col("toxic") >= precision * (F.col("toxic") + F.col("clean"))
     counts = counts.filter((F.col("toxic") >= LEAST_TEXTS) & pure)
-    counts = counts.groupBy("toxic", "clean").agg(F.min("feature").alias("feature"))
+    counts = storage.written(counts, "features")
+    shorter = counts.select(F.col("feature").alias("parent"), "toxic", "clean")
+    counts = counts.join(shorter, ["parent", "toxic", "clean"], "left_anti")
     best = counts.orderBy(F.desc(F.col("toxic") - 3 * F.col("clean")), "clean", "feature").limit(most)
     return np.array([row["feature"] for row in best.collect()], np.int64).view(np.uint64)
 

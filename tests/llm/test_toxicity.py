@@ -82,3 +82,19 @@ def test_odd_rows_and_empty_tables(spark):
     assert len({r["score"] for r in got if r["doc_id"] in (2, 3, 4)}) == 1
     empty = odd.documents(spark, [])
     assert weak_toxicity.score(empty, weak_toxicity.fit(empty, none, text.remainder("doc_id", 5) != 0)).count() == 0
+
+
+def test_words_of_equal_counts_are_all_learned(spark):
+    words = ["clown", "moron", "zork", "glorb"]
+    rows = [(1, f"{w} said item{i}{w}") for w in words for i in range(6)] + [(0, f"said item{i}") for i in range(20)]
+    found = weak_toxicity.mined(spark.createDataFrame(rows, "toxic int, text string"), 96, 0.85)
+    hashed = weak_toxicity.stems(pa.array([w.encode() for w in words], pa.binary()))
+    # One feature for each word: its beginnings occur in the same texts.
+    assert np.isin(hashed, found).sum(1).tolist() == [1] * len(words) and len(found) == len(words)
+
+
+def test_words_of_the_same_texts_are_all_learned(spark):
+    rows = [(1, f"clown moron no{i}") for i in range(6)] + [(0, f"clo mo no{i}") for i in range(20)]
+    found = weak_toxicity.mined(spark.createDataFrame(rows, "toxic int, text string"), 96, 0.85)
+    hashed = weak_toxicity.stems(pa.array([b"clown", b"moron"], pa.binary()))
+    assert np.isin(hashed, found).any(1).all()
