@@ -4,7 +4,8 @@ Writing: each task appends its pages to one archive, a gzip member for each reco
 be read by its place alone. Of equal payloads of some size one page holds the record (``response``),
 the others refer to it (``revisit``). Places go into the index: lines in the order of their key (the
 host reversed, then the path), cut into compressed blocks, and a sparse directory of one entry for
-each block.
+each block. Entries are kept in the order in which blocks were cut (``part`` and ``offset``): their
+keys are cut short and would not tell it.
 
 Reading: a key is bisected in the directory, then in its block, then its record is read by range.
 The directory is the only part that every task holds. It has at most ``MAX_ENTRIES`` entries of a
@@ -27,6 +28,7 @@ from dataclasses import dataclass
 
 import pyarrow as pa
 from pyarrow import fs
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -209,11 +211,13 @@ def write(pages: DataFrame) -> Archive:
     return Archive(captures, index(captures, folder))
 
 
-_DIRECTORY = "key binary, page_id bigint, file string, offset bigint, length bigint, lines bigint"
+_DIRECTORY = "key binary, page_id bigint, part bigint, file string, offset bigint, length bigint, lines bigint"
 
 
 def index(captures: DataFrame, folder: str) -> DataFrame:
-    """Write the captures in the order of their key as compressed blocks of lines; the directory."""
+    """Write the captures in the order of their key as compressed blocks of lines; the directory.
+
+    A task writes one range of keys to one file, and ranges are numbered in their order."""
     total = captures.count()
     block = max(BLOCK_LINES, math.ceil(2 * total / MAX_ENTRIES))
 
@@ -245,10 +249,11 @@ def index(captures: DataFrame, folder: str) -> DataFrame:
                 [
                     pa.array(columns[0], pa.binary()),
                     pa.array(columns[1], pa.int64()),
+                    pa.array([TaskContext.get().partitionId()] * len(entries), pa.int64()),
                     pa.array([out.path] * len(entries), pa.string()),
                     *(pa.array(c, pa.int64()) for c in columns[2:]),
                 ],
-                ["key", "page_id", "file", "offset", "length", "lines"],
+                ["key", "page_id", "part", "file", "offset", "length", "lines"],
             )
 
     escaped = F.replace(F.replace("key", F.lit("\t"), F.lit("%09")), F.lit("\n"), F.lit("%0A"))
@@ -303,7 +308,7 @@ def lookup(archive: Archive, wanted: DataFrame, payload: bool = False) -> DataFr
     """Every capture of the pages in ``wanted`` (page_id, url): page, size and digest of the full
     payload, kind of record, the page it refers to, and with ``payload`` the bytes of responses. A
     page that was not captured gives no row; repeated rows of ``wanted`` count once."""
-    directory = archive.directory.select("key", "page_id", "file", "offset", "length").orderBy("key", "page_id", "file", "offset").toArrow()
+    directory = archive.directory.select("key", "page_id", "part", "file", "offset", "length").orderBy("part", "offset").toArrow()
     shipped = wanted.sparkSession.sparkContext.broadcast(directory.to_pydict())
     names = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", *["payload"] * payload]
 

@@ -93,3 +93,15 @@ def test_keys_reverse_the_host(spark):
     df = spark.createDataFrame(rows, "i int, url string").select("i", warc.sort_key("url").alias("k"))
     assert {r["i"]: r["k"] for r in df.collect()} == {1: "com,example,www)/A?b", 2: "", 3: ")/x/y"}
     assert storage.shared_folder(spark)
+
+
+def test_blocks_of_one_long_head_stay_in_order(spark, monkeypatch):
+    monkeypatch.setattr(warc, "BLOCK_LINES", 4)
+    head = "http://x.example.com/" + "k" * 300
+    # Later blocks of the head begin with smaller page ids, and the pages behind begin in its last block.
+    rows = [(900 - i, f"{head}{i:03}", f"page {i}") for i in range(10)]
+    rows += [(2000 + i, f"http://x.example.com/l{i}", f"behind {i}") for i in range(10)]
+    archive = warc.write(odd.pages(spark, rows))
+    entries = archive.directory.collect()
+    assert len({r["key"] for r in entries}) < len(entries)
+    assert [tuple(r) for r in odd.rows_of(warc.lookup(archive, odd.pages(spark, rows)))] == captured(rows)
