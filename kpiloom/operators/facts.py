@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from kpiloom.functions.expressions import LEDGER_MONEY, MONEY, date_id, percent
 
 
-def orders(staged: DataFrame) -> DataFrame:
+def orders(staged: DataFrame, *more: str) -> DataFrame:
+    """The fact's columns, and ``more`` of the staged ones."""
     profit = (F.col("order_amount") - F.col("cost_amount")).cast(MONEY)
     return staged.select(
         "order_id",
@@ -30,6 +31,7 @@ def orders(staged: DataFrame) -> DataFrame:
         "payment_status",
         "shipping_status",
         "created_at",
+        *more,
     )
 
 

@@ -186,8 +186,8 @@ def run_increment(
     load_id: str,
 ) -> None:
     """Load what has arrived and no finished load has taken: facts, then the shop and supply-chain
-    marts of the months they touch, then the marks of what was loaded. Lines of one order arrive
-    together.
+    marts of the months they touch, then the marks of what was loaded. Lines of one order may arrive
+    with different loads; the stored orders keep ``line_number``, which tells them apart.
 
     ``lines`` and ``deliveries`` are staged order lines (as ``staging.orders`` gives them) and
     deliveries, all that is there so far. A load that broke off is run again under its id: it
@@ -198,7 +198,9 @@ def run_increment(
     try:
         run.begin("fact_orders", "fact_deliveries")
         orders, delivered = run.together(
-            lambda: run.fact("fact_orders", facts.orders(_unmarked(run, lines, "orders")), "order_date_id"),
+            lambda: run.fact(
+                "fact_orders", facts.orders(_unmarked(run, lines, "orders"), "line_number"), "order_date_id"
+            ),
             lambda: run.fact(
                 "fact_deliveries", facts.deliveries(_unmarked(run, deliveries, "deliveries")), "delivery_date_id"
             ),
@@ -220,8 +222,8 @@ def run_increment(
         run.close()
 
 
-#: What a load marks as done. An id may be delivered on several days.
-MARKS = {"orders": ("order_id",), "deliveries": ("delivery_id", "delivery_date")}
+#: What a load marks as done. An order has several lines, and an id may be delivered on several days.
+MARKS = {"orders": ("order_id", "line_number"), "deliveries": ("delivery_id", "delivery_date")}
 
 
 def _unmarked(run: _Run, staged: DataFrame, name: str) -> DataFrame:

@@ -381,19 +381,31 @@ def incremental_fact_append(spark, src):
     return loads.month_totals(warehouse.read(spark, path), "total_cost")
 
 
-@query
-def incremental_batch(spark, src):
-    """The supply-chain mart after two incremental runs. The first sees what lies before the middle
-    of a month, but for every tenth order and delivery; the second sees everything and loads the
-    rest, late rows of old months among it."""
+def _increments(spark, src):
+    """The folder of two incremental runs. The first sees what lies before the middle of a month, but
+    for every tenth order and delivery, and of another tenth of the orders the even lines; the second
+    sees everything and loads the rest, late rows of old months and of split orders among it."""
     out = session.work_dir(spark, "increments")
     lines, deliveries = staging.orders(spark, src), staging.deliveries(spark, src)
     clicks, products = staging.sessions(spark, src), frames.dim_products(spark, src)
     early = (F.col("order_date") < "1997-01-15") & (F.col("order_id") % 10 != 3)
+    early &= (F.col("order_id") % 10 != 7) | (F.col("line_number") % 2 == 1)
     arrived = (F.col("delivery_date") < "1997-01-15") & (F.col("delivery_id") % 10 != 3)
     batch.run_increment(spark, lines.filter(early), deliveries.filter(arrived), clicks, products, out, "1")
     batch.run_increment(spark, lines, deliveries, clicks, products, out, "2")
-    return warehouse.read(spark, f"{out}/supply_chain_daily_metrics").drop("month_id")
+    return out
+
+
+@query
+def incremental_batch(spark, src):
+    """The supply-chain mart after two incremental runs."""
+    return warehouse.read(spark, f"{_increments(spark, src)}/supply_chain_daily_metrics").drop("month_id")
+
+
+@query
+def incremental_batch_shop(spark, src):
+    """The shop's mart after the same runs."""
+    return warehouse.read(spark, f"{_increments(spark, src)}/ecommerce_daily_metrics").drop("month_id")
 
 
 @query

@@ -834,6 +834,7 @@ twin(
 FROM fact_deliveries GROUP BY delivery_date_id // 100""",
 )
 twin("incremental_batch", ("supply_chain",), "SELECT * FROM supply_chain")
+twin("incremental_batch_shop", ("ecommerce",), "SELECT * FROM ecommerce")
 twin(
     "customers_approx_daily",
     ("heads", "lines"),

@@ -230,6 +230,19 @@ def test_increments_equal_one_full_run(spark, src, tmp_path):
     assert counts == sorted([early.count(), *[lines.count() - early.count()] * 2])
 
 
+def test_lines_of_one_order_may_arrive_apart(spark, src, tmp_path):
+    lines, deliveries = staging.orders(spark, src), staging.deliveries(spark, src)
+    clicks, products = staging.sessions(spark, src), frames.dim_products(spark, src)
+    out = str(tmp_path)
+    early = lines.filter("line_number % 2 = 1 or order_id % 10 != 7")
+    batch.run_increment(spark, early, deliveries, clicks, products, out, "1")
+    batch.run_increment(spark, lines, deliveries, clicks, products, out, "2")
+    assert warehouse.read(spark, f"{out}/fact_orders").count() == lines.count() > early.count()
+    mart = warehouse.read(spark, f"{out}/ecommerce_daily_metrics").drop("month_id")
+    direct = frames.ecommerce(spark, src)
+    assert sorted(map(tuple, mart.select(direct.columns).collect()), key=repr) == sorted(map(tuple, direct.collect()), key=repr)
+
+
 def test_begun_step_stays_in_the_audit(spark, tmp_path):
     batch._Run(spark, str(tmp_path)).begin("fact_orders")  # and the driver is lost
     row = warehouse.read(spark, f"{tmp_path}/dw_load_audit").first()
