@@ -213,10 +213,10 @@ def _longest(found: Found, tests: TestSet, rows: int) -> list[list[dict]]:
     return out
 
 
-def _blocks(benchmark: DataFrame, window: int) -> Iterator[TestSet]:
+def _blocks(benchmark: DataFrame, window: int, unnamed: bool) -> Iterator[TestSet]:
     """The items in blocks of bounded text, read one after the other. Null texts have no window."""
     items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), F.col("text").cast("string").alias("text"))
-    items = items.filter(F.col("item_id").isNotNull() & F.col("text").isNotNull())
+    items = items.filter(F.col("text").isNotNull() & (F.lit(unnamed) | F.col("item_id").isNotNull()))
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = max(1, math.ceil(size / BLOCK_BYTES))
     for k in range(n):
@@ -224,19 +224,21 @@ def _blocks(benchmark: DataFrame, window: int) -> Iterator[TestSet]:
         yield test_set(block.toArrow(), window)
 
 
-def find(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> DataFrame:
+def find(docs: DataFrame, benchmark: DataFrame, window: int = 10, unnamed: bool = False) -> DataFrame:
     """Matches of benchmark items in documents: ``doc_id``, ``n_words``, ``hits`` (runs of words
     inside a window of some item) and ``matches`` (the longest match with each item).
 
     ``docs`` has doc_id and text, ``benchmark`` item_id and text; other columns are not read. One
     row per row of ``docs``, repeated rows included. A null or empty text has no words and no hit.
-    An item shorter than the window, but not empty, is one window. Items without id or text are
-    left out, an empty benchmark hits nothing. Items with one id count as one item in digests.
+    An item shorter than the window, but not empty, is one window. Items without text are left out,
+    and those without id too unless ``unnamed``: the registered query and the pipeline search them.
+    An empty benchmark hits nothing. Items with one id count as one item in digests; all without id
+    count as one more, which has no name in the hash.
     """
     spark = docs.sparkSession
     out = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     doc_id = docs.schema["doc_id"].dataType.simpleString()
-    for k, tests in enumerate(_blocks(benchmark, window)):
+    for k, tests in enumerate(_blocks(benchmark, window, unnamed)):
         if k:  # one block at a time: a task does not hold the workers and data of all
             out = storage.written(out, "decontamination")
         shipped = spark.sparkContext.broadcast(vars(tests))
@@ -267,12 +269,12 @@ def find(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> DataFrame:
     return out.drop("text")
 
 
-def clean(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> DataFrame:
+def clean(docs: DataFrame, benchmark: DataFrame, window: int = 10, unnamed: bool = False) -> DataFrame:
     """The rows of ``docs``, all columns, that no window of a benchmark item occurs in. Rows with
-    null or empty text stay."""
+    null or empty text stay; ``unnamed`` as in ``find``."""
     spark = docs.sparkSession
     out = docs
-    for k, tests in enumerate(_blocks(benchmark, window)):
+    for k, tests in enumerate(_blocks(benchmark, window, unnamed)):
         if k:  # one block at a time: a task does not hold the workers and data of all
             out = storage.written(out, "decontamination")
         shipped = spark.sparkContext.broadcast(vars(tests))

@@ -67,3 +67,25 @@ def test_empty_tables(spark):
     assert decontamination.digest(decontamination.find(docs, items)).filter("contaminated").count() == 0
     assert decontamination.clean(docs, items).count() == len(odd.TEXTS)
     assert decontamination.find(odd.documents(spark, []), spark.createDataFrame(ITEMS, "item_id bigint, text string")).count() == 0
+
+
+def test_items_without_id_are_searched(spark, tmp_path):
+    import compare
+
+    import corpus_pipeline
+    from kpiloom.llm.oracle import OP5
+    from kpiloom.llm.queries import op5_benchmark_decontamination
+
+    rows = [(1, "an unnamed passage is here"), (2, "unnamed passage and named passage"), (3, "a named passage"), (4, "neither of both")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    items = spark.createDataFrame([(None, "unnamed passage"), (None, "is here"), (7, "named passage")], "item_id bigint, text string")
+    for name, df in (("documents", docs), ("benchmark", items)):
+        df.coalesce(1).write.parquet(f"{tmp_path}/{name}.parquet")
+    import duckdb
+
+    con = duckdb.connect()
+    for name in ("documents", "benchmark"):
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{tmp_path}/{name}.parquet/*.parquet'")
+    assert compare.differences(op5_benchmark_decontamination(spark, str(tmp_path)), con, OP5) == []
+    kept = corpus_pipeline.benchmark_decontamination(spark, docs, str(tmp_path)).collect()
+    assert [r["doc_id"] for r in kept] == [4]
