@@ -54,7 +54,9 @@ HOT_IN_SLICE, HOT_TEXTS, MAX_HOT = 8, 32, 100_000
 #: Documents and shingles compared in one block.
 BLOCK_DOCS, BLOCK_SHINGLES = 256, 150_000
 
+#: Bits of a text's number within its slice, and how many texts a slice may have for that.
 _DOC_BITS = 14
+MOST_TEXTS = 1 << _DOC_BITS
 _DOC, _COPY, _CANDIDATE, _COPY_IN_SLICE = 0, 1, 2, 3
 
 
@@ -68,6 +70,8 @@ def band_starts(largest: int) -> np.ndarray:
 
 def shingle_sets(texts: text.Raw, width: int) -> tuple[np.ndarray, np.ndarray]:
     """Distinct shingles of all texts, in order within each text, and each text's first."""
+    if len(texts) > MOST_TEXTS:
+        raise ValueError(f"{len(texts)} texts in one slice, at most {MOST_TEXTS} can be told apart")
     w = text.words(texts, text.VISIBLE_LOWER)
     different, codes = w.coded()
     hashed, first = text.shingle_hashes(text.hashes(different)[codes], w.first, width)
@@ -152,7 +156,7 @@ def widespread(docs: DataFrame, width: int) -> np.ndarray:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for _, _, part in text.slices(batch["text"]):
+            for _, _, part in text.slices(batch["text"], most=MOST_TEXTS):
                 sets, first = shingle_sets(part, width)
                 whole = _sums(text.mix(sets + np.uint64(2)), first)
                 new = np.zeros(len(whole), bool)
@@ -214,7 +218,7 @@ def _signed(docs: DataFrame, width: int, percent: int, hot) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for a, b, part in text.slices(batch["text"]):
+            for a, b, part in text.slices(batch["text"], most=MOST_TEXTS):
                 ids = batch["doc_id"].slice(a, b - a).to_numpy(zero_copy_only=False).astype(np.int64)
                 sets, first = shingle_sets(part, width)
                 size = np.diff(first)
@@ -326,7 +330,7 @@ def _compare(width: int, percent: int):
     def run(block: pa.Table) -> pa.Table:
         ids = block["doc_id"].to_numpy()
         part = block["part"].to_numpy()
-        pieces = [shingle_sets(p, width) for _, _, p in text.slices(block["text"].combine_chunks())]
+        pieces = [shingle_sets(p, width) for _, _, p in text.slices(block["text"].combine_chunks(), most=MOST_TEXTS)]
         first, total = [np.zeros(1, np.int64)], 0
         for own, begin in pieces:
             first.append(begin[1:] + total)
@@ -345,7 +349,7 @@ def _near(pairs: DataFrame, width: int, percent: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for a, b, part in text.slices(batch["text"]):
+            for a, b, part in text.slices(batch["text"], most=MOST_TEXTS):
                 sets, first = shingle_sets(part, width)
                 keep = []
                 for i, other in enumerate(batch["other_text"].slice(a, b - a)):
@@ -366,7 +370,7 @@ def _possible(members: DataFrame, width: int, percent: int, hot) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for a, b, part in text.slices(batch["text"]):
+            for a, b, part in text.slices(batch["text"], most=MOST_TEXTS):
                 component, ids = (batch[c].slice(a, b - a).to_numpy() for c in ("component", "id"))
                 sets, first = shingle_sets(part, width)
                 size = np.diff(first)
@@ -466,7 +470,7 @@ def _nameless(source: DataFrame, width: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for a, b, part in text.slices(batch["text"]):
+            for a, b, part in text.slices(batch["text"], most=MOST_TEXTS):
                 size = np.diff(shingle_sets(part, width)[1])
                 empty = pa.nulls(b - a, pa.int64())
                 yield pa.RecordBatch.from_arrays([empty, pa.array(size, pa.int64()), empty], ["doc_id", "n_shingles", "component_id"])

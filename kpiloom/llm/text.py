@@ -68,13 +68,14 @@ def raw(texts: pa.Array) -> Raw:
     return Raw(data[offsets[0] : offsets[-1]], offsets - offsets[0])
 
 
-def slices(texts: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int, Raw]]:
-    """First row, end row and bytes of runs of texts, each of ``limit`` bytes or a single text."""
+def slices(texts: pa.Array, limit: int = SLICE_BYTES, most: int | None = None) -> Iterator[tuple[int, int, Raw]]:
+    """First row, end row and bytes of runs of texts, each of ``limit`` bytes or a single text, and of
+    ``most`` texts where that is given."""
     whole = raw(texts)
     at = 0
     while at < len(whole):
         end = int(np.searchsorted(whole.offsets, whole.offsets[at] + limit, "right")) - 1
-        end = min(max(end, at + 1), len(whole))
+        end = min(max(end, at + 1), len(whole), at + (most or len(whole)))
         part = whole.offsets[at : end + 1]
         yield at, end, Raw(whole.data[part[0] : part[-1]], part - part[0])
         at = end

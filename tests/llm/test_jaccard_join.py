@@ -102,3 +102,16 @@ def test_components_of_paths_and_stars(spark):
     got = {r["id"]: r["component"] for r in graph.components(edges).collect()}
     assert got == {i: 0 for i in range(41)} | {100: 100, 101: 100, 102: 100}
     assert graph.components(edges.limit(0)).count() == 0
+
+
+def test_many_short_texts_in_one_batch(spark):
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "40000")
+    try:
+        docs = spark.range(20_000).selectExpr("id as doc_id", "concat('text ', id, ' stands alone') as text").coalesce(1)
+        got = partenum.join(docs, width=3, percent=90).collect()
+    finally:
+        spark.conf.set(name, before)
+    assert len(got) == 20_000 and {r["n_shingles"] for r in got} == {2}
+    assert all(r["component_id"] == r["doc_id"] for r in got)
