@@ -9,8 +9,9 @@ log likelihoods per character. Rates of both models enter the calibration: on a
 counts leave out, the threshold is put where the scores of either side are equally many standard
 deviations away.
 
-URLs are reduced to their different (host, path) pairs before strings are cut; each different string
-of ORDER + 1 characters has one weight. Weights are joined to strings by key; what is broadcast is
+URLs are reduced to their different (host, path) pairs before strings are cut, and each pair counts
+as often as it occurs, in the models and in the calibration; each different string of ORDER + 1
+characters has one weight. Weights are joined to strings by key; what is broadcast is
 left to the engine's size check, and hot strings to its handling of skewed joins.
 """
 
@@ -61,6 +62,11 @@ def _strings(urls: DataFrame, *columns: str) -> DataFrame:
     return urls.withColumn("padded", padded).select(*columns, F.explode(cut).alias("gram"))
 
 
+def _mean(value: Column) -> Column:
+    """The mean of a value that is not null, each row as often as ``times`` says."""
+    return F.try_divide(F.sum(value * F.col("times")), F.sum(F.when(value.isNotNull(), F.col("times"))))
+
+
 def weights(counts: DataFrame) -> DataFrame:
     """``gram`` and ``weight``, the difference of the log probabilities of its last character under
     both models, from ``gram``, ``n_allow`` and ``n_block``."""
@@ -104,20 +110,23 @@ def judge(pages: DataFrame, rules: dict[str, str]) -> DataFrame:
     fold = F.pmod(F.xxhash64("host", "path"), F.lit(FOLDS))
     urls = storage.written(different.withColumns({"rule": rule, "ruled": verdict, "fold": fold}), "urls")
 
-    counted = _strings(urls, "host", "path", "ruled", "fold")
-    known = F.col("ruled").isNotNull() & (F.col("fold") > 0)
-    tally = {f"n_{side}": F.count_if(known & (F.col("ruled") == side)) for side in ("allow", "block")}
+    counted = _strings(urls, "ruled", "fold", "times")
+    times = lambda side: F.when((F.col("ruled") == side) & (F.col("fold") > 0), F.col("times")).otherwise(0)
+    tally = {f"n_{side}": F.sum(times(side)) for side in ("allow", "block")}
     grams = storage.written(counted.groupBy("gram").agg(*(c.alias(n) for n, c in tally.items())), "strings")
     weight = storage.written(weights(grams), "weights")
     # Rules decide for themselves: only URLs without one, and the calibration fold, are scored.
     scored = urls.filter(F.col("ruled").isNull() | (F.col("fold") == 0))
-    scores = _strings(scored, "host", "path", "ruled").join(weight, "gram")
-    scores = scores.groupBy("host", "path", "ruled").agg(F.avg("weight").alias("score"))
+    scores = _strings(scored, "host", "path", "ruled", "times").join(weight, "gram")
+    scores = scores.groupBy("host", "path", "ruled", "times").agg(F.avg("weight").alias("score"))
     scores = storage.written(scores, "scores")
+    fitted = scores.filter("ruled is not null").groupBy("ruled").agg(_mean(F.col("score")).alias("mean"))
+    means = dict(fitted.collect())
     sides = {}
     for side in ("allow", "block"):
-        own = F.when(F.col("ruled") == side, F.col("score"))
-        sides |= {f"mean_{side}": F.avg(own), f"sd_{side}": F.stddev_pop(own)}
+        mean = F.lit(means.get(side)).cast("double")
+        apart = F.when(F.col("ruled") == side, (F.col("score") - mean) ** 2)
+        sides |= {f"mean_{side}": F.any_value(mean), f"sd_{side}": F.sqrt(_mean(apart))}
     fitted = scores.agg(*(c.alias(n) for n, c in sides.items()))
     spread = F.col("sd_allow") + F.col("sd_block")
     between = (F.col("mean_allow") * F.col("sd_block") + F.col("mean_block") * F.col("sd_allow"))

@@ -78,3 +78,20 @@ def test_model_tells_sides_apart_without_python(spark, src):
 def test_empty_tables_and_one_side_only(spark):
     assert url_lm.judge(odd.pages(spark, []), URL_RULES).count() == 0
     assert [r["verdict"] for r in url_lm.judge(odd.pages(spark, [(1, "http://a.org/", None)]), URL_RULES).collect()] == ["allow"]
+
+
+def test_urls_count_as_often_as_they_occur(spark, monkeypatch):
+    seen, weights = [], url_lm.weights
+    monkeypatch.setattr(url_lm, "weights", lambda counts: seen.append(counts) or weights(counts))
+    rows = [(i, f"http://q{k}.com/", "") for k in range(20) for i in range(k + 1)] + [(0, "http://z.net/es/", "")]
+    url_lm.judge(odd.pages(spark, rows), URL_RULES)
+    fold = f"pmod(xxhash64(concat('q', id, '.com'), '/'), {url_lm.FOLDS})"
+    taught = [r["id"] + 1 for r in spark.range(20).selectExpr("id", f"{fold} as fold").filter("fold > 0").collect()]
+    counts = {r["gram"]: r["n_allow"] for r in seen[0].collect()}
+    assert counts["\2" * url_lm.ORDER + "q"] == sum(taught) > len(taught) > 0
+
+
+def test_means_weigh_rows(spark):
+    rows = [(1.0, 3), (5.0, 1), (None, 9)]
+    df = spark.createDataFrame(rows, "score double, times bigint")
+    assert df.select(url_lm._mean(df["score"])).first()[0] == 2.0
