@@ -109,9 +109,82 @@ SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
 FROM base
 """
 
+OP11 = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS row, doc_id, regexp_extract_all(_LOWER_, '_TERM_') AS t FROM documents
+), totals AS (
+  SELECT count(*) FILTER (WHERE len(t) > 0) AS docs, coalesce(sum(len(t)), 0)::BIGINT AS terms FROM d
+), q AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(_LOWER_, '_TERM_')) AS term FROM benchmark
+), wanted AS (
+  SELECT DISTINCT term FROM q
+), tf AS (
+  SELECT row, doc_id, term, count(*) AS tf, n FROM (SELECT row, doc_id, len(t) AS n, unnest(t) AS term FROM d) SEMI JOIN wanted USING (term)
+  GROUP BY ALL
+), weights AS (
+  SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w FROM tf, totals GROUP BY term, docs
+), impacts AS (
+  SELECT row, doc_id, term, w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + (90 * n * docs) // terms))) AS impact
+  FROM tf JOIN weights USING (term), totals
+), scores AS (
+  SELECT item_id, row, doc_id, sum(impact)::BIGINT AS score FROM q JOIN impacts USING (term) GROUP BY item_id, row, doc_id
+), ranked AS (
+  SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST)::INTEGER AS rank, doc_id, score
+  FROM scores WHERE score > 0
+)
+SELECT * FROM ranked WHERE rank <= 10
+""".replace("_LOWER_", _LOWER).replace("_TERM_", _ALNUM)
+
+
+def _nearest(entries: str) -> str:
+    """The nearest entry of every part: distance and entry in one number, the smallest wins."""
+    return f"""
+  SELECT r, p, x, best % 256 AS e, best // 256 AS distance FROM (
+    SELECT r, parts.p, any_value(x) AS x,
+      min(256 * list_sum(list_transform(range(1, len(x) + 1), lambda i: (x[i] - c[i]) * (x[i] - c[i])))::BIGINT + e) AS best
+    FROM parts JOIN {entries} AS book ON parts.p = book.p GROUP BY r, parts.p
+  )"""
+
+
+def _moved(chosen: str, entries: str) -> str:
+    """Each entry moves to the floored mean of its parts; unused ones stay."""
+    return f"""
+  SELECT p, e, coalesce(mean, c) AS c FROM {entries} LEFT JOIN (
+    SELECT p, e, list((total - (total % n + n) % n) // n ORDER BY i) AS mean FROM (
+      SELECT p, e, i, sum(x[i])::BIGINT AS total, count(*) AS n
+      FROM (SELECT p, e, x, unnest(range(1, len(x) + 1)) AS i FROM {chosen}) GROUP BY p, e, i
+    ) GROUP BY p, e
+  ) USING (p, e)"""
+
+
+_ROUNDS = ", ".join(
+    f"chosen{k} AS MATERIALIZED ({_nearest(f'book{k}')}), book{k + 1} AS MATERIALIZED ({_moved(f'chosen{k}', f'book{k}')})" for k in range(4)
+)
+
+OP12 = f"""
+WITH kept AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY vec_id, embedding) AS r, vec_id, label,
+    list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), parts AS MATERIALIZED (
+  SELECT r, p, list_slice(v, p * (len(v) // 4) + 1, (p + 1) * (len(v) // 4)) AS x FROM kept, range(4) AS t(p)
+), book0 AS MATERIALIZED (
+  SELECT p, r - 1 AS e, x AS c FROM parts WHERE r <= 256
+), {_ROUNDS}, final AS MATERIALIZED ({_nearest("book4")}
+), coded AS (
+  SELECT r, string_agg(printf('%02x', e), '' ORDER BY p) AS code, sum(distance)::BIGINT AS error FROM final GROUP BY r
+)
+SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error,
+  (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY p, e)) FROM book4) AS codebooks_sha256
+FROM kept JOIN coded USING (r)
+"""
+
 ORACLE: dict[str, str] = {
     "op3_ngram_jaccard_join": OP3,
     "op5_benchmark_decontamination": OP5,
     "op6_warc": OP6,
     "op9_quality_rules": OP9,
+    "op11_ranked_search": OP11,
+    "op12_vector_codes": OP12,
 }

@@ -4,10 +4,26 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kpiloom.llm import decontamination, language_id, line_rules, ordinal, partenum, ppm, text, unigram, url_lm, warc, weak_toxicity
+from kpiloom.llm import (
+    best_position,
+    bpe,
+    decontamination,
+    language_id,
+    line_rules,
+    orchard,
+    ordinal,
+    partenum,
+    ppm,
+    text,
+    unigram,
+    url_lm,
+    warc,
+    weak_toxicity,
+)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -76,6 +92,21 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return unigram.round_trip(table(spark, sf_dir, "documents"), unigram.load())
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return best_position.top(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = orchard.integers(table(spark, sf_dir, "embeddings"), scale=1024)
+    books = orchard.fit(kept, parts=4, entries=256, rounds=4)
+    return orchard.digest(orchard.encode(kept, books), books)
+
+
+def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = bpe.load(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    return bpe.digest(bpe.round_trip(table(spark, sf_dir, "documents"), vocabulary))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     name: query for name, query in list(globals().items()) if name.startswith("op")
 }
