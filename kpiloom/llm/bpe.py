@@ -36,7 +36,7 @@ from kpiloom.llm import text
 SLICE_BYTES, CORPUS_BYTES = 4 << 20, 1 << 20
 
 #: A task remembers so many words of at most so many characters; then it begins anew.
-MEMORY_WORDS, MEMORY_CHARS = 1 << 18, 64
+MEMORY_WORDS, MEMORY_CHARS = 1 << 19, 64
 
 #: Vocabularies are sent to every task; a larger one is refused.
 MAX_TOKENS = 1 << 20
@@ -71,8 +71,8 @@ def load(path: str, pattern: str) -> Vocabulary:
     return Vocabulary([ranks[rank] for rank in range(len(ranks))], pattern)
 
 
-def replay(words: list[bytes], vocabulary: Vocabulary) -> list[np.ndarray]:
-    """The ids of each word, all words of the corpus being merged together."""
+def replay(words: list[bytes], vocabulary: Vocabulary) -> list[bytes]:
+    """The ids of each word as int32, all words of the corpus being merged together."""
     data = np.frombuffer(b"".join(words), np.uint8)
     first = np.zeros(len(words) + 1, np.int64)
     np.cumsum([len(word) for word in words], out=first[1:])
@@ -93,61 +93,65 @@ def replay(words: list[bytes], vocabulary: Vocabulary) -> list[np.ndarray]:
     waiting = list(index)
     heapify(waiting)
 
-    token, after, before = vocabulary.single[data].tolist(), after.tolist(), before.tolist()
+    token, after, before, pair = vocabulary.single[data].tolist(), after.tolist(), before.tolist(), merges.tolist()
     tokens, rank_of = vocabulary.tokens, vocabulary.ranks.get
     while waiting:
         rank = heappop(waiting)
-        held_until = -1
-        for at in sorted(set(index.pop(rank))):
+        merged, held_until = tokens[rank], -1
+        for at in sorted(index.pop(rank)):
+            if pair[at] != rank:  # left behind by a merge that took one of its two tokens
+                continue
             if at < held_until:
-                if rank not in index:
-                    index[rank] = []
-                    heappush(waiting, rank)
-                index[rank].append(at)
+                _enter(index, waiting, rank, at)
                 continue
             right = after[at]
-            # A place is left behind by a merge that took one of its two tokens.
-            if token[at] < 0 or right < 0 or rank_of(tokens[token[at]] + tokens[token[right]]) != rank:
-                continue
-            token[at], token[right] = rank, -1
-            end = after[at] = after[right]
-            left, merged, lowest = before[at], tokens[rank], rank
+            end, left, lowest = after[right], before[at], rank
+            token[at], token[right], pair[at], pair[right], after[at] = rank, -1, -1, -1, end
             if end >= 0:
                 before[end] = at
                 new = rank_of(merged + tokens[token[end]])
                 if new is not None:
-                    if new not in index:
-                        index[new] = []
-                        heappush(waiting, new)
-                    index[new].append(at)
-                    lowest = min(lowest, new)
+                    pair[at] = new
+                    _enter(index, waiting, new, at)
+                    if new < lowest:
+                        lowest = new
             if left >= 0:
                 new = rank_of(tokens[token[left]] + merged)
-                if new is not None:
-                    if new not in index:
-                        index[new] = []
-                        heappush(waiting, new)
-                    index[new].append(left)
-                    lowest = min(lowest, new)
+                if new is None:
+                    pair[left] = -1
+                else:
+                    pair[left] = new
+                    _enter(index, waiting, new, left)
+                    if new < lowest:
+                        lowest = new
             if lowest < rank:
                 held_until = starts[bisect_right(starts, at)]
 
     ids = np.array(token, np.int32)
     kept = np.flatnonzero(ids >= 0)
-    cuts = np.searchsorted(kept, first)
-    ids = ids[kept]
+    cuts = (np.searchsorted(kept, first) * 4).tolist()
+    ids = ids[kept].tobytes()
     return [ids[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
 
 
+def _enter(index: dict[int, list[int]], waiting: list[int], rank: int, at: int) -> None:
+    places = index.get(rank)
+    if places is None:
+        index[rank] = [at]
+        heappush(waiting, rank)
+    else:
+        places.append(at)
+
+
 class Encoder:
     """Encodes the texts of one task, and remembers the words that it has met."""
 
     def __init__(self, vocabulary: Vocabulary):
         self.vocabulary, self.known = vocabulary, {}
 
-    def _learn(self, words: list[str]) -> None:
-        corpus: list[bytes] = []
+    def _learn(self, words: set[str]) -> None:
         names: list[str] = []
+        corpus: list[bytes] = []
         size = 0
         for word in words:
             data = word.encode()
@@ -156,33 +160,28 @@ class Encoder:
                 self.known[word] = np.int32(whole).tobytes()
                 continue
             if corpus and size + len(data) > CORPUS_BYTES:
-                self._replay(names, corpus)
-                corpus, names, size = [], [], 0
-            corpus.append(data)
+                self.known.update(zip(names, replay(corpus, self.vocabulary), strict=True))
+                names, corpus, size = [], [], 0
             names.append(word)
+            corpus.append(data)
             size += len(data)
-        self._replay(names, corpus)
-
-    def _replay(self, names: list[str], corpus: list[bytes]) -> None:
-        for name, ids in zip(names, replay(corpus, self.vocabulary), strict=True):
-            self.known[name] = ids.tobytes()
+        self.known.update(zip(names, replay(corpus, self.vocabulary), strict=True))
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts, and each text's first one."""
-        split = self.vocabulary.split
-        words = [split(t) if t else [] for t in texts]
         if len(self.known) > MEMORY_WORDS:
             self.known = {}
+        split = self.vocabulary.split
+        words = [split(t) if t else [] for t in texts]
         new = set().union(*words).difference(self.known)
-        self._learn(list(new))
-        parts = [b"".join(map(self.known.__getitem__, part)) for part in words]
-        first = np.zeros(len(parts) + 1, np.int64)
-        np.cumsum([len(p) // 4 for p in parts], out=first[1:])
-        ids = np.frombuffer(b"".join(parts), np.int32)
+        self._learn(new)
+        coded = [b"".join(map(self.known.__getitem__, part)) for part in words]
+        first = np.zeros(len(coded) + 1, np.int64)
+        np.cumsum([len(p) // 4 for p in coded], out=first[1:])
         for word in new:
             if len(word) > MEMORY_CHARS:
                 del self.known[word]
-        return ids, first
+        return np.frombuffer(b"".join(coded), np.int32), first
 
 
 def decode_slice(vocabulary: Vocabulary, ids: np.ndarray, first: np.ndarray) -> pa.Array:
