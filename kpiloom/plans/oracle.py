@@ -1006,7 +1006,8 @@ FROM events LEFT JOIN stg_customers ON customer_id = user_id GROUP BY ALL""",
 twin(
     "stream_late_data",
     (),
-    f"""SELECT {text('h')} AS hour, {n_if('counted')} AS counted, {n_if('NOT counted')} AS late
+    f"""SELECT {text('h')} AS hour, {n_if('counted')} AS counted, {n_if('NOT counted')} AS late,
+       {big(f"sum({n_if('NOT counted')}) OVER ()")} AS dropped_by_engine
 FROM (SELECT date_trunc('hour', ts) AS h,
              event_type <> 'purchase' OR date_trunc('hour', ts) + INTERVAL 1 HOUR
                > (SELECT date_trunc('milliseconds', max(ts)) FROM events WHERE event_type <> 'purchase') - INTERVAL 1 HOUR AS counted

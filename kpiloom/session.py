@@ -22,6 +22,22 @@ JOB_SETTINGS = {
     "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
 }
 
+#: Most memory that the state stores of one executor take together, in MB.
+STATE_MEMORY_MB = 512
+
+#: Stream state lies in RocksDB: on disk beyond that memory, and a batch uploads only what it changed.
+STREAM_SETTINGS = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
+    "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": str(STATE_MEMORY_MB),
+    # A run over all that has arrived reports every batch, not the last hundred only.
+    "spark.sql.streaming.numRecentProgressUpdates": "100000",
+}
+
+#: How often a stream that keeps running takes what has arrived and commits its state.
+CHECKPOINT_INTERVAL = "60 seconds"
+
 #: Settings that only a new session takes.
 START_SETTINGS = {
     # Call sites of column expressions are not recorded: that takes much of the time to build a plan.
@@ -34,7 +50,7 @@ def build_session(app: str = "kpiloom", master: str | None = None, **conf: str)
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for key, value in {**JOB_SETTINGS, **START_SETTINGS, **conf}.items():
+    for key, value in {**JOB_SETTINGS, **STREAM_SETTINGS, **START_SETTINGS, **conf}.items():
         builder = builder.config(key, value)
     return tune(builder.getOrCreate())
 
@@ -58,12 +74,17 @@ def sized_for(input_bytes: int, shuffled_share: float = 0.2) -> dict[str, str]:
 def tune(spark: SparkSession) -> SparkSession:
     """Apply the job settings to a session made elsewhere.
 
-    They are set whatever the session had before: results are compared in UTC, and loads rely on
+    The job settings are set whatever the session had before: results are compared in UTC, and loads rely on
     dynamic partition overwrite. On ``local[n]`` the default of 200 shuffle partitions is only overhead, so an untouched
-    default is lowered to the core count. On a cluster the configured width is kept.
+    default is lowered to the core count. On a cluster the configured width is kept. A session that has chosen its
+    own state store keeps that and its memory.
     """
     for key, value in JOB_SETTINGS.items():
         spark.conf.set(key, value)
+    provider = "spark.sql.streaming.stateStore.providerClass"
+    if spark.conf.get(provider).endswith(("HDFSBackedStateStoreProvider", "RocksDBStateStoreProvider")):
+        for key, value in STREAM_SETTINGS.items():
+            spark.conf.set(key, value)
     if is_local(spark) and spark.conf.get("spark.sql.shuffle.partitions") == "200":
         spark.conf.set("spark.sql.shuffle.partitions", str(spark.sparkContext.defaultParallelism))
     return spark

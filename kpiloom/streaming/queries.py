@@ -12,13 +12,15 @@ from kpiloom.sources import staging
 from kpiloom.sources.schemas import TOPICS
 from kpiloom.streaming import events
 from kpiloom.streaming.runner import (
-    BATCH,
+    Run,
     append_to_table,
     batches_to_table,
     event_stream,
     land,
     latest,
     message_stream,
+    run_append,
+    run_batches,
 )
 
 VALUE = "decimal(12,2)"
@@ -170,20 +172,25 @@ def stream_zscore(spark: SparkSession, src: str) -> DataFrame:
 
 def stream_sessions(spark: SparkSession, src: str) -> DataFrame:
     """User sessions with a gap of 30 minutes: those that the watermark (1 hour) has closed, and,
-    marked as open, those that may still grow. A user's open sessions hold what lies behind the end
-    of the last closed one."""
-
-    def sessions(events: DataFrame) -> DataFrame:
-        found = events.groupBy("user_id", F.session_window("ts", "30 minutes").alias("s"))
-        found = found.agg(F.count(F.lit(1)).alias("events"), F.sum(F.col("value").cast(VALUE)).alias("total"))
-        return found.select("user_id", F.col("s.start").alias("start"), F.col("s.end").alias("end"), "events", "total")
-
-    closed = append_to_table(spark, sessions(event_stream(spark, src).withWatermark("ts", "1 hour")), "sessions")
-    behind = closed.groupBy(F.col("user_id").alias("of")).agg(F.max("end").alias("closed_until"))
-    arrived = staging.raw(spark, src, "events").withColumn("ts", F.col("ts").cast("timestamp"))
-    tail = arrived.join(behind, F.col("user_id") == F.col("of"), "left")
-    tail = sessions(tail.filter("closed_until is null or ts >= closed_until"))
-    table = closed.withColumn("is_open", F.lit(False)).unionByName(tail.withColumn("is_open", F.lit(True)))
+    marked as open, those that may still grow. The open ones are read from the stream's state."""
+    events = event_stream(spark, src).withWatermark("ts", "1 hour")
+    found = events.groupBy("user_id", F.session_window("ts", "30 minutes").alias("s"))
+    found = found.agg(F.count(F.lit(1)).alias("events"), F.sum(F.col("value").cast(VALUE)).alias("total"))
+    found = found.select("user_id", F.col("s.start").alias("start"), F.col("s.end").alias("end"), "events", "total")
+    run = run_append(spark, found, "sessions")
+    table = run.table.withColumn("is_open", F.lit(False))
+    for operator in run.operators("sessionWindowStateStoreSaveExec"):
+        held = run.state(operator).select("value.*")
+        table = table.unionByName(
+            held.select(
+                "user_id",
+                F.col("session_window.start").alias("start"),
+                F.col("session_window.end").alias("end"),
+                F.col("count").alias("events"),
+                F.when(~F.col("isEmpty"), F.col("sum")).alias("total"),
+                F.lit(True).alias("is_open"),
+            )
+        )
     return table.select(
         "user_id",
         _text(F.col("start")).alias("session_start"),
@@ -237,37 +244,46 @@ def stream_click_to_purchase(spark: SparkSession, src: str) -> DataFrame:
     Both sides are first reduced to user and minute by the stream itself. The semi join then
     holds at most one row per user and minute and emits a purchase minute once, so a hot user
     never yields all pairs of clicks and purchases. The stream gives a minute when the watermark
-    has closed it; those behind the watermark are worked out from what has arrived, and marked as
-    open.
+    has closed it. Minutes still open are read from its state, marked as such, together with the clicks
+    that the state holds: those of open minutes, and those of closed minutes that the join keeps.
     """
+    events = event_stream(spark, src).withWatermark("ts", "10 minutes")
 
-    def joined(events: DataFrame) -> DataFrame:
-        def per_minute(kind: str) -> DataFrame:
-            return events.filter(F.col("event_type") == kind).groupBy("user_id", F.window("ts", "1 minute").alias("w"))
+    def per_minute(kind: str) -> DataFrame:
+        return events.filter(F.col("event_type") == kind).groupBy("user_id", F.window("ts", "1 minute").alias("w"))
 
-        bought = (
-            per_minute("purchase")
-            .agg(F.count(F.lit(1)).alias("purchases"), F.sum(F.col("value").cast(VALUE)).alias("amount"))
-            .select("user_id", F.window_time("w").alias("bought_at"), F.col("w.start").alias("minute"), "purchases", "amount")
-        )
-        clicked = per_minute("click").agg(F.count(F.lit(1)).alias("clicks")).select(
-            F.col("user_id").alias("clicker"), F.window_time("w").alias("clicked_at")
-        )
-        return bought.join(
-            clicked,
-            F.expr("user_id = clicker and clicked_at <= bought_at and clicked_at >= bought_at - interval 60 minutes"),
-            "left_semi",
+    bought = (
+        per_minute("purchase")
+        .agg(F.count(F.lit(1)).alias("purchases"), F.sum(F.col("value").cast(VALUE)).alias("amount"))
+        .select("user_id", F.window_time("w").alias("bought_at"), F.col("w.start").alias("minute"), "purchases", "amount")
+    )
+    clicked = per_minute("click").agg(F.count(F.lit(1)).alias("clicks")).select(
+        F.col("user_id").alias("clicker"), F.window_time("w").alias("clicked_at"), "clicks"
+    )
+    # Every row has one event at least. Naming both counts keeps the join above both sums: below them, its
+    # state would hold every single purchase.
+    near = F.expr(
+        "user_id = clicker and clicked_at <= bought_at and clicked_at >= bought_at - interval 60 minutes and purchases + clicks >= 2"
+    )
+    run = run_append(spark, bought.join(clicked, near, "left_semi"), "click-to-purchase")
+    columns = ["user_id", "minute", "purchases", "amount"]
+    table = run.table.select(*columns).withColumn("is_open", F.lit(False))
+    joins = run.operators("symmetricHashJoin")
+    if joins:
+        sums = [run.state(operator) for operator in run.operators("stateStoreSave")]
+        last = F.col("key.window.end") - F.expr("interval 1 microsecond")
+        open_bought, open_clicked = sorted(sums, key=lambda held: "sum" not in held.schema["value"].dataType.names)
+        open_bought = open_bought.select(
+            "key.user_id",
+            last.alias("bought_at"),
+            F.col("key.window.start").alias("minute"),
+            F.col("value.count").alias("purchases"),
+            F.when(~F.col("value.isEmpty"), F.col("value.sum")).alias("amount"),
         )
-
-    closed = append_to_table(spark, joined(event_stream(spark, src).withWatermark("ts", "10 minutes")), "click-to-purchase")
-    arrived = staging.raw(spark, src, "events").withColumn("ts", F.col("ts").cast("timestamp"))
-    newest = [F.max(F.when(F.col("event_type") == kind, F.col("ts"))) for kind in ("click", "purchase")]
-    mark = arrived.agg(F.date_trunc("millisecond", F.least(*newest)) - F.expr("interval 10 minutes")).scalar()
-    # An open minute needs the clicks of the hour before it.
-    recent = arrived.filter((F.col("ts") >= mark - F.expr("interval 62 minutes")) | mark.isNull())
-    ends = F.col("minute") + F.expr("interval 1 minute")
-    tail = joined(recent).filter((ends > mark) | mark.isNull())
-    table = closed.withColumn("is_open", F.lit(False)).unionByName(tail.withColumn("is_open", F.lit(True)))
+        clicks = open_clicked.select(F.col("key.user_id").alias("clicker"), last.alias("clicked_at"), F.col("value.count").alias("clicks"))
+        clicks = clicks.unionByName(run.state(joins[0], joinSide="right").select("value.*"))
+        found = open_bought.join(clicks, near, "left_semi")
+        table = table.unionByName(found.select(*columns, F.lit(True).alias("is_open")))
     return table.select(
         "user_id",
         _text(F.col("minute")).alias("minute"),
@@ -295,33 +311,48 @@ def stream_enrich_customer(spark: SparkSession, src: str) -> DataFrame:
     )
 
 
-def stream_late_data(spark: SparkSession, src: str) -> DataFrame:
-    """Hourly counts with a watermark of one hour when purchases arrive after everything else.
+def late_events(spark: SparkSession, src: str) -> tuple[Run, DataFrame, DataFrame]:
+    """Events counted by hour with a watermark of one hour when purchases arrive after everything else:
+    the second run, the events that it and the first counted, and the late ones as they arrived.
 
-    The stream runs twice from one checkpoint. In the second run the watermark stands an hour
-    before the newest event of the first, so purchases in closed hours are late and left out;
-    ``late`` is what had arrived minus what was counted.
+    The stream runs twice from one checkpoint. In the second run the watermark stands an hour before
+    the newest event of the first, so purchases in closed hours are late and refused. Grouping by event
+    as well as hour makes the engine's count of refused rows a count of events, and folds an event that
+    was sent twice. Each run takes its part as one batch, so the part's late events are those of hours
+    that were closed at the watermark the engine reports for that batch; they land in a table of their own.
     """
     home = work_dir(spark, "late")
     landing = f"{home}/landing"
-    arrived = staging.raw(spark, src, "events").select(F.col("ts").cast("timestamp").alias("ts"), "event_type")
+    arrived = staging.raw(spark, src, "events").select(F.col("ts").cast("timestamp").alias("ts"), "event_id", "event_type")
     on_time = F.col("event_type") != "purchase"
-    table = None
     for part in (arrived.filter(on_time), arrived.filter(~on_time)):
         land(part, landing)
-        hours = (
+        counted = (
             spark.readStream.schema(arrived.schema)
             .parquet(landing)
             .withWatermark("ts", "1 hour")
-            .groupBy(F.window("ts", "1 hour").alias("w"))
-            .agg(F.count(F.lit(1)).alias("counted"))
-            .select(F.col("w.start").alias("start"), "counted")
+            .groupBy(F.window("ts", "1 hour").alias("w"), "event_id")
+            .agg(F.count(F.lit(1)).alias("copies"))
+            .select(F.col("w.start").alias("start"), "event_id", "copies")
         )
-        table = batches_to_table(spark, hours, "late", mode="update", home=home)
-    all_hours = arrived.groupBy(F.window("ts", "1 hour").start.alias("start")).agg(F.count(F.lit(1)).alias("landed"))
-    counted = latest(table, ["start"])
-    return all_hours.join(counted, "start", "left").select(
-        _text(F.col("start")).alias("hour"),
-        F.coalesce("counted", F.lit(0)).alias("counted"),
-        (F.col("landed") - F.coalesce("counted", F.lit(0))).alias("late"),
+        run = run_batches(spark, counted, "late", mode="update", home=home)
+        fed = [b for b in run.batches if b.rows]
+        if len(fed) > 1:
+            raise RuntimeError("a part must be one batch")
+        closed_at = F.lit(fed[0].watermark if fed else None).cast("timestamp")
+        refused = part.filter(F.window("ts", "1 hour").end <= closed_at)
+        refused.write.mode("append").parquet(f"{home}/refused")
+    return run, latest(run.table, ["start", "event_id"]), spark.read.schema(arrived.schema).parquet(f"{home}/refused")
+
+
+def stream_late_data(spark: SparkSession, src: str) -> DataFrame:
+    """Per hour the events counted in time and those that came too late (``late_events``), beside the
+    number of late events that the engine itself reports for the whole run."""
+    run, counted, refused = late_events(spark, src)
+    in_time = counted.groupBy("start").agg(F.sum("copies").alias("counted"), F.lit(0).cast("bigint").alias("late"))
+    late = refused.groupBy(F.window("ts", "1 hour").start.alias("start"))
+    late = late.agg(F.lit(0).cast("bigint").alias("counted"), F.count(F.lit(1)).alias("late"))
+    hours = in_time.unionByName(late).groupBy("start").agg(F.sum("counted").alias("counted"), F.sum("late").alias("late"))
+    return hours.select(
+        _text(F.col("start")).alias("hour"), "counted", "late", F.lit(run.dropped).cast("bigint").alias("dropped_by_engine")
     )

@@ -8,11 +8,13 @@ output is read.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
-from kpiloom.session import work_dir
+from kpiloom.session import CHECKPOINT_INTERVAL, work_dir
 from kpiloom.sources.schemas import MESSAGE, RAW
 
 BATCH = "batch_id"
@@ -39,34 +41,95 @@ def message_stream(spark: SparkSession, path: str, files_per_trigger: int | None
     return reader.parquet(path)
 
 
-def _finish(writer, checkpoint: str) -> None:
+@dataclass
+class Batch:
+    """What the engine reports of one micro-batch. ``watermark`` is the one that the batch worked with
+    (none before the first), ``dropped`` the rows that its stateful operators refused as late."""
+
+    batch_id: int
+    rows: int
+    watermark: str | None
+    dropped: int
+    state_rows: int
+    state_bytes: int
+
+
+@dataclass
+class Run:
+    """A stream that has run over all that was there: its result, its folder and its batches."""
+
+    table: DataFrame
+    home: str
+    batches: list[Batch]
+
+    @property
+    def dropped(self) -> int:
+        return sum(b.dropped for b in self.batches)
+
+    def operators(self, name: str) -> list[int]:
+        """Ids of the stateful operators of a kind (as the engine names it), none if nothing ever ran."""
+        if not self.batches:
+            return []
+        known = self.table.sparkSession.read.format("state-metadata").load(f"{self.home}/checkpoint")
+        return sorted({r["operatorId"] for r in known.filter(F.col("operatorName") == name).select("operatorId").collect()})
+
+    def state(self, operator: int, **options: str) -> DataFrame:
+        """What an operator holds after the last batch: ``key`` and ``value``, read from the checkpoint."""
+        reader = self.table.sparkSession.read.format("statestore").option("operatorId", operator)
+        return reader.options(**options).load(f"{self.home}/checkpoint").select("key", "value")
+
+
+def _finish(writer, checkpoint: str) -> list[Batch]:
     running = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     try:
         running.awaitTermination()
+        return [_batch(p) for p in running.recentProgress]
     finally:
         running.stop()
 
 
-def append_to_table(
-    spark: SparkSession, stream: DataFrame, label: str, partition_by: list[str] | None = None
-) -> DataFrame:
+def _batch(progress) -> Batch:
+    operators = progress["stateOperators"]
+    return Batch(
+        progress["batchId"],
+        progress["numInputRows"],
+        (progress["eventTime"] or {}).get("watermark"),
+        sum(o["numRowsDroppedByWatermark"] for o in operators),
+        sum(o["numRowsTotal"] for o in operators),
+        sum(o["memoryUsedBytes"] for o in operators),
+    )
+
+
+def follow(stream: DataFrame, home: str, every: str = CHECKPOINT_INTERVAL) -> StreamingQuery:
+    """Start an append-mode stream into ``home`` that keeps running: a batch, and with it a commit of
+    its state, at that interval. Resumed where an earlier query of the same ``home`` stopped."""
+    writer = stream.writeStream.format("parquet").option("path", f"{home}/out").outputMode("append")
+    return writer.option("checkpointLocation", f"{home}/checkpoint").trigger(processingTime=every).start()
+
+
+def run_append(spark: SparkSession, stream: DataFrame, label: str, partition_by: list[str] | None = None) -> Run:
     """Run an append-mode stream into a file table (exactly once) and read the table."""
     home = work_dir(spark, label)
     writer = stream.writeStream.format("parquet").option("path", f"{home}/out").outputMode("append")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    _finish(writer, f"{home}/checkpoint")
-    return spark.read.schema(stream.schema).parquet(f"{home}/out")
+    batches = _finish(writer, f"{home}/checkpoint")
+    return Run(spark.read.schema(stream.schema).parquet(f"{home}/out"), home, batches)
 
 
-def batches_to_table(
+def append_to_table(spark: SparkSession, stream: DataFrame, label: str, partition_by: list[str] | None = None) -> DataFrame:
+    """The table of ``run_append``."""
+    return run_append(spark, stream, label, partition_by).table
+
+
+def run_batches(
     spark: SparkSession,
     stream: DataFrame,
     label: str,
     mode: str = "append",
     transform: Callable[[DataFrame], DataFrame] = lambda batch: batch,
     home: str | None = None,
-) -> DataFrame:
+) -> Run:
     """Write each micro-batch to its own partition and read all of them.
 
     A batch that is run again after a failure replaces its own partition, so nothing is
@@ -80,10 +143,24 @@ def batches_to_table(
         schemas.append(result.schema)
         result.write.mode("overwrite").parquet(f"{home}/out/{BATCH}={batch_id}")
 
-    _finish(stream.writeStream.outputMode(mode).foreachBatch(write), f"{home}/checkpoint")
+    batches = _finish(stream.writeStream.outputMode(mode).foreachBatch(write), f"{home}/checkpoint")
     if not schemas:
-        return transform(spark.createDataFrame([], stream.schema)).withColumn(BATCH, F.lit(0))
-    return spark.read.schema(schemas[-1].add(BATCH, "integer")).parquet(f"{home}/out")
+        table = transform(spark.createDataFrame([], stream.schema)).withColumn(BATCH, F.lit(0))
+    else:
+        table = spark.read.schema(schemas[-1].add(BATCH, "integer")).parquet(f"{home}/out")
+    return Run(table, home, batches)
+
+
+def batches_to_table(
+    spark: SparkSession,
+    stream: DataFrame,
+    label: str,
+    mode: str = "append",
+    transform: Callable[[DataFrame], DataFrame] = lambda batch: batch,
+    home: str | None = None,
+) -> DataFrame:
+    """The table of ``run_batches``."""
+    return run_batches(spark, stream, label, mode, transform, home).table
 
 
 def latest(table: DataFrame, keys: list[str]) -> DataFrame:

@@ -6,9 +6,10 @@ from decimal import Decimal
 
 from pyspark.sql import functions as F
 
+from kpiloom import session
 from kpiloom.sources import staging
 from kpiloom.sources.schemas import EVENTS, TOPIC_KEYS, TOPICS
-from kpiloom.streaming import events, runner
+from kpiloom.streaming import events, queries, runner
 
 
 def messages(spark, *values, topic="ecommerce.orders"):
@@ -140,3 +141,81 @@ def test_empty_stream(spark, src, tmp_path):
     staging.raw(spark, src, "events").filter("false").write.parquet(str(tmp_path / "events.parquet"))
     stream = runner.event_stream(spark, str(tmp_path))
     assert runner.batches_to_table(spark, stream.select("event_id"), "t").count() == 0
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_open_tails_come_from_the_state_alone(spark, src):
+    """The events are scanned by the stream only; what the result reads is its table and its checkpoint."""
+    for build in (queries.stream_sessions, queries.stream_click_to_purchase):
+        result = build(spark, src)
+        assert "events.parque" not in result._jdf.queryExecution().toString()
+        assert False in {r["is_open"] for r in result.select("is_open").distinct().collect()}
+
+
+def test_click_state_holds_minutes_not_events(spark, tmp_path):
+    """A hot user's purchases are summed before the join: its state has a row per minute."""
+    rows = [(i, datetime.datetime(2024, 1, 1, 10, i % 3, i % 60), 1, kind, 2.0, "{}") for i in range(300) for kind in ("click", "purchase")]
+    rows.append((9999, datetime.datetime(2024, 1, 1, 10, 40), 2, "purchase", 1.0, "{}"))
+    rows.append((9998, datetime.datetime(2024, 1, 1, 10, 40), 2, "click", 1.0, "{}"))
+    df = spark.createDataFrame(rows, "event_id bigint, ts timestamp, user_id bigint, event_type string, value double, props string")
+    df.coalesce(1).write.parquet(str(tmp_path / "events.parquet"))
+    held = {}
+    original = runner.Run.state
+    try:
+        runner.Run.state = lambda self, operator, **o: held.setdefault((operator, str(o)), original(self, operator, **o))
+        result = {(r["user_id"], r["minute"]): r for r in queries.stream_click_to_purchase(spark, str(tmp_path)).collect()}
+    finally:
+        runner.Run.state = original
+    assert max(state.count() for state in held.values()) <= 3
+    assert sorted(result) == [(1, f"2024-01-01 10:0{m}:00") for m in range(3)] + [(2, "2024-01-01 10:40:00")]
+    assert [(r["purchases"], r["is_open"]) for _, r in sorted(result.items())] == [(100, False)] * 3 + [(1, True)]
+
+
+def test_engine_counts_the_late_events_of_the_side_table(spark, src):
+    run, counted, refused = queries.late_events(spark, src)
+    late = refused.count()
+    assert late > 0 and run.dropped == late
+    assert {r["event_type"] for r in refused.select("event_type").distinct().collect()} == {"purchase"}
+    assert late + counted.count() == staging.raw(spark, src, "events").count()
+    assert refused.join(counted, "event_id", "left_semi").count() == 0
+    assert run.batches[0].watermark is not None
+
+
+def test_state_lies_in_bounded_memory(spark, tmp_path):
+    """Many keys: the state store is RocksDB, and takes no more memory than the setting allows."""
+    assert spark.conf.get("spark.sql.streaming.stateStore.providerClass").endswith("RocksDBStateStoreProvider")
+    spark.range(200_000).selectExpr("id", "timestamp '2024-01-01 00:00:00' as ts", "repeat('x', 200) as pad").write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema("id bigint, ts timestamp, pad string").parquet(str(tmp_path / "in"))
+    grouped = stream.withWatermark("ts", "1 hour").groupBy("id", F.window("ts", "1 hour")).agg(F.max("pad").alias("pad"))
+    run = runner.run_batches(spark, grouped.select("id"), "many", mode="update", home=str(tmp_path / "home"))
+    newest = run.batches[-1]
+    assert newest.state_rows == 200_000
+    assert 0 < newest.state_bytes <= session.STATE_MEMORY_MB << 20
+    assert run.state(run.operators("stateStoreSave")[0]).count() == 200_000
+
+
+def test_own_state_store_is_kept(spark):
+    own = spark.newSession()
+    own.conf.set("spark.sql.streaming.stateStore.providerClass", "com.example.OwnProvider")
+    assert session.tune(own).conf.get("spark.sql.streaming.stateStore.providerClass") == "com.example.OwnProvider"
+
+
+def test_running_stream_commits_and_resumes(spark, tmp_path):
+    landing, home = str(tmp_path / "in"), str(tmp_path / "home")
+    for value in ("1", "2"):
+        runner.land(messages(spark, value), landing)
+        running = runner.follow(runner.message_stream(spark, landing), home)
+        try:
+            running.processAllAvailable()
+        finally:
+            running.stop()
+    assert sorted(r["value"] for r in spark.read.parquet(f"{home}/out").collect()) == ["1", "2"]
+
+
+def test_nothing_arrived(spark, src, tmp_path):
+    staging.raw(spark, src, "events").filter("false").write.parquet(str(tmp_path / "events.parquet"))
+    for build in (queries.stream_sessions, queries.stream_click_to_purchase, queries.stream_late_data):
+        assert build(spark, str(tmp_path)).count() == 0
