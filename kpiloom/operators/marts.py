@@ -7,11 +7,16 @@ joins between them and running totals over them stay small at any data size.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kpiloom.functions.expressions import cents, date_id, double, flag, or_zero, percent, ratio, rounded, units
 
+#: A customer sketch keeps 2^14 hashes (128 KB at most): it is exact up to so many customers, and beyond
+#: that off by 0.8 % (one deviation). The error taken as its bound is four deviations.
+SKETCH_LG_SIZE = 14
+SKETCH_ERROR = 4 / 2 ** (SKETCH_LG_SIZE / 2)
+
 
 def inventory_value(products: DataFrame) -> DataFrame:
     return products.agg(F.sum(F.col("current_stock_level") * F.col("cost")).alias("inventory_value"))
@@ -26,15 +31,24 @@ def funnel_daily(sessions: DataFrame) -> DataFrame:
     )
 
 
-def ecommerce_daily(order_totals: DataFrame, sessions: DataFrame, products: DataFrame) -> DataFrame:
+def ecommerce_daily(order_totals: DataFrame, sessions: DataFrame, products: DataFrame, sketches: bool = False) -> DataFrame:
     """Shop day. The distinct customer count goes through (day, customer) first, so a hot day
-    is spread over its customers. Rates are null on days without click stream."""
-    sales = order_totals.groupBy("date").agg(
+    is spread over its customers. Rates are null on days without click stream.
+
+    With ``sketches`` a day also has ``customers_sketch``, which ``merged_customers`` merges to
+    the distinct customers of any set of days.
+    """
+    by_customer = order_totals.groupBy("date", "customer_id").agg(
+        *(F.sum(name).alias(name) for name in ("order_count", "total_cents", "cost_cents", "order_cents"))
+    )
+    sketch = [F.theta_sketch_agg("customer_id", SKETCH_LG_SIZE).alias("customers_sketch")] if sketches else []
+    sales = by_customer.groupBy("date").agg(
         F.sum("order_count").alias("total_orders"),
-        F.countDistinct("customer_id").alias("total_customers"),
+        F.count("customer_id").alias("total_customers"),
         units(F.sum("total_cents")).alias("total_revenue"),
         units(F.sum("cost_cents")).alias("total_cost"),
         units(F.sum(F.col("order_cents") - F.col("cost_cents"))).alias("gross_profit"),
+        *sketch,
     )
     stock = inventory_value(products).scalar()
     return sales.join(funnel_daily(sessions), "date", "full").select(
@@ -49,6 +63,45 @@ def ecommerce_daily(order_totals: DataFrame, sessions: DataFrame, products: Data
         "conversion_rate",
         "cart_abandonment_rate",
         or_zero(rounded(ratio(F.col("total_cost"), stock), 6)).alias("inventory_turnover"),
+        *(["customers_sketch"] if sketches else []),
+    )
+
+
+def merged_customers(sketch: Column | str = "customers_sketch") -> Column:
+    """An aggregate: the sketch of all customers of the days of a group."""
+    return F.theta_union_agg(sketch, SKETCH_LG_SIZE)
+
+
+def distinct_customers(mart: DataFrame, period: Column) -> DataFrame:
+    """Customers of each period of a mart with sketches, and those who had bought in the period
+    before it too: ``period``, ``customers``, ``returning``. Orders are not read again.
+
+    Periods are few rows of one sketch each, put in order by date.
+    """
+    merged = mart.groupBy(period.alias("period")).agg(merged_customers().alias("sketch"))
+    before = F.lag("sketch").over(Window.orderBy("period"))
+    both = F.when(before.isNotNull(), F.theta_sketch_estimate(F.theta_intersection("sketch", before)))
+    return merged.filter("period is not null").select(
+        "period", F.theta_sketch_estimate("sketch").alias("customers"), F.coalesce(both, F.lit(0)).cast("bigint").alias("returning")
+    )
+
+
+def distinct_customers_check(order_totals: DataFrame, mart: DataFrame, period: Column) -> DataFrame:
+    """Exact counts beside those of the sketches: whether customers are within the bound, and whether
+    returning customers are within the bound of the two periods' customers together."""
+    exact = order_totals.filter(F.col("customer_id").isNotNull()).select(period.alias("period"), "customer_id").distinct()
+    at = exact.select("period").distinct().select("period", F.lag("period").over(Window.orderBy("period")).alias("period_before"))
+    known = exact.select(F.col("period").alias("period_before"), "customer_id", F.lit(1).alias("known"))
+    counted = exact.join(at, "period").join(known, ["period_before", "customer_id"], "left").groupBy("period")
+    counted = counted.agg(F.count(F.lit(1)).alias("customers"), F.count("known").alias("returning"))
+    sketched = distinct_customers(mart, period).select("period", F.col("customers").alias("c"), F.col("returning").alias("r"))
+    before = F.coalesce(F.lag("customers").over(Window.orderBy("period")), F.lit(0))
+    return counted.join(sketched, "period", "left").select(
+        F.col("period").alias("date"),
+        "customers",
+        "returning",
+        (F.abs(F.col("c") - F.col("customers")) <= SKETCH_ERROR * F.col("customers")).alias("customers_within_bound"),
+        (F.abs(F.col("r") - F.col("returning")) <= SKETCH_ERROR * (F.col("customers") + before)).alias("returning_within_bound"),
     )
 
 

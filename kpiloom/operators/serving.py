@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from kpiloom.functions import checks
 from kpiloom.functions.expressions import ratio, rounded
+from kpiloom.operators import marts
 
 ECOMMERCE = (
     "date",
@@ -55,8 +56,9 @@ def ecommerce_metrics(
     """Shop metrics by day, or re-aggregated to weeks (from Monday) or months.
 
     Wider periods are built from daily sums: order value is revenue over orders, never a mean
-    of means. Customers are summed customer days. Conversion is the mean of the days that
-    have one; turnover is summed, since it is cost over a constant stock.
+    of means. Customers are distinct over the whole period, from the merged sketches of its days: the
+    mart must have been built with them. Conversion is the mean of the days that have one; turnover
+    is summed, since it is cost over a constant stock.
     """
     checks.one_of("granularity", granularity, checks.GRANULARITIES)
     if granularity == "daily":
@@ -67,7 +69,7 @@ def ecommerce_metrics(
         .groupBy(F.to_date(F.date_trunc(unit, "date")).alias("period"))
         .agg(
             F.sum("total_orders").alias("total_orders"),
-            F.sum("total_customers").alias("total_customers"),
+            F.coalesce(F.theta_sketch_estimate(marts.merged_customers()), F.lit(0)).alias("total_customers"),
             F.sum(F.col("total_revenue").cast("decimal(25,2)")).alias("revenue"),
             rounded(F.avg("conversion_rate"), 2).alias("conversion_rate"),
             F.sum(F.col("inventory_turnover").cast("decimal(20,6)")).alias("turnover"),

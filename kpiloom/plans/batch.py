@@ -171,7 +171,7 @@ def _load(run: _Run, spark: SparkSession, src: str) -> None:
         lambda: run.table("dim_customers", dimensions.customers(staging.customers(spark, src), totals)),
         lambda: run.table("dim_suppliers", dimensions.suppliers(staged_suppliers, deliveries)),
         lambda: run.table(
-            "ecommerce_daily_metrics", marts.ecommerce_daily(totals, staging.sessions(spark, src), products)
+            "ecommerce_daily_metrics", marts.ecommerce_daily(totals, staging.sessions(spark, src), products, sketches=True)
         ),
         lambda: run.table("supply_chain_daily_metrics", marts.supply_chain_daily(deliveries)),
         lambda: run.table("financial_daily_metrics", marts.financial_daily(ledger, budget, totals)),
@@ -206,7 +206,7 @@ def run_increment(
             ),
         )
         run.begin("ecommerce_daily_metrics", "supply_chain_daily_metrics")
-        shop = marts.ecommerce_daily(fact_order_totals(_touched(orders, run.load_id)), sessions, products)
+        shop = marts.ecommerce_daily(fact_order_totals(_touched(orders, run.load_id)), sessions, products, sketches=True)
         in_months = _touched(orders, run.load_id).select("month_id").distinct()
         shop = shop.withColumn("month", F.floor(F.col("date_id") / 100).cast("int"))
         shop = shop.join(in_months, F.col("month") == F.col("month_id"), "left_semi").drop("month")

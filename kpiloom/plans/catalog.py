@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from kpiloom import session
 from kpiloom.functions import checks
 from kpiloom.functions.expressions import double
-from kpiloom.operators import anomaly, dimensions, facts, forecast, loads, marts, quality, reports, serving
+from kpiloom.operators import anomaly, dimensions, facts, forecast, history, loads, marts, quality, reports, serving
 from kpiloom.plans import batch, frames
 from kpiloom.sources import schemas, staging, warehouse
 from kpiloom.streaming import events, queries
@@ -70,6 +70,32 @@ def dim_products_scd2(spark, src):
     return _plain_money(dimensions.versions(changes, "product_id", "unit_cost"))
 
 
+@query
+def dim_products_scd2_incremental(spark, src):
+    """The versions after three loads; the second brings deliveries of days that the first had already
+    seen, the third a few products only."""
+    path = session.work_dir(spark, "product-history")
+    deliveries = staging.deliveries(spark, src)
+    few = F.col("product_id") % 10 == 3
+    part = F.when(few & (F.col("delivery_id") % 3 == 0), 3).when(F.col("delivery_id") % 2 == 0, 2).otherwise(1)
+    for load in (1, 2, 3):
+        changes = dimensions.product_cost_changes(deliveries.filter(part == load))
+        history.record(spark, path, load, changes, "product_id", "unit_cost")
+    return _plain_money(history.current(spark, path, "product_id"))
+
+
+@query
+def fact_orders_asof_cost(spark, src):
+    """Order lines with the unit cost that was known on their order day."""
+    lines = staging.orders(spark, src).select(
+        "order_id", "line_number", "product_id", F.to_date("order_date").alias("order_day"), "quantity", "cost_amount"
+    )
+    changes = dimensions.product_cost_changes(staging.deliveries(spark, src))
+    known = dimensions.versions(changes, "product_id", "unit_cost")
+    joined = history.as_of(lines, known, "product_id", "order_day", ["version", "unit_cost"])
+    return _plain_money(joined.withColumn("cost_as_of", (F.col("quantity") * F.col("unit_cost")).cast("decimal(18,2)")))
+
+
 # --- facts -----------------------------------------------------------------------------------
 
 
@@ -148,7 +174,17 @@ def ecommerce_metrics_monthly(spark, src):
 
 
 def _shop_range(spark, src, granularity):
-    return serving.ecommerce_metrics(frames.ecommerce(spark, src, *RANGE), *RANGE, granularity)
+    mart = frames.ecommerce(spark, src, *RANGE, sketches=granularity != "daily")
+    return serving.ecommerce_metrics(mart, *RANGE, granularity)
+
+
+@query
+def customers_distinct_range(spark, src):
+    """Customers of each quarter and those who come back from the quarter before, exact and from the
+    sketches of the daily mart."""
+    quarter = F.to_date(F.date_trunc("quarter", "date"))
+    mart = frames.ecommerce(spark, src, *RANGE, sketches=True)
+    return marts.distinct_customers_check(staging.order_totals(spark, src, *RANGE), mart, quarter)
 
 
 @query
@@ -405,7 +441,7 @@ def incremental_batch(spark, src):
 @query
 def incremental_batch_shop(spark, src):
     """The shop's mart after the same runs."""
-    return warehouse.read(spark, f"{_increments(spark, src)}/ecommerce_daily_metrics").drop("month_id")
+    return warehouse.read(spark, f"{_increments(spark, src)}/ecommerce_daily_metrics").drop("month_id", "customers_sketch")
 
 
 @query

@@ -38,9 +38,12 @@ def dim_suppliers(spark: SparkSession, src: str) -> DataFrame:
     return dimensions.suppliers(staging.suppliers(spark, src), fact_deliveries(spark, src))
 
 
-def ecommerce(spark: SparkSession, src: str, start=None, end=None) -> DataFrame:
+def ecommerce(spark: SparkSession, src: str, start=None, end=None, sketches=False) -> DataFrame:
     return marts.ecommerce_daily(
-        staging.order_totals(spark, src, start, end), staging.sessions(spark, src, start, end), dim_products(spark, src)
+        staging.order_totals(spark, src, start, end),
+        staging.sessions(spark, src, start, end),
+        dim_products(spark, src),
+        sketches,
     )
 
 

@@ -523,16 +523,22 @@ twin(
        dayname(date) AS day_name, monthname(date) AS month_name, isodow(date) >= 6 AS is_weekend, false AS is_holiday
 FROM (SELECT CAST(unnest(generate_series(min(o_orderdate), max(o_orderdate), INTERVAL 1 DAY)) AS DATE) AS date FROM orders)""",
 )
-twin(
-    "dim_products_scd2",
-    ("stg_deliveries",),
-    f"""SELECT product_id, valid_from, {dbl('unit_cost')} AS unit_cost,
+COSTS = "SELECT product_id, delivery_date AS valid_from, max(unit_cost) AS unit_cost FROM stg_deliveries GROUP BY ALL"
+VERSIONS = f"""SELECT product_id, valid_from, unit_cost,
        CAST(row_number() OVER w AS INTEGER) AS version, lead(valid_from) OVER w - 1 AS valid_to,
        lead(valid_from) OVER w IS NULL AS is_current
-FROM (SELECT *, lag(unit_cost) OVER (PARTITION BY product_id ORDER BY valid_from) AS before
-      FROM (SELECT product_id, delivery_date AS valid_from, max(unit_cost) AS unit_cost FROM stg_deliveries GROUP BY ALL))
+FROM (SELECT *, lag(unit_cost) OVER (PARTITION BY product_id ORDER BY valid_from) AS before FROM ({COSTS}))
 WHERE unit_cost IS DISTINCT FROM before
-WINDOW w AS (PARTITION BY product_id ORDER BY valid_from)""",
+WINDOW w AS (PARTITION BY product_id ORDER BY valid_from)"""
+for _name in ("dim_products_scd2", "dim_products_scd2_incremental"):
+    twin(_name, ("stg_deliveries",), f"SELECT * REPLACE ({dbl('unit_cost')} AS unit_cost) FROM ({VERSIONS})")
+twin(
+    "fact_orders_asof_cost",
+    ("stg_orders", "stg_deliveries"),
+    f"""SELECT o.order_id, o.line_number, o.product_id, CAST(o.order_date AS DATE) AS order_day, o.quantity,
+       {dbl('o.cost_amount')} AS cost_amount, v.version, {dbl('v.unit_cost')} AS unit_cost,
+       {dbl('CAST(o.quantity * v.unit_cost AS DECIMAL(18,2))')} AS cost_as_of
+FROM stg_orders o ASOF LEFT JOIN ({VERSIONS}) v ON o.product_id = v.product_id AND CAST(o.order_date AS DATE) >= v.valid_from""",
 )
 
 # --- facts -----------------------------------------------------------------------------------
@@ -584,14 +590,27 @@ twin("ecommerce_metrics_range", ("ecommerce",), f"SELECT {SHOP} FROM ecommerce W
 for _name, _unit in (("weekly", "week"), ("monthly", "month")):
     twin(
         f"ecommerce_metrics_{_name}",
-        ("ecommerce",),
+        ("ecommerce", "totals"),
         f"""SELECT CAST(date_trunc('{_unit}', date) AS DATE) AS date, {big('sum(total_orders)')} AS total_orders,
-       {big('sum(total_customers)')} AS total_customers, {dbl('sum(CAST(total_revenue AS DECIMAL(25,2)))')} AS total_revenue,
+       {big('coalesce(any_value(n), 0)')} AS total_customers,
+       {dbl('sum(CAST(total_revenue AS DECIMAL(25,2)))')} AS total_revenue,
        coalesce({r(ratio('sum(CAST(total_revenue AS DECIMAL(25,2)))', 'sum(total_orders)'), 2)}, 0) AS average_order_value,
        {r('avg(conversion_rate)', 2)} AS conversion_rate,
        {dbl('sum(CAST(inventory_turnover AS DECIMAL(20,6)))')} AS inventory_turnover
-FROM ecommerce WHERE {RANGE} GROUP BY date_trunc('{_unit}', date)""",
+FROM ecommerce LEFT JOIN (SELECT date_trunc('{_unit}', date) AS p, count(DISTINCT customer_id) AS n FROM totals
+  WHERE {RANGE} GROUP BY date_trunc('{_unit}', date)) ON p = date_trunc('{_unit}', date)
+WHERE {RANGE} GROUP BY date_trunc('{_unit}', date)""",
     )
+BOUGHT = f"""SELECT DISTINCT CAST(date_trunc('quarter', date) AS DATE) AS date, customer_id FROM totals
+WHERE {RANGE} AND customer_id IS NOT NULL"""
+twin(
+    "customers_distinct_range",
+    ("totals",),
+    f"""SELECT b.date, count(*) AS customers, count(k.customer_id) AS returning,
+  TRUE AS customers_within_bound, TRUE AS returning_within_bound
+FROM ({BOUGHT}) b JOIN (SELECT date, lag(date) OVER (ORDER BY date) AS before FROM (SELECT DISTINCT date FROM ({BOUGHT}))) USING (date)
+LEFT JOIN ({BOUGHT}) k ON k.date = before AND k.customer_id = b.customer_id GROUP BY b.date""",
+)
 twin(
     "conversion_rate_stats",
     ("ecommerce",),
