@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from kpiloom import session
 from kpiloom.functions import checks
 from kpiloom.functions.expressions import double
-from kpiloom.operators import anomaly, dimensions, facts, forecast, history, loads, marts, quality, reports, serving
+from kpiloom.operators import anomaly, arima, dimensions, facts, forecast, history, loads, marts, quality, reports, serving
 from kpiloom.plans import batch, frames
 from kpiloom.sources import schemas, staging, warehouse
 from kpiloom.streaming import events, queries
@@ -305,6 +305,16 @@ def forecast_demand_category_arima(spark, src):
     return forecast.demand_category_arima(_category_sales(spark, src))
 
 
+@query
+def forecast_demand_arima_likelihood(spark, src):
+    return arima.demand(_category_sales(spark, src))
+
+
+@query
+def anomaly_arima_residual(spark, src):
+    return arima.residuals(_category_sales(spark, src))
+
+
 @query
 def forecast_lead_time(spark, src):
     return forecast.lead_time(frames.fact_deliveries(spark, src))

@@ -777,6 +777,70 @@ SELECT category, day""",
     1,
 )
 
+TABLES["arima_series"] = (
+    ("category_sales",),
+    f"""
+SELECT category, list(date ORDER BY age DESC) AS dates, list(y ORDER BY age DESC) AS levels,
+  list_transform(range(1, count(*)), lambda t: {{'a': 0e0, 'f': 0e0, 's': 0e0, 'p': 0e0, 'd':
+    list(y ORDER BY age DESC)[t + 1] - list(y ORDER BY age DESC)[t]}}) AS steps
+FROM (SELECT category, date, age, CAST(quantity AS DOUBLE) AS y FROM ({_last_days('category_sales', 'category')}))
+GROUP BY category HAVING count(*) >= 14""",
+)
+
+
+def _filtered(steps: str) -> str:
+    """The filter's state after these steps; phi and theta are columns."""
+    start = "{'a': 0e0, 'f': (1e0 + 2e0 * phi * theta + theta * theta) / (1e0 - phi * phi), 's': 0e0, 'p': 1e0, 'd': 0e0}"
+    after = (
+        "{'a': phi * x.d + theta * (x.d - acc.a) / acc.f, 'f': 1e0 + theta * theta - theta * theta / acc.f, "
+        "'s': acc.s + (x.d - acc.a) * (x.d - acc.a) / acc.f, 'p': acc.p * acc.f, 'd': 0e0}"
+    )
+    return f"list_reduce({steps}, lambda acc, x: {after}, {start})"
+
+
+def _best_point(points: str, per_unit: int) -> str:
+    cost = r("CASE WHEN run.s > 0 THEN len(steps) * ln(run.s) ELSE 0 END + ln(run.p)", 9)
+    return f"""SELECT * EXCLUDE (run, phi, theta) FROM (SELECT *, {_filtered('steps')} AS run
+  FROM (SELECT *, i / {per_unit}e0 AS phi, j / {per_unit}e0 AS theta FROM ({points})))
+QUALIFY row_number() OVER (PARTITION BY category ORDER BY {cost}, i, j) = 1"""
+
+
+_AROUND = "(SELECT CAST(unnest(range(-5, 6)) AS INTEGER) AS {0})"
+TABLES["arima_0"] = (
+    ("arima_series",),
+    _best_point(
+        "SELECT * FROM arima_series, (SELECT CAST(unnest(range(-9, 10)) AS INTEGER) AS i), (SELECT CAST(unnest(range(-9, 10)) AS INTEGER) AS j)",
+        10,
+    ),
+)
+for _k, (_per_unit, _bound) in enumerate(((50, 49), (250, 245), (1250, 1225)), 1):
+    TABLES[f"arima_{_k}"] = (
+        (f"arima_{_k - 1}",),
+        _best_point(
+            f"""SELECT * FROM (SELECT category, dates, levels, steps, 5 * i + di AS i, 5 * j + dj AS j
+      FROM arima_{_k - 1}, {_AROUND.format('di')}, {_AROUND.format('dj')}) WHERE abs(i) <= {_bound} AND abs(j) <= {_bound}""",
+            _per_unit,
+        ),
+    )
+TABLES["arima_fitted"] = (("arima_3",), "SELECT *, i / 1250e0 AS phi, j / 1250e0 AS theta, len(steps) AS n FROM arima_3")
+twin(
+    "forecast_demand_arima_likelihood",
+    ("arima_fitted",),
+    f"""SELECT category, day, {r('phi', 4)} AS phi, {r('theta', 4)} AS theta,
+  CASE WHEN run.s > 0 THEN {r('-n / 2e0 * (ln(2 * pi()) + 1 + ln(run.s / n)) - ln(run.p) / 2', 6)} END AS log_likelihood,
+  {r('greatest(levels[n + 1] + run.a * (1 - pow(phi, day)) / (1 - phi), 0)', 4)} AS forecasted_quantity
+FROM (SELECT *, {_filtered('steps')} AS run FROM arima_fitted) {HORIZON}""",
+)
+twin(
+    "anomaly_arima_residual",
+    ("arima_fitted",),
+    f"""SELECT category, date, value, expected_value, z_score, abs(z_score) > 2 AS is_anomaly FROM (
+  SELECT category, dates[t + 1] AS date, levels[t + 1] AS value, {r('levels[t] + before.a', 4)} AS expected_value,
+    {r('coalesce((steps[t].d - before.a) / nullif(sqrt(whole.s / n * before.f), 0), 0)', 6)} AS z_score
+  FROM (SELECT *, {_filtered('steps')} AS whole, {_filtered('steps[1:t - 1]')} AS before
+        FROM (SELECT *, unnest(range(1, n + 1)) AS t FROM arima_fitted)))""",
+)
+
 
 def _even(value: str) -> str:
     return f"CAST(round_even({r(value, 9)}, 0) AS INTEGER)"
