@@ -512,6 +512,7 @@ for _build in (
     queries.stream_sessions,
     queries.stream_inventory_low,
     queries.stream_zscore,
+    queries.stream_stock_alerts,
     queries.stream_dedup,
     queries.stream_click_to_purchase,
     queries.stream_enrich_customer,

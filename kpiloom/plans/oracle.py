@@ -1041,9 +1041,21 @@ HOURLY = (
 twin(
     "stream_zscore",
     (),
-    f"""SELECT {text('date')} AS hour, value AS revenue, {r('mean', 4)} AS expected_value, {r('z', 6)} AS z_score, is_anomaly
+    f"""SELECT {text('date')} AS hour, value AS revenue, {r('mean', 4)} AS expected_value, {r('z', 6)} AS z_score, is_anomaly,
+  date + INTERVAL 1 HOUR > (SELECT date_trunc('milliseconds', max(ts)) FROM events WHERE event_type = 'purchase') - INTERVAL 1 HOUR AS is_open
 FROM ({_scored(HOURLY)})""",
 )
+twin(
+    "stream_stock_alerts",
+    ("stg_products",),
+    f"""SELECT product_id, product_name, event_id, {text('ts')} AS at, previous_level, stock_level,
+       stock_level - previous_level AS change_quantity, reorder_point
+FROM (SELECT *, CASE WHEN lag(ts) OVER w + INTERVAL 7 DAYS >= ts THEN lag(stock_level) OVER w END AS previous_level
+      FROM (SELECT event_id, ts, user_id AS product_id, {STOCK} AS stock_level FROM events) WHERE stock_level IS NOT NULL
+      WINDOW w AS (PARTITION BY product_id ORDER BY ts, event_id))
+JOIN stg_products USING (product_id)
+WHERE stock_level < reorder_point AND (previous_level IS NULL OR previous_level >= reorder_point)""",
+)
 twin(
     "stream_sessions",
     (),

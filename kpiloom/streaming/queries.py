@@ -6,11 +6,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kpiloom.functions.expressions import rounded
-from kpiloom.operators import anomaly
 from kpiloom.session import work_dir
 from kpiloom.sources import staging
 from kpiloom.sources.schemas import TOPICS
-from kpiloom.streaming import events
+from kpiloom.streaming import alerts, events
 from kpiloom.streaming.runner import (
     Run,
     append_to_table,
@@ -21,6 +20,7 @@ from kpiloom.streaming.runner import (
     message_stream,
     run_append,
     run_batches,
+    run_carrying,
 )
 
 VALUE = "decimal(12,2)"
@@ -151,22 +151,34 @@ def stream_sliding_revenue(spark: SparkSession, src: str) -> DataFrame:
     return _window_rows(_windowed_revenue(spark, src, "sliding", "1 hour", "15 minutes"))
 
 
-def stream_zscore(spark: SparkSession, src: str) -> DataFrame:
-    """Hourly revenue of the stream, each hour scored against the 30 before it."""
-    hours = _windowed_revenue(spark, src, "hourly", "1 hour")
-    series = hours.select(
-        F.lit("ecommerce").alias("domain"),
-        F.lit("hourly_revenue").alias("metric"),
-        F.lit("").alias("entity"),
-        F.col("start").alias("date"),
-        F.col("revenue").cast("double").alias("value"),
-    )
-    return anomaly.score_zscore(series).select(
+def hourly_scores(spark: SparkSession, src: str, files_per_trigger: int | None = None) -> tuple[Run, DataFrame]:
+    """Hours of purchases, each scored when the watermark (1 hour) closes it against a stored baseline
+    of the 30 before it: the run, whose table holds an hour once, and the baseline that is left."""
+    purchases = event_stream(spark, src, files_per_trigger).filter("event_type = 'purchase'").withWatermark("ts", "1 hour")
+    sums = purchases.groupBy(F.window("ts", "1 hour").alias("w")).agg(F.sum(F.col("value").cast(VALUE)).alias("revenue"))
+    hours = sums.select(F.col("w.start").alias("date"), F.col("revenue").cast("double").alias("value"))
+    return run_carrying(spark, hours, "hourly", alerts.score_hours, alerts.BASELINE)
+
+
+def stream_zscore(spark: SparkSession, src: str, files_per_trigger: int | None = None) -> DataFrame:
+    """Hourly revenue of the stream, each hour scored against the 30 before it while the stream runs. The
+    hours still open at its end are read from its state and scored as they stand, marked as open."""
+    run, baseline = hourly_scores(spark, src, files_per_trigger)
+    scored = run.table.select("date", "value", "mean", "z", "is_anomaly", F.lit(False).alias("is_open"))
+    for operator in run.operators("stateStoreSave"):
+        held = run.state(operator)
+        open_hours = held.select(
+            F.col("key.window.start").alias("date"), F.when(~F.col("value.isEmpty"), F.col("value.sum")).cast("double").alias("value")
+        )
+        preview, _ = alerts.score_hours(open_hours, baseline)
+        scored = scored.unionByName(preview.select("date", "value", "mean", "z", "is_anomaly", F.lit(True).alias("is_open")))
+    return scored.select(
         _text(F.col("date")).alias("hour"),
         F.col("value").alias("revenue"),
         rounded(F.col("mean"), 4).alias("expected_value"),
         rounded(F.col("z"), 6).alias("z_score"),
         "is_anomaly",
+        "is_open",
     )
 
 
@@ -219,6 +231,22 @@ def stream_inventory_low(spark: SparkSession, src: str) -> DataFrame:
     )
 
 
+def stream_stock_alerts(spark: SparkSession, src: str, files_per_trigger: int | None = None) -> DataFrame:
+    """An alert each time a product's stock falls below its reorder line, with the level before it. The
+    levels are those of ``stream_inventory_low``."""
+    levels = event_stream(spark, src, files_per_trigger).select(
+        F.col("user_id").alias("product_id"),
+        (F.get_json_object("props", "$.k").cast("int") * 3).alias("stock_level"),
+        F.col("ts").alias("seen"),
+        "event_id",
+    )
+    lines = staging.products(spark, src).select("product_id", "product_name", "reorder_point")
+    run, _ = run_carrying(spark, levels, "stock-alerts", lambda batch, known: alerts.stock_step(batch, lines, known), alerts.LEVELS)
+    return run.table.select(
+        "product_id", "product_name", "event_id", _text(F.col("seen")).alias("at"), "previous_level", "stock_level", "change_quantity", "reorder_point"
+    )
+
+
 def stream_dedup(spark: SparkSession, src: str) -> DataFrame:
     """Every event delivered twice, kept once.
 

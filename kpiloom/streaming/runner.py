@@ -20,11 +20,13 @@ from kpiloom.sources.schemas import MESSAGE, RAW
 BATCH = "batch_id"
 
 
-def event_stream(spark: SparkSession, src: str) -> DataFrame:
+def event_stream(spark: SparkSession, src: str, files_per_trigger: int | None = None) -> DataFrame:
     """The events table as a stream. The one-letter pattern lets the path name a file or a folder."""
+    reader = spark.readStream.schema(RAW["events"])
+    if files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
     return (
-        spark.readStream.schema(RAW["events"])
-        .parquet(f"{src}/events.parque[t]")
+        reader.parquet(f"{src}/events.parque[t]")
         .withColumn("ts", F.col("ts").cast("timestamp"))
     )
 
@@ -163,6 +165,44 @@ def batches_to_table(
     return run_batches(spark, stream, label, mode, transform, home).table
 
 
+def run_carrying(
+    spark: SparkSession,
+    stream: DataFrame,
+    label: str,
+    step: Callable[[DataFrame, DataFrame], tuple[DataFrame, DataFrame]],
+    carried: str,
+    mode: str = "append",
+    home: str | None = None,
+) -> tuple[Run, DataFrame]:
+    """Micro-batches that hand a small table on: ``step`` gets a batch and what the batch before left
+    (empty at first, of the schema ``carried``), and gives the batch's result and what it leaves.
+
+    Both are written to folders of the batch. A batch that is run again reads what the one before it
+    left and replaces its own folders, so results are written once and no state runs ahead. Returned
+    are the run and what its last batch left.
+    """
+    home = home or work_dir(spark, label)
+    schemas = []
+
+    def left_by(batch_id: int) -> DataFrame:
+        if batch_id < 0:
+            return spark.createDataFrame([], carried)
+        return spark.read.schema(carried).parquet(f"{home}/carried/{batch_id}")
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        result, leaves = step(batch, left_by(batch_id - 1))
+        schemas.append(result.schema)
+        leaves.write.mode("overwrite").parquet(f"{home}/carried/{batch_id}")
+        result.write.mode("overwrite").parquet(f"{home}/out/{BATCH}={batch_id}")
+
+    batches = _finish(stream.writeStream.outputMode(mode).foreachBatch(write), f"{home}/checkpoint")
+    if schemas:
+        table = spark.read.schema(schemas[-1].add(BATCH, "integer")).parquet(f"{home}/out")
+    else:
+        table = step(spark.createDataFrame([], stream.schema), left_by(-1))[0].withColumn(BATCH, F.lit(0))
+    return Run(table, home, batches), left_by(max((b.batch_id for b in batches), default=-1))
+
+
 def latest(table: DataFrame, keys: list[str]) -> DataFrame:
     """The newest state of each key from a table of update-mode batches."""
     values = [name for name in table.columns if name not in (*keys, BATCH)]
