@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from kpiloom import session
 from kpiloom.functions import checks
 from kpiloom.functions.expressions import double
-from kpiloom.operators import anomaly, arima, dimensions, facts, forecast, history, loads, marts, quality, reports, serving
+from kpiloom.operators import anomaly, arima, dimensions, facts, forecast, history, loads, marts, quality, quartiles, reports, serving
 from kpiloom.plans import batch, frames
 from kpiloom.sources import schemas, staging, warehouse
 from kpiloom.streaming import events, queries
@@ -315,6 +315,12 @@ def anomaly_arima_residual(spark, src):
     return arima.residuals(_category_sales(spark, src))
 
 
+@query
+def delivery_quartiles_sketched(spark, src):
+    """Quartiles of the single deliveries of each supplier and year, exact and from merged daily sketches."""
+    return quartiles.check(frames.fact_deliveries(spark, src), F.year("date"))
+
+
 @query
 def forecast_lead_time(spark, src):
     return forecast.lead_time(frames.fact_deliveries(spark, src))

@@ -842,6 +842,16 @@ twin(
 )
 
 
+twin(
+    "delivery_quartiles_sketched",
+    ("fact_deliveries",),
+    f"""SELECT supplier_id, CAST(year(delivery_date) AS INTEGER) AS period, count(*) AS deliveries,
+  {big('quantile_disc(lead_time_days, 0.25)')} AS q1, {big('quantile_disc(lead_time_days, 0.5)')} AS median,
+  {big('quantile_disc(lead_time_days, 0.75)')} AS q3, TRUE AS within_bound
+FROM fact_deliveries WHERE lead_time_days IS NOT NULL GROUP BY supplier_id, year(delivery_date)""",
+)
+
+
 def _even(value: str) -> str:
     return f"CAST(round_even({r(value, 9)}, 0) AS INTEGER)"
 
