@@ -33,10 +33,25 @@ def append_fact(fact: DataFrame, path: str, date_id: str, load_id: str) -> int:
     return seen.get["rows"]
 
 
+def publish_table(df: DataFrame, path: str) -> int:
+    """Write the next version of a table and return its rows, counted by the write itself."""
+    seen = Observation()
+    warehouse.publish(df.observe(seen, F.count(F.lit(1)).alias("rows")), path)
+    return seen.get["rows"]
+
+
 def replace_months(mart: DataFrame, path: str) -> int:
-    """Replace the months of a stored mart that ``mart`` holds, whole, and return the rows written."""
+    """Publish a stored mart with the months that ``mart`` holds, whole, in place of its own, and return
+    the rows of these months. A mart has a row per day, so its other months are copied."""
+    spark = mart.sparkSession
     seen = Observation()
-    warehouse.overwrite_months(mart, path, "date_id", seen)
+    fresh = mart.withColumn("month_id", F.floor(F.col("date_id") / 100).cast("int"))
+    fresh = fresh.observe(seen, F.count(F.lit(1)).alias("rows"))
+    if warehouse.exists(spark, path):
+        stored = warehouse.read(spark, path)
+        touched = mart.select(F.floor(F.col("date_id") / 100).cast("int").alias("month_id")).distinct()
+        fresh = fresh.unionByName(stored.join(touched, "month_id", "left_anti"))
+    warehouse.publish(fresh, path)
     return seen.get["rows"]
 
 

@@ -161,6 +161,43 @@ def kpi_summary(ecommerce: DataFrame, supply_chain: DataFrame, financial: DataFr
     )
 
 
+def page_after(df: DataFrame, keys: dict[str, str], last: dict | None = None, limit: int = 100) -> DataFrame:
+    """The rows that follow ``last``, the keys of the last row of the page before (none: the first page).
+
+    ``keys`` gives each ordering column's direction, ``asc`` or ``desc``, and together they must name a row.
+    Nulls come last either way. Rows up to ``last`` are filtered out before anything is sorted, and
+    the filter goes down to the scan of a stored mart; an offset would sort all that it skips.
+    """
+    checks.limit(limit)
+    for direction in keys.values():
+        checks.one_of("direction", direction, ("asc", "desc"))
+    order = [getattr(F.col(name), f"{direction}_nulls_last")() for name, direction in keys.items()]
+    if last is not None:
+        df = df.filter(_behind(keys, last))
+    return df.orderBy(*order).limit(limit)
+
+
+def _behind(keys: dict[str, str], last: dict) -> Column:
+    """Whether a row's keys come after ``last``: the first that differs decides."""
+    behind, same = F.lit(False), F.lit(True)
+    for name, direction in keys.items():
+        value = last[name]
+        if value is None:  # only nulls are left of this key
+            further, equal = F.lit(False), F.col(name).isNull()
+        else:
+            further = F.col(name) > F.lit(value) if direction == "asc" else F.col(name) < F.lit(value)
+            further, equal = further | F.col(name).isNull(), F.col(name) == F.lit(value)
+        behind, same = behind | (same & further), same & equal
+    return behind
+
+
+def last_keys(rows: DataFrame, keys: dict[str, str]) -> dict | None:
+    """The keys of the last row of a page (of bounded size), or none if it is empty."""
+    backwards = {name: F.asc_nulls_first if direction == "desc" else F.desc_nulls_first for name, direction in keys.items()}
+    row = rows.orderBy(*(flip(name) for name, flip in backwards.items())).select(*keys).first()
+    return row.asDict() if row else None
+
+
 def page(df: DataFrame, order: list[Column], limit: int = 100, offset: int = 0) -> DataFrame:
     """One page of a totally ordered frame."""
     checks.limit(limit)

@@ -72,7 +72,7 @@ class _Run:
         return warehouse.read(self.spark, path)
 
     def table(self, name: str, df: DataFrame) -> DataFrame:
-        return self._audited(name, lambda path: loads.overwrite_table(facts.with_load_times(df), path))
+        return self._audited(name, lambda path: loads.publish_table(facts.with_load_times(df), path))
 
     def fact(self, name: str, df: DataFrame, date_id: str) -> DataFrame:
         return self._audited(

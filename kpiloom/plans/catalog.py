@@ -233,6 +233,16 @@ def metrics_page(spark, src):
     return serving.page(mart, [F.desc("date")], limit=100, offset=200)
 
 
+@query
+def metrics_page_seek(spark, src):
+    """The third page of a hundred, found by the last keys of the two before it."""
+    mart = frames.supply_chain(spark, src).select(*serving.SUPPLY_CHAIN)
+    keys, last = {"date": "desc"}, None
+    for _ in range(2):
+        last = serving.last_keys(serving.page_after(mart.select("date"), keys, last), keys) or last
+    return serving.page_after(mart, keys, last)
+
+
 # --- anomalies -------------------------------------------------------------------------------
 
 
@@ -484,6 +494,22 @@ def encode_batch_keyed(spark, src):
     return events.messages_per_key(messages)
 
 
+@query
+def encode_batch_isolated(spark, src):
+    """Transactions as one batch of messages of 2,000 bytes at most, some with a description far beyond
+    that and some without a number for their rate: what was queued and what went to the dead letters,
+    beside the count that the send reports."""
+    rows = staging.transactions(spark, src).withColumn("exchange_rate", F.col("exchange_rate").cast("double"))
+    number = F.col("transaction_id")
+    rows = rows.withColumn("description", F.when(number % 89 == 0, F.repeat(F.lit("long "), 500)).otherwise(F.col("description")))
+    rows = rows.withColumn("exchange_rate", F.when(number % 97 == 0, F.lit(float("nan"))).otherwise(F.col("exchange_rate")))
+    outbox = session.work_dir(spark, "outbox")
+    queued, _ = events.send_batch(events.sort_out(rows, schemas.TOPICS["transactions"], "gl_account_id", 2000), outbox)
+    parts = [events.outbox_messages(spark, outbox, dead) for dead in (False, True)]
+    counted = parts[0].unionByName(parts[1]).groupBy("topic", F.coalesce("reason", F.lit("queued")).alias("outcome"))
+    return counted.agg(F.count(F.lit(1)).alias("messages")).withColumn("queued_in_all", F.lit(queued).cast("bigint"))
+
+
 def _csv_round_trip(spark, mart, name):
     path = f"{session.work_dir(spark, 'csv')}/{name}"
     schema = schemas.MART_FILES[name]

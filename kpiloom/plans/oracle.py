@@ -652,7 +652,8 @@ twin(
 FROM (SELECT * FROM ecommerce WHERE total_orders > 0 ORDER BY date DESC LIMIT 1) e
 LEFT JOIN supply_chain USING (date) LEFT JOIN financial USING (date)""",
 )
-twin("metrics_page", ("supply_chain",), f"SELECT {CHAIN} FROM supply_chain ORDER BY date DESC LIMIT 100 OFFSET 200")
+for _name in ("metrics_page", "metrics_page_seek"):
+    twin(_name, ("supply_chain",), f"SELECT {CHAIN} FROM supply_chain ORDER BY date DESC LIMIT 100 OFFSET 200")
 
 # --- anomalies -------------------------------------------------------------------------------
 
@@ -976,6 +977,14 @@ twin(
        {dbl('sum(debit_amount)')} AS debit, {dbl('sum(credit_amount)')} AS credit
 FROM fact_transactions GROUP BY gl_account_id""",
 )
+twin(
+    "encode_batch_isolated",
+    ("fact_transactions",),
+    f"""SELECT 'financials.transactions' AS topic, outcome, count(*) AS messages,
+       {big("sum(sum(CASE WHEN outcome = 'queued' THEN 1 ELSE 0 END)) OVER ()")} AS queued_in_all
+FROM (SELECT CASE WHEN transaction_id % 97 = 0 THEN 'not_a_number' WHEN transaction_id % 89 = 0 THEN 'too_large' ELSE 'queued' END AS outcome
+      FROM fact_transactions) GROUP BY outcome""",
+)
 twin("csv_mart_roundtrip", ("supply_chain",), f"SELECT {CHAIN} FROM supply_chain")
 twin(
     "csv_ecommerce_roundtrip",

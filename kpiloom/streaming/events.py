@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -23,6 +25,52 @@ def encode_batch(df: DataFrame, topic: str, key_field: str | None = None) -> Dat
     return df.select(key.alias("key"), F.to_json(F.struct(*df.columns)).alias("value"), F.lit(topic).alias("topic"))
 
 
+#: A broker refuses larger messages unless told otherwise (bytes of key and value; a fixed value).
+MAX_MESSAGE_BYTES = 1_048_576
+
+
+def sort_out(df: DataFrame, topic: str, key_field: str | None = None, max_bytes: int = MAX_MESSAGE_BYTES) -> DataFrame:
+    """``encode_batch`` with a ``reason`` not to send a row, null for those that can be sent:
+    ``not_a_number`` where a field holds what JSON has no number for, ``too_large`` beyond ``max_bytes``."""
+    floats = [name for name, kind in df.dtypes if kind in ("double", "float")]
+    odd = F.lit(False)
+    for name in floats:
+        odd |= F.coalesce(F.isnan(name) | (F.abs(name) == float("inf")), F.lit(False))
+    key = F.col(key_field).cast("string") if key_field else F.lit(None).cast("string")
+    value = F.to_json(F.struct(*df.columns))
+    encoded = df.select(key.alias("key"), value.alias("value"), F.lit(topic).alias("topic"), odd.alias("odd"))
+    size = F.octet_length("value") + F.coalesce(F.octet_length("key"), F.lit(0))
+    return encoded.select(
+        "key", "value", "topic", F.when(F.col("odd"), "not_a_number").when(size > max_bytes, "too_large").alias("reason")
+    )
+
+
+def send_batch(sorted_out: DataFrame, outbox: str, send: Callable[[DataFrame], None] | None = None) -> tuple[int, int]:
+    """Put a batch of ``sort_out`` into ``outbox`` and send what can be sent; how many messages were
+    queued, and how many went to the dead letters.
+
+    One pass writes both parts and counts them; a row that cannot be sent holds up no other. ``send``
+    (``write_topics``, say) gets the queued messages as they were written, so a repeated attempt sends
+    the same ones; dead letters keep their text and reason.
+    """
+    seen = Observation()
+    dead = F.col("reason").isNotNull()
+    counted = sorted_out.withColumn("dead", dead).observe(
+        seen, F.count(F.when(~F.col("dead"), 1)).alias("queued"), F.count(F.when(F.col("dead"), 1)).alias("dead")
+    )
+    counted.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("dead").parquet(outbox)
+    found = seen.get
+    if send is not None and found["queued"]:
+        send(outbox_messages(sorted_out.sparkSession, outbox, dead=False).drop("reason"))
+    return found["queued"], found["dead"]
+
+
+def outbox_messages(spark: SparkSession, outbox: str, dead: bool) -> DataFrame:
+    """The queued messages of an outbox, or its dead letters."""
+    stored = spark.read.schema("key string, value string, topic string, reason string, dead boolean").parquet(outbox)
+    return stored.filter(F.col("dead") == dead).drop("dead")
+
+
 def parse(value: Column, kind: str) -> Column:
     """A message value as a struct; a value that does not parse leaves nulls and its text."""
     return F.from_json(

@@ -219,3 +219,31 @@ def test_nothing_arrived(spark, src, tmp_path):
     staging.raw(spark, src, "events").filter("false").write.parquet(str(tmp_path / "events.parquet"))
     for build in (queries.stream_sessions, queries.stream_click_to_purchase, queries.stream_late_data):
         assert build(spark, str(tmp_path)).count() == 0
+
+
+def test_bad_rows_hold_up_no_others(spark, tmp_path):
+    rows = [(1, "ok", 1.5), (2, "x" * 200, 1.0), (3, "nan", float("nan")), (4, "inf", float("-inf")), (None, "no key", None), (6, None, 0.0)]
+    df = spark.createDataFrame(rows, "id bigint, name string, rate double")
+    outbox, sent = str(tmp_path / "outbox"), []
+    queued, dead = events.send_batch(events.sort_out(df, "t", "id", 100), outbox, lambda m: sent.extend(m.collect()))
+    assert (queued, dead) == (3, 3)
+    assert sorted((r["key"], json.loads(r["value"]).get("name")) for r in sent if r["key"]) == [("1", "ok"), ("6", None)]
+    assert [r["key"] for r in sent if json.loads(r["value"]).get("name") == "no key"] == [None]
+    letters = {r["key"]: r["reason"] for r in events.outbox_messages(spark, outbox, dead=True).collect()}
+    assert letters == {"2": "too_large", "3": "not_a_number", "4": "not_a_number"}
+    # A repeated attempt replaces the outbox and sends the same.
+    assert events.send_batch(events.sort_out(df, "t", "id", 100), outbox) == (3, 3)
+    assert events.outbox_messages(spark, outbox, dead=False).count() == 3
+
+
+def test_size_counts_bytes_of_key_and_value(spark):
+    df = spark.createDataFrame([("é" * 10,)], "k string")
+    size = len(json.dumps({"k": "é" * 10}, ensure_ascii=False, separators=(",", ":")).encode()) + 20
+    for most, reason in ((size, None), (size - 1, "too_large")):
+        assert events.sort_out(df, "t", "k", most).first()["reason"] == reason
+
+
+def test_nothing_to_send(spark, tmp_path):
+    df = spark.createDataFrame([], "id bigint, rate double")
+    sent = []
+    assert events.send_batch(events.sort_out(df, "t", "id"), str(tmp_path / "o"), sent.append) == (0, 0) and not sent
