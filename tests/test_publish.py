@@ -70,3 +70,19 @@ def test_touched_months_are_replaced_in_a_new_version(spark, tmp_path):
     rows = sorted((r["date_id"], r["v"], r["month_id"]) for r in warehouse.read(spark, path).collect())
     assert rows == [(20240102, 20, 202401), (20240201, 3, 202402), (20240301, 4, 202403)]
     assert len(warehouse.versions(spark, path)) == 2
+
+
+def test_marts_of_the_batch_group_no_orders(spark, src, tmp_path):
+    """Lines are grouped once, by day, customer and status; what the marts read has no order in it."""
+    from kpiloom.operators import facts, marts
+    from kpiloom.plans import batch, frames
+    from kpiloom.sources import staging
+
+    lines = facts.orders(staging.orders(spark, src))
+    path = str(tmp_path / "totals")
+    warehouse.publish(batch.order_day_totals(lines), path)
+    totals = warehouse.read(spark, path)
+    assert "order_id" not in totals.columns
+    mart = marts.ecommerce_daily(totals, staging.sessions(spark, src), frames.dim_products(spark, src))
+    assert "order_id" not in mart._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(map(tuple, mart.collect()), key=repr) == sorted(map(tuple, frames.ecommerce(spark, src).collect()), key=repr)
