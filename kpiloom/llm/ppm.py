@@ -83,32 +83,60 @@ def _chunks(texts: pa.Array) -> Iterator[tuple[int, int, text.Words]]:
         yield a, b, text.words(part, text.VISIBLE_LOWER)
 
 
-def _requests(rows: pa.RecordBatch, order: int) -> tuple[np.ndarray, np.ndarray, pa.Array, np.ndarray]:
-    """Strings and words of a slice, in a fixed order, and how often training texts hold them."""
+def _requests(rows: pa.RecordBatch, order: int, counted: bool = True) -> tuple[np.ndarray, np.ndarray, pa.Array, np.ndarray]:
+    """Strings and words of a slice, in a fixed order, and, where ``counted``, how often training texts
+    hold them."""
     training = rows["training"].to_numpy(zero_copy_only=False)
     seen, learned, words, times = [], [], [], []
     for a, b, w in _chunks(rows["text"]):
         code, owner = grams(w, order)
-        own = _different(code)
-        code = np.sort(code[training[a:b][owner]])
-        new = np.flatnonzero(np.append(True, code[1:] != code[:-1])) if len(code) else np.zeros(0, np.int64)
-        counts = np.zeros(len(own), np.int64)
-        counts[np.searchsorted(own, code[new])] = np.diff(np.append(new, len(code)))
-        seen.append(own)
-        learned.append(counts)
         different, codes = w.coded()
         words.append(different)
+        if not counted:
+            seen.append(_different(code))
+            continue
+        # One sort serves both: the lowest bit says whether the string's text is a training one.
+        code = np.sort(code << 1 | training[a:b][owner])
+        own = code >> 1
+        new = np.flatnonzero(np.append(True, own[1:] != own[:-1])) if len(own) else np.zeros(0, np.int64)
+        seen.append(own[new])
+        learned.append(np.add.reduceat(code & 1, new) if len(new) else new)
         times.append(np.bincount(codes[training[a:b][w.text_of()]], minlength=len(different)))
     all_grams = _different(np.concatenate([*seen, np.zeros(0, np.int64)]))
     counts = np.zeros(len(all_grams), np.int64)
-    for own, n in zip(seen, learned, strict=True):
+    for own, n in zip(seen, learned, strict=counted):
         counts[np.searchsorted(all_grams, own)] += n
     coded = pa.concat_arrays([*words, pa.array([], pa.binary())]).dictionary_encode()
+    if not counted:
+        return all_grams, counts, coded.dictionary, np.zeros(0, np.int64)
     indices = coded.indices.to_numpy(zero_copy_only=False)
     total = np.bincount(indices, np.concatenate([*times, np.zeros(0)]), len(coded.dictionary)).astype(np.int64)
     return all_grams, counts, coded.dictionary, total
 
 
+class _Slots:
+    """Places of keys in a sorted array: a table of four slots a key holds the place of one key that
+    falls on the slot; keys that are not that one are searched for."""
+
+    def __init__(self, keys: np.ndarray):
+        self.keys = keys
+        bits = max(int(4 * len(keys) - 1).bit_length(), 1)
+        self.shift = np.uint64(64 - bits)
+        self.table = np.zeros(1 << bits, np.int32 if len(keys) < 1 << 31 else np.int64)
+        self.table[self._slot(keys)] = np.arange(len(keys))
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        return (keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> self.shift
+
+    def find(self, wanted: np.ndarray) -> np.ndarray:
+        if not len(self.keys):
+            return np.zeros(len(wanted), np.int64)
+        at = self.table[self._slot(wanted)]
+        other = np.flatnonzero(self.keys[at] != wanted)
+        at[other] = np.searchsorted(self.keys, wanted[other])
+        return at
+
+
 _PACKED = "at bigint, gram bigint, word binary, n bigint, texts binary"
 
 
@@ -294,7 +322,8 @@ def _looked_up(keys, common: tuple, places: np.ndarray, values: np.ndarray) -> n
 
 
 def _score(rows: pa.RecordBatch, order: int, common, place, value, ends: int, total: int, different: int) -> pa.Table:
-    all_grams, _, words, _ = _requests(rows, order)
+    all_grams, _, words, _ = _requests(rows, order, counted=False)
+    slots = _Slots(all_grams)
     gram_value = _looked_up(all_grams, common["gram"], place[0], value[0])
     word_count = _looked_up(words, common["word"], place[1], value[1])
     n = rows.num_rows
@@ -302,7 +331,7 @@ def _score(rows: pa.RecordBatch, order: int, common, place, value, ends: int, to
     room = total + different + 1
     for a, b, w in _chunks(rows["text"]):
         code, owner = grams(w, order)
-        score[a:b] = np.bincount(owner, gram_value[np.searchsorted(all_grams, code)], b - a)
+        score[a:b] = np.bincount(owner, gram_value[slots.find(code)], b - a)
         own, codes = w.coded()
         doc, count = w.text_of(), word_count[_place(words, own)[codes]]
         tokens[a:b] = w.counts + 1

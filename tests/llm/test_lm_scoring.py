@@ -1,5 +1,7 @@
 """Scores against a trie counted byte by byte."""
 
+import pyarrow as pa
+import numpy as np
 import math
 import zlib
 from collections import Counter
@@ -69,3 +71,19 @@ def test_adaptive_learns_within_the_text(spark):
     got = {r["doc_id"]: r["score"] for r in ppm.adaptive(docs).collect()}
     assert got[2] == got[3] == pytest.approx(math.log10(1 / 256))
     assert -got[1] < 0.25 * 200 * math.log10(256)
+
+
+def test_slots_find_every_key():
+    draw = np.random.default_rng(8)
+    for size in (1, 2, 1000, 50_000):
+        keys = np.unique(draw.integers(0, 1 << 48, size))
+        wanted = draw.choice(keys, 3 * size)
+        assert (ppm._Slots(keys).find(wanted) == np.searchsorted(keys, wanted)).all()
+    assert len(ppm._Slots(np.zeros(0, np.int64)).find(np.zeros(0, np.int64))) == 0
+
+
+def test_uncounted_requests_are_the_same_keys():
+    rows = pa.RecordBatch.from_pydict({"text": ["ab ab c", None, "c d ab", ""], "training": [True, True, False, False]})
+    counted, alone = ppm._requests(rows, 3), ppm._requests(rows, 3, counted=False)
+    assert (counted[0] == alone[0]).all() and counted[2].equals(alone[2])
+    assert dict(zip(counted[2].to_pylist(), counted[3].tolist())) == {b"ab": 2, b"c": 1, b"d": 0}
