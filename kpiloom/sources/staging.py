@@ -23,6 +23,8 @@ MAX_LEAD_DAYS = 45
 #: The click stream is dated January 2024, the orders end on 2001-08-01. Funnel days are
 #: moved back by this fixed number of days, so that they fall on the last 30 order days.
 CLICKSTREAM_SHIFT_DAYS = 8217
+#: Ids of orders that are broadcast at most: some 16 MB as a hash table.
+BROADCAST_ORDERS = 1_000_000
 
 
 def raw(spark: SparkSession, src: str, table: str) -> DataFrame:
@@ -207,10 +209,12 @@ def order_totals(spark: SparkSession, src: str, start: Day = None, end: Day = No
     """Orders summed to one row each, *before* the join with their heads.
 
     Daily sums need no single line, so the lines are reduced on the map side first: the join
-    then sees one row per order, however many lines a hot order has. Amounts are in cents.
+    then sees one row per order, however many lines a hot order has. Amounts are in cents. With a
+    range, lines of other orders are dropped before that (``_of_orders``).
     """
+    heads = order_headers(spark, src, start, end)
     sums = (
-        order_lines(spark, src)
+        _of_orders(order_lines(spark, src), heads, start, end)
         .groupBy("order_id")
         .agg(
             F.count(F.lit(1)).alias("order_count"),
@@ -219,17 +223,28 @@ def order_totals(spark: SparkSession, src: str, start: Day = None, end: Day = No
             F.sum("cost_cents").alias("cost_cents"),
         )
     )
-    heads = order_headers(spark, src, start, end).select(
-        "order_id", "customer_id", F.to_date("order_date").alias("date"), "order_status"
-    )
+    heads = heads.select("order_id", "customer_id", F.to_date("order_date").alias("date"), "order_status")
     return sums.join(heads, "order_id")
 
 
+def _of_orders(lines: DataFrame, heads: DataFrame, start: Day, end: Day) -> DataFrame:
+    """Lines of the orders in a range, dropped where they are read if the orders' ids are few enough to
+    be broadcast, which counting them over the ranged scan shows. With more, or without a range, all
+    lines stay: the join that follows picks them."""
+    if start is None and end is None:
+        return lines
+    ids = heads.select("order_id")
+    if ids.limit(BROADCAST_ORDERS + 1).count() > BROADCAST_ORDERS:
+        return lines
+    return lines.join(F.broadcast(ids), "order_id", "left_semi")
+
+
 def daily_product_sales(spark: SparkSession, src: str, start: Day = None) -> DataFrame:
     """Quantity, revenue, cost (in cents) and lines per product and order day."""
-    heads = order_headers(spark, src, start).select("order_id", F.to_date("order_date").alias("date"))
+    headers = order_headers(spark, src, start)
+    heads = headers.select("order_id", F.to_date("order_date").alias("date"))
     return (
-        order_lines(spark, src)
+        _of_orders(order_lines(spark, src), headers, start, None)
         .join(heads, "order_id")
         .groupBy("product_id", "date")
         .agg(

@@ -99,3 +99,18 @@ def test_one_hot_order_is_split(spark, tmp_path):
 def test_messages_are_parsed_once(spark, src):
     plan = QUERIES["encode_order_events"](spark, src)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("from_json(") == 1
+
+
+def test_lines_outside_a_range_meet_no_shuffle(spark, src, monkeypatch):
+    """Few orders: their ids are broadcast and other lines dropped at the scan. More than the bound: as
+    without a range, and with the same rows."""
+    import datetime
+
+    days = datetime.date(1997, 1, 1), datetime.date(1997, 1, 31)
+    few = staging.order_totals(spark, src, *days)
+    text = plan(few)
+    assert text.index("Exchange hashpartitioning(order_id") < text.index("LeftSemi") < text.index("l_orderkey")
+    rows = sorted(map(tuple, few.collect()))
+    monkeypatch.setattr(staging, "BROADCAST_ORDERS", 3)
+    many = staging.order_totals(spark, src, *days)
+    assert "LeftSemi" not in plan(many) and sorted(map(tuple, many.collect())) == rows and rows
