@@ -28,18 +28,6 @@ CONVERSION_ADVICE = "Check website performance, marketing campaigns, or customer
 DELIVERY_ADVICE = "Investigate supplier delays. Consider escalation or alternative suppliers."
 
 SERIES = ["domain", "metric", "entity"]
-ALERT = [
-    "alert_id",
-    "severity",
-    "domain",
-    "metric",
-    "date",
-    "current_value",
-    "expected_value",
-    "z_score",
-    "deviation_pct",
-    "recommendation",
-]
 
 
 def metric(df: DataFrame, domain: str, name: str, value: str, entity: Column | None = None) -> DataFrame:
