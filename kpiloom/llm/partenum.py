@@ -17,8 +17,10 @@ the links.
 
 What shares a signature is a candidate. Candidates are gathered into clusters by their connection
 alone: equal keys are reduced to a star around their smallest document, first within each task's
-slice of texts, so that a hot key leaves a task once. Then the texts of each cluster are compared
-exactly. From a cluster beyond one block's size, texts first go of whose shingles too few occur in any
+slice of texts, so that a hot key leaves a task once. The keys of a slice travel as one sorted array for
+each range of keys, cut to so many bits that a chance agreement is rare; what agrees by chance is one
+more candidate. Then the texts of each cluster are compared exactly; a bitmap of the ids in clusters keeps
+the other texts out of that shuffle. From a cluster beyond one block's size, texts first go of whose shingles too few occur in any
 other of its texts, widespread ones taken as shared: they can have no link. The rest is cut into blocks that are compared two by two in tasks
 of their own; its members close to its most typical one are linked to that one first, and blocks of
 such members need no comparison with each other. Tasks return a spanning forest of the links, never
@@ -31,13 +33,14 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from itertools import combinations
+from math import comb
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kpiloom.llm import graph, storage, text
+from kpiloom.llm import graph, marks, packing, storage, text
 
 #: Parts of a group, and how many of them a signature leaves out.
 PARTS, SPARE = 3, 1
@@ -54,6 +57,12 @@ HOT_IN_SLICE, HOT_TEXTS, MAX_HOT = 8, 32, 100_000
 #: Documents and shingles compared in one block.
 BLOCK_DOCS, BLOCK_SHINGLES = 256, 150_000
 
+#: Signatures that one task takes, and bits of a signature beyond those that tell all of them apart.
+RANGE_KEYS, SPARE_BITS = 1 << 22, 22
+
+#: Rows of one cluster are dealt to so many tasks where they meet what is known of the cluster.
+SALTS = 32
+
 #: Bits of a text's number within its slice, and how many texts a slice may have for that.
 _DOC_BITS = 14
 MOST_TEXTS = 1 << _DOC_BITS
@@ -89,17 +98,13 @@ def _sums(values: np.ndarray, first: np.ndarray) -> np.ndarray:
     return total[first[1:]] - total[first[:-1]]
 
 
-def signatures(
-    sets: np.ndarray, first: np.ndarray, percent: int, hot: np.ndarray | None = None
-) -> tuple[np.ndarray, np.ndarray]:
-    """Keys of all non-empty sets, and the set of each key; ``hot`` has the widespread shingles."""
-    size = np.diff(first)
+def _layout(size: np.ndarray, percent: int) -> tuple[np.ndarray, ...]:
+    """For each set and each band it signs for: the set, the band, parts of a group, groups, and how many
+    of these are more than needed."""
     starts = band_starts(int(size.max(initial=0)))
     band = np.searchsorted(starts, size, "right") - 1
     lowest = np.searchsorted(starts, -(-size * percent // 100), "right") - 1
     owner = np.repeat(np.arange(len(size)), np.where(size > 0, band - lowest + 1, 0))
-    if not len(owner):
-        return np.zeros(0, np.uint64), owner
     ordinal = np.arange(len(owner)) - np.searchsorted(owner, owner, "left")
     tag = lowest[owner] + ordinal
     k = (starts[tag + 1] - 1) * (100 - percent) // percent
@@ -107,7 +112,23 @@ def signatures(
     parts = np.where(spare > 0, PARTS, 1)
     groups = k // (spare + 1) + 1
     extra = np.where(groups >= 3, np.maximum(groups // EXTRA, 1), 0)
-    groups = groups + extra
+    return owner, tag, parts, groups + extra, extra
+
+
+def signature_count(size: np.ndarray, percent: int) -> int:
+    """How many signatures sets of these sizes have at most."""
+    _, _, parts, groups, _ = _layout(size, percent)
+    return int((groups * np.where(parts > 1, comb(PARTS, SPARE), 1)).sum())
+
+
+def signatures(
+    sets: np.ndarray, first: np.ndarray, percent: int, hot: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of all non-empty sets, and the set of each key; ``hot`` has the widespread shingles."""
+    size = np.diff(first)
+    owner, tag, parts, groups, extra = _layout(size, percent)
+    if not len(owner):
+        return np.zeros(0, np.uint64), owner
 
     # All elements once for each tag of their set, and the part each falls into.
     n = size[owner]
@@ -151,8 +172,8 @@ def signatures(
     return np.concatenate(keys)[kept], np.concatenate(owners)[kept]
 
 
-def widespread(docs: DataFrame, width: int) -> np.ndarray:
-    """The shingles that the most different texts share, in order."""
+def widespread(docs: DataFrame, width: int, percent: int) -> tuple[np.ndarray, int]:
+    """The shingles that the most different texts share, in order, and a bound of all signatures."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -165,14 +186,17 @@ def widespread(docs: DataFrame, width: int) -> np.ndarray:
                 at = np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1])) if len(ordered) else np.zeros(0, int)
                 times = np.diff(np.append(at, len(ordered)))
                 often = times >= HOT_IN_SLICE
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(ordered[at[often]].astype(np.int64)), pa.array(times[often])], ["shingle", "texts"]
-                )
+                # A shingle of -1 stands for the signatures.
+                shingle = np.append(ordered[at[often]].astype(np.int64), -1)
+                count = np.append(times[often], signature_count(np.diff(first), percent))
+                yield pa.RecordBatch.from_arrays([pa.array(shingle), pa.array(count)], ["shingle", "texts"])
 
     counts = docs.select("text").mapInArrow(run, "shingle bigint, texts bigint")
-    counts = counts.groupBy("shingle").agg(F.sum("texts").alias("texts")).filter(F.col("texts") >= HOT_TEXTS)
-    top = counts.orderBy(F.desc("texts"), "shingle").limit(MAX_HOT).select("shingle").toArrow()
-    return np.sort(top["shingle"].to_numpy().astype(np.uint64))
+    counts = counts.groupBy("shingle").agg(F.sum("texts").alias("texts"))
+    counts = counts.filter((F.col("shingle") < 0) | (F.col("texts") >= HOT_TEXTS))
+    top = counts.orderBy(F.expr("shingle >= 0"), F.desc("texts"), "shingle").limit(MAX_HOT + 1).toArrow()
+    shingle, count = top["shingle"].to_numpy(), top["texts"].to_numpy()
+    return np.sort(shingle[shingle >= 0]).astype(np.uint64), int(count[shingle < 0].sum())
 
 
 def _stars(key: np.ndarray, node: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -203,7 +227,7 @@ def _different(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return a[new], b[new]
 
 
-_SIGNED = "key bigint, kind tinyint, other bigint, doc bigint"
+_SIGNED = "part int, kind tinyint, body binary"
 _EDGES = "kind tinyint, a bigint, b bigint"
 
 
@@ -213,7 +237,26 @@ def _rows(names: list[str], *parts: tuple) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c.astype(t)) for c, t in zip(columns, kinds, strict=True)], names)
 
 
-def _signed(docs: DataFrame, width: int, percent: int, hot) -> DataFrame:
+def _ranges(key: np.ndarray, parts: int) -> np.ndarray:
+    """The range that each key falls into."""
+    return ((key >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
+
+
+def _packed(kind: int, key: np.ndarray, columns: tuple, parts: int, bits: int) -> list[tuple]:
+    """Rows of part, kind and body: the keys of each range in order, cut to ``bits``, and their columns."""
+    order = np.argsort(key)
+    key = key[order]
+    part = _ranges(key, parts)
+    edges = np.flatnonzero(np.append(True, part[1:] != part[:-1])) if len(key) else np.zeros(0, np.int64)
+    key = key >> np.uint64(64 - bits)
+    columns = [c[order] for c in columns]
+    out = []
+    for a, b in zip(edges, np.append(edges[1:], len(key)), strict=True):
+        out.append((int(part[a]), kind, packing.packed(key[a:b].view(np.int64), *(c[a:b] for c in columns))))
+    return out
+
+
+def _signed(docs: DataFrame, width: int, percent: int, hot, parts: int, bits: int) -> DataFrame:
     """For each text its size, its key as a whole and its signatures, reduced within a slice."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -237,50 +280,49 @@ def _signed(docs: DataFrame, width: int, percent: int, hot) -> DataFrame:
                 held = np.zeros(len(size), bool)
                 held[stands] = True
                 signed, owner = signed[held[owner]], owner[held[owner]]
-                keep, x, y = _stars(signed, ids[owner])
-                yield _rows(
-                    ["key", "kind", "other", "doc"],
-                    (text.mix(ids.astype(np.uint64)).view(np.int64), _DOC, size, ids),
-                    (key[stands].view(np.int64), _COPY, second[stands].view(np.int64), ids[stands]),
-                    (signed[keep].view(np.int64), _CANDIDATE, 0, ids[owner][keep]),
-                    # Edges found already travel as rows of negative kind.
-                    (text.mix(copy.astype(np.uint64)).view(np.int64), -_COPY_IN_SLICE, leader, copy),
-                    (text.mix(y.astype(np.uint64)).view(np.int64), -_CANDIDATE, x, y),
-                )
+                keep, x, y = _stars(signed >> np.uint64(64 - bits), ids[owner])
+                # Sizes and edges found already only pass through, in any one task.
+                at = int(_ranges(text.mix(ids[:1].astype(np.uint64)), parts)[0])
+                order = np.argsort(ids)
+                rows = [(at, _DOC, packing.packed(ids[order], size[order]))]
+                for kind, low, high in ((-_COPY_IN_SLICE, leader, copy), (-_CANDIDATE, x, y)):
+                    order = np.argsort(low)
+                    rows.append((at, kind, packing.packed(low[order], high[order])))
+                rows += _packed(_COPY, key[stands], (second[stands].view(np.int64), ids[stands]), parts, 64)
+                rows += _packed(_CANDIDATE, signed[keep], (ids[owner][keep],), parts, bits)
+                columns = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int32(), pa.int8(), pa.binary()), strict=True)]
+                yield pa.RecordBatch.from_arrays(columns, ["part", "kind", "body"])
 
     return docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")).mapInArrow(run, _SIGNED)
 
 
-def _edges(signed: DataFrame) -> DataFrame:
-    """Sizes of documents, and a star of edges for each key."""
+def _edges(signed: DataFrame, parts: int) -> DataFrame:
+    """Sizes of documents, and a star of edges for each key. A task takes one range of keys."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last = None  # the run that the previous batch ended in: key, kind, other, smallest document
+        copies, candidates = [], []
         for batch in batches:
-            key, kind, other, doc = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
-            if not len(key):
-                continue
-            new = np.append(True, (key[1:] != key[:-1]) | (kind[1:] != kind[:-1]) | (other[1:] != other[:-1]))
-            new |= kind <= _DOC
-            starts = np.flatnonzero(new)
-            leader = doc[starts].copy()
-            goes_on = last is not None and kind[0] > _DOC and last[:3] == (key[0], kind[0], other[0])
-            if goes_on:
-                leader[0] = last[3]
-            leader = leader[np.cumsum(new) - 1]
-            last = (key[-1], kind[-1], other[-1], leader[-1])
-            rest = ~new
-            rest[0] = goes_on
-            parts = [(_DOC, doc[kind == _DOC], other[kind == _DOC])]
-            for what in (_COPY_IN_SLICE, _CANDIDATE):
-                parts.append((what, other[kind == -what], doc[kind == -what]))
-            for what in (_COPY, _CANDIDATE):
-                found = rest & (kind == what)
-                parts.append((what, *_different(leader[found], doc[found])))
-            yield _rows(["kind", "a", "b"], *parts)
-
-    dealt = signed.repartition("key").sortWithinPartitions("key", "kind", "other", "doc")
-    return dealt.mapInArrow(run, _EDGES)
+            for kind, body in zip(batch["kind"].to_pylist(), batch["body"], strict=True):
+                if kind > _DOC:
+                    (copies if kind == _COPY else candidates).append(body.as_py())
+                    continue
+                a, b = (c.view(np.int64) for c in packing.unpacked(body.as_py(), 2))
+                if len(a):
+                    yield _rows(["kind", "a", "b"], (-kind, a, b))
+        if copies:
+            key, second, doc = (np.concatenate(c) for c in zip(*(packing.unpacked(c, 3) for c in copies), strict=True))
+            doc = doc.view(np.int64)
+            order = np.lexsort((doc, second, key))
+            key, second, doc = key[order], second[order], doc[order]
+            new = np.append(True, (key[1:] != key[:-1]) | (second[1:] != second[:-1]))
+            leader = doc[new][np.cumsum(new) - 1]
+            yield _rows(["kind", "a", "b"], (_COPY, *_different(leader[~new], doc[~new])))
+        if candidates:
+            key, doc = (np.concatenate(c) for c in zip(*(packing.unpacked(c, 2) for c in candidates), strict=True))
+            _, a, b = _stars(key, doc.view(np.int64))
+            yield _rows(["kind", "a", "b"], (_CANDIDATE, a, b))
+
+    return signed.repartitionById(parts, F.col("part")).mapInArrow(run, _EDGES)
 
 
 def _linked(sets: np.ndarray, first: np.ndarray, percent: int) -> np.ndarray:
@@ -390,16 +432,26 @@ def _possible(members: DataFrame, width: int, percent: int, hot) -> DataFrame:
     return kept.filter(100 * (F.col("known") + F.coalesce("shared", F.lit(0))) >= percent * F.col("size")).select("id")
 
 
+def _told(rows: DataFrame, clusters: DataFrame) -> DataFrame:
+    """``rows`` with the columns of their row of ``clusters``, joined by component. The rows of a large
+    cluster are dealt to several tasks."""
+    clusters = clusters.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)).cast("array<int>")))
+    rows = rows.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int"))
+    return rows.join(clusters, ["component", "salt"]).drop("salt")
+
+
 def _links(
     texts: DataFrame, clusters: DataFrame, sizes: DataFrame, degree: DataFrame, width: int, percent: int, hot
 ) -> DataFrame:
     """Links that connect what is linked within each cluster, found by comparing its texts."""
-    members = clusters.join(sizes, "id").join(degree, "id", "left")
+    members = storage.written(clusters.join(sizes, "id").join(degree, "id", "left"), "members")
     whole = members.groupBy("component").agg(
         F.ceil(F.greatest(F.count(F.lit(1)) / BLOCK_DOCS, F.sum("n") / BLOCK_SHINGLES)).alias("blocks"),
         F.max_by("id", F.struct("degree", -F.col("id"))).alias("center"),
     )
-    placed = members.select("id", "component").join(whole, "component").join(texts, F.col("id") == F.col("doc_id"))
+    placed = _told(members.select("id", "component"), whole)
+    in_cluster = marks.marked(members.select("id"))
+    placed = placed.join(texts.filter(in_cluster(F.col("doc_id"))), F.col("id") == F.col("doc_id"))
     placed = storage.written(placed.select("id", "component", "blocks", "center", "text"), "candidates")
 
     # In large clusters, texts that cannot be linked go; then the members that are linked with the
@@ -412,9 +464,9 @@ def _links(
     blocks = F.ceil(F.greatest(F.col("members") / BLOCK_DOCS, F.col("chars") / (5 * BLOCK_SHINGLES))).alias("blocks")
     center = F.max_by("id", F.struct("degree", -F.col("id"))).alias("center")
     most = members.join(possible, "id", "left_semi").groupBy("component").agg(center)
-    large = count.drop("blocks", "center").join(whole.select("component", blocks), "component").join(most, "component")
+    large = _told(count.drop("blocks", "center"), whole.select("component", blocks).join(most, "component"))
     centers = large.filter("id = center").groupBy("component").agg(F.min("text").alias("other_text"))
-    pairs = large.filter("id != center").join(centers, "component").select("id", "text", F.col("center").alias("other"), "other_text")
+    pairs = _told(large.filter("id != center"), centers).select("id", "text", F.col("center").alias("other"), "other_text")
     near = storage.written(_near(pairs, width, percent), "near")
     close = near.select(F.col("b").alias("id"), F.lit(True).alias("close")).distinct()
     dealt = large.join(close, "id", "left").withColumn("close", F.coalesce("close", F.col("id") == F.col("center")))
@@ -441,12 +493,16 @@ def join(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """
     source = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     known = source.filter("doc_id is not null")
+    spark = docs.sparkSession
+    common, count = widespread(known, width, percent)
     # At most MAX_HOT numbers are broadcast.
-    hot = docs.sparkSession.sparkContext.broadcast(widespread(known, width))
-    edges = storage.written(_edges(_signed(known, width, percent, hot)), "edges")
+    hot = spark.sparkContext.broadcast(common)
+    parts = max(-(-count // RANGE_KEYS), int(spark.conf.get("spark.sql.shuffle.partitions")))
+    bits = min(count.bit_length() + SPARE_BITS, 64)
+    edges = storage.written(_edges(_signed(known, width, percent, hot, parts, bits), parts), "edges")
     rows = edges.filter(F.col("kind") == _DOC).select(F.col("a").alias("id"), F.col("b").alias("n"))
     copies = edges.filter(F.col("kind").isin(_COPY, _COPY_IN_SLICE)).select("a", "b")
-    candidates = edges.filter(F.col("kind") == _CANDIDATE).select("a", "b")
+    candidates = edges.filter(F.col("kind") == _CANDIDATE).select("a", "b").distinct()
     # Of copies only a slice's smallest has signed; the smallest of all slices stands for them.
     alike = edges.filter(F.col("kind") == _COPY).groupBy("b").agg(F.min("a").alias("to"))
     for end in ("a", "b"):
@@ -483,15 +539,15 @@ def keep_one(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     id, and of several rows of this id the one of the smallest text hash. Rows without id stay."""
     found = join(docs, width, percent).filter("doc_id is not null")
     found = found.groupBy("doc_id", "component_id").agg(F.count(F.lit(1)).alias("rows_of_id"))
-    found = storage.written(found.filter("doc_id = component_id").select("doc_id", "rows_of_id"), "kept")
-    same = docs["doc_id"].cast("bigint") == found["doc_id"]
-    repeated = found.filter("rows_of_id > 1")
-    if repeated.isEmpty():
-        kept = docs.join(found, same, "left_semi")
-    else:
-        single = docs.join(found.filter("rows_of_id = 1"), same, "left_semi")
-        row = F.struct(*(F.col(f"`{c}`") for c in docs.columns))
-        first = docs.join(repeated, same, "left_semi").groupBy(F.col("doc_id").alias("of"))
-        first = first.agg(F.min_by(row, F.struct(F.xxhash64("text"), "text")).alias("row")).select("row.*")
-        kept = single.unionByName(first)
-    return kept.unionByName(docs.filter("doc_id is null"))
+    found = found.withColumn("stays", F.col("doc_id") == F.col("component_id"))
+    # Most rows are the only ones of an id that stays: they are in no shuffle.
+    found = storage.written(found.filter("not stays or rows_of_id > 1").select("doc_id", "stays"), "found")
+    own = docs["doc_id"].cast("bigint")
+    touched = marks.marked(found.select("doc_id"))(own)
+    kept = docs.filter(own.isNull() | ~touched)
+    single = docs.filter(own.isNotNull() & touched).join(found, own == found["doc_id"], "left_anti")
+    repeated = found.filter("stays")
+    row = F.struct(*(F.col(f"`{c}`") for c in docs.columns))
+    first = docs.filter(own.isNotNull() & touched).join(repeated, own == repeated["doc_id"], "left_semi")
+    first = first.groupBy(own.alias("of")).agg(F.min_by(row, F.struct(F.xxhash64("text"), "text")).alias("row"))
+    return kept.unionByName(single).unionByName(first.select("row.*"))
