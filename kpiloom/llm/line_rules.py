@@ -8,7 +8,8 @@ bytes and words of the one line:
   and more than one per three words;
 * shouting: at least three words, and over half of its words end in ``!!``;
 * punctuation: no sentence end in the line at all, and fewer than ``short_line`` words;
-* boilerplate: a licence, cookie, copyright or navigation phrase (``BOILERPLATE``);
+* boilerplate: a licence, cookie, copyright or navigation phrase (``BOILERPLATE``) in a line of at most
+  ``phrase_line`` words: in a long line, such as a text without line breaks, a phrase is no ground;
 * repeated: equal to an earlier line of the document.
 
 A document is kept if the lines that stay hold more than half of its words (``1 - max_lost``). The
@@ -53,6 +54,7 @@ class Rules:
     symbol_share: float = 0.1
     separators: int = 2
     short_line: int = 3
+    phrase_line: int = 50
     max_lost: float = 0.5
     min_words: int = 10
     max_repeated_percent: int = 20
@@ -143,7 +145,8 @@ def judge(texts: text.Raw, rules: Rules) -> Judged:
     failed |= (words >= 3) & (2 * count(loud) > words)
     failed |= (count(stop) == 0) & (words < rules.short_line)
     lines = _strings(data, starts, ends)
-    failed |= pc.match_substring_regex(lines, "|".join(BOILERPLATE), ignore_case=True).to_numpy(zero_copy_only=False)
+    phrase = pc.match_substring_regex(lines, "|".join(BOILERPLATE), ignore_case=True).to_numpy(zero_copy_only=False)
+    failed |= phrase & (words <= rules.phrase_line)
     repeated = _repeated(lines, line_text, real)
     failed |= repeated
     stays = real & ~failed

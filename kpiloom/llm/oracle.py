@@ -84,7 +84,7 @@ WITH d AS (
     OR (len(regexp_extract_all(l, '[|>»·•]')) >= 2 AND 3 * len(regexp_extract_all(l, '[|>»·•]')) > n)
     OR (n >= 3 AND 2 * len(list_filter(regexp_extract_all(l, '{_VISIBLE}'), lambda x: ends_with(x, '!!'))) > n)
     OR (NOT regexp_matches(l, '[.!?]') AND n < 3)
-    OR regexp_matches(l, '(?i){"|".join(BOILERPLATE)}')
+    OR (n <= 50 AND regexp_matches(l, '(?i){"|".join(BOILERPLATE)}'))
     OR again AS failed
   FROM lines WHERE n > 0
 ), by_line AS (

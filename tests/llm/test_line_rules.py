@@ -23,6 +23,15 @@ def test_documents_that_lose_too_much_go():
     assert j.kept.tolist() == [True, False, True]
 
 
+def test_a_phrase_fails_short_lines_only():
+    notice = "Read our privacy policy."
+    long = " ".join(f"word{i}" for i in range(1500)) + ". " + notice
+    edge = " ".join(f"word{i}" for i in range(46)) + " " + notice  # 50 words
+    j = judge(long, edge, "word46 " + edge, notice)
+    assert j.line_kept.tolist() == [True, False, True, False]
+    assert j.kept.tolist() == [True, False, True, False]
+
+
 def test_repeated_words_cover_their_windows():
     w = "a b c d e x a b c d e f y a b c d".split()
     codes = {x: k for k, x in enumerate(dict.fromkeys(w))}
