@@ -39,6 +39,8 @@ LEAST_REVISIT = 1000
 BLOCK_LINES = 3000
 MAX_ENTRIES = 1 << 18
 KEY_BYTES = 256
+#: Captures that a task reads back, and the most tasks of one lookup.
+TASK_CAPTURES, MAX_TASKS = 4096, 20_000
 LEVEL = 3
 
 #: Pages come without a time of capture.
@@ -308,8 +310,9 @@ def lookup(archive: Archive, wanted: DataFrame, payload: bool = False) -> DataFr
     """Every capture of the pages in ``wanted`` (page_id, url): page, size and digest of the full
     payload, kind of record, the page it refers to, and with ``payload`` the bytes of responses. A
     page that was not captured gives no row; repeated rows of ``wanted`` count once."""
-    directory = archive.directory.select("key", "page_id", "part", "file", "offset", "length").orderBy("part", "offset").toArrow()
-    shipped = wanted.sparkSession.sparkContext.broadcast(directory.to_pydict())
+    directory = archive.directory.select("key", "page_id", "part", "file", "offset", "length", "lines").orderBy("part", "offset").toArrow()
+    captured = sum(directory["lines"].to_pylist())
+    shipped = wanted.sparkSession.sparkContext.broadcast(directory.drop_columns(["lines"]).to_pydict())
     names = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", *["payload"] * payload]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -335,5 +338,7 @@ def lookup(archive: Archive, wanted: DataFrame, payload: bool = False) -> DataFr
                 yield pa.RecordBatch.from_pylist(found, schema=schema)
 
     keys = wanted.select(sort_key("url").alias("key"), F.col("page_id").cast("bigint").alias("page_id")).distinct()
-    ordered = keys.repartitionByRange("key", "page_id").sortWithinPartitions("key", "page_id")
+    # Keys are a few bytes, the records behind them are not: tasks are told by captures.
+    tasks = min(max(math.ceil(captured / TASK_CAPTURES), 1), MAX_TASKS)
+    ordered = keys.repartitionByRange(tasks, "key", "page_id").sortWithinPartitions("key", "page_id")
     return ordered.mapInArrow(run, _FOUND + ", payload binary" * payload)

@@ -3,6 +3,7 @@ import hashlib
 
 import odd
 import pytest
+from pyspark.sql import functions as F
 
 from kpiloom.llm import storage, warc
 
@@ -105,3 +106,11 @@ def test_blocks_of_one_long_head_stay_in_order(spark, monkeypatch):
     entries = archive.directory.collect()
     assert len({r["key"] for r in entries}) < len(entries)
     assert [tuple(r) for r in odd.rows_of(warc.lookup(archive, odd.pages(spark, rows)))] == captured(rows)
+
+
+def test_reads_are_dealt_to_tasks_by_captures(spark, monkeypatch):
+    monkeypatch.setattr(warc, "TASK_CAPTURES", 100)
+    pages = spark.range(950).selectExpr("id as page_id", "concat('http://h', id % 7, '.example.com/', id) as url", "cast(id as string) as html")
+    got = warc.lookup(warc.write(pages), pages)
+    tasks = [r["count"] for r in got.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(tasks) == 950 and len(tasks) == 10 and max(tasks) < 300
