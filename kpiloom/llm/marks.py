@@ -1,9 +1,9 @@
 """A bitmap of ids, to keep rows that surely have no partner out of a shuffle.
 
-Its size is fixed, so what is collected and broadcast is bounded whatever the number of ids. An id that
-is in the table is always marked; others are at a rate that grows with the number of ids, so the rows
-that pass still have to be joined. More ids than bits mark nearly everything: the join is then as if
-there were no bitmap.
+It has some bits for each id up to a fixed size, so what is collected and broadcast is bounded whatever the
+number of ids. An id that is in the table is always marked; a few others are too, so the rows that pass
+still have to be joined. Far more ids than bits mark nearly everything: the join is then as if there were
+no bitmap.
 """
 
 from __future__ import annotations
@@ -13,21 +13,23 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Bits of the bitmap: 16 MB.
-BITS = 1 << 27
+#: Bits of the bitmap for each id, and at most: 16 MB.
+ID_BITS, MAX_BITS = 16, 1 << 27
 
 
-def _place(ids: Column) -> Column:
-    return F.pmod(F.xxhash64(ids.cast("bigint")), F.lit(BITS))
+def _place(ids: Column, bits: int) -> Column:
+    return F.pmod(F.xxhash64(ids.cast("bigint")), F.lit(bits))
 
 
 def marked(ids: DataFrame):
-    """A function that tells of a column of ids whether each may be in ``ids`` (one column)."""
-    place = ids.select(_place(F.col(ids.columns[0])).alias("at"))
+    """A function that tells of a column of ids whether each may be in ``ids`` (one column, a written
+    table: it is read twice)."""
+    bits = min(max(1 << (ID_BITS * ids.count()).bit_length(), 64), MAX_BITS)
+    place = ids.select(_place(F.col(ids.columns[0]), bits).alias("at"))
     word = F.shiftright("at", 6).alias("word")
     bit = F.expr("shiftleft(1L, cast(at & 63 as int))")
     found = place.groupBy(word).agg(F.bit_or(bit).alias("bits")).toArrow()
-    bitmap = np.zeros(BITS >> 6, np.int64)
+    bitmap = np.zeros(bits >> 6, np.int64)
     bitmap[found["word"].to_numpy()] = found["bits"].to_numpy()
     sent = ids.sparkSession.sparkContext.broadcast(bitmap.view(np.uint64))
 
@@ -36,4 +38,4 @@ def marked(ids: DataFrame):
         place = at.to_numpy(zero_copy_only=False)
         return pa.array(sent.value[place >> 6] >> (place & 63).astype(np.uint64) & np.uint64(1) == 1)
 
-    return lambda column: known(_place(column))
+    return lambda column: known(_place(column, bits))

@@ -58,7 +58,10 @@ HOT_IN_SLICE, HOT_TEXTS, MAX_HOT = 8, 32, 100_000
 BLOCK_DOCS, BLOCK_SHINGLES = 256, 150_000
 
 #: Signatures that one task takes, and bits of a signature beyond those that tell all of them apart.
-RANGE_KEYS, SPARE_BITS = 1 << 22, 22
+RANGE_KEYS, SPARE_BITS = 1 << 20, 22
+
+#: Bytes of text signed at once: signatures take many times the memory of their text.
+SIGNED_BYTES = 4 << 20
 
 #: Rows of one cluster are dealt to so many tasks where they meet what is known of the cluster.
 SALTS = 32
@@ -261,7 +264,7 @@ def _signed(docs: DataFrame, width: int, percent: int, hot, parts: int, bits: in
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for a, b, part in text.slices(batch["text"], most=MOST_TEXTS):
+            for a, b, part in text.slices(batch["text"], SIGNED_BYTES, MOST_TEXTS):
                 ids = batch["doc_id"].slice(a, b - a).to_numpy(zero_copy_only=False).astype(np.int64)
                 sets, first = shingle_sets(part, width)
                 size = np.diff(first)
