@@ -31,7 +31,7 @@ from kpiloom.llm import storage, text
 BLOCK_BYTES = 16 << 20
 
 #: Bytes of documents in one suffix array.
-SHARD_BYTES = 16 << 20
+SHARD_BYTES = 8 << 20
 
 SPANS = "array<struct<start: bigint, end: bigint>>"
 MATCHES = "array<struct<item_id: string, item_start: bigint, doc_start: bigint, n_words: bigint>>"
