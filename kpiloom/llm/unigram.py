@@ -29,7 +29,7 @@ MARKER = "▁"
 LONG_SEGMENT = 512
 
 #: Text reduced to its different segments at once, and segments walked through the trie at once.
-SLICE_BYTES, CHUNK_BYTES = 12 << 20, 1 << 19
+SLICE_BYTES, CHUNK_BYTES = 4 << 20, 1 << 18
 
 #: Vocabularies are sent to every task; a larger one is refused.
 MAX_PIECES = 1 << 20
@@ -185,8 +185,10 @@ def _segments(texts: text.Raw, breaks: bool) -> tuple[text.Raw, np.ndarray]:
     """Texts with a leading space as segments, and the first segment of each text."""
     length = np.diff(texts.offsets)
     padded = texts.offsets + np.concatenate([[0], np.cumsum(length > 0)])
+    own = np.ones(padded[-1], bool)
+    own[padded[:-1][length > 0]] = False
     data = np.full(padded[-1], 0x20, np.uint8)
-    data[np.arange(len(texts.data)) + np.repeat(padded[:-1] + (length > 0) - texts.offsets[:-1], length)] = texts.data
+    data[own] = texts.data
     space = data == 0x20
     cut = space.copy()
     cut[1:] &= ~space[:-1]
