@@ -32,7 +32,7 @@ Shingles are 50-bit hashes; all counts are of those.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import combinations
+from itertools import chain, combinations
 from math import comb
 
 import numpy as np
@@ -57,8 +57,10 @@ HOT_IN_SLICE, HOT_TEXTS, MAX_HOT = 8, 32, 100_000
 #: Documents and shingles compared in one block.
 BLOCK_DOCS, BLOCK_SHINGLES = 256, 150_000
 
-#: Signatures that one task takes, and bits of a signature beyond those that tell all of them apart.
+#: Signatures in one range of keys, and bits of a signature beyond those that tell all of them apart.
 RANGE_KEYS, SPARE_BITS = 1 << 20, 22
+#: Ranges that a task takes in turn, and edges it holds to give each once.
+TASK_RANGES, HELD_EDGES = 8, 1 << 20
 
 #: Bytes of text signed at once: signatures take many times the memory of their text.
 SIGNED_BYTES = 4 << 20
@@ -299,19 +301,13 @@ def _signed(docs: DataFrame, width: int, percent: int, hot, parts: int, bits: in
     return docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")).mapInArrow(run, _SIGNED)
 
 
-def _edges(signed: DataFrame, parts: int) -> DataFrame:
-    """Sizes of documents, and a star of edges for each key. A task takes one range of keys."""
+def _edges(signed: DataFrame, parts: int, tasks: int) -> DataFrame:
+    """Sizes of documents, and a star of edges for each key. A task takes a run of ranges, one range of
+    keys at a time, and gives a pair found in several of them once (``HELD_EDGES`` are held)."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        copies, candidates = [], []
-        for batch in batches:
-            for kind, body in zip(batch["kind"].to_pylist(), batch["body"], strict=True):
-                if kind > _DOC:
-                    (copies if kind == _COPY else candidates).append(body.as_py())
-                    continue
-                a, b = (c.view(np.int64) for c in packing.unpacked(body.as_py(), 2))
-                if len(a):
-                    yield _rows(["kind", "a", "b"], (-kind, a, b))
+    def stars(copies: list[bytes], candidates: list[bytes]) -> tuple[tuple, tuple]:
+        none = (np.zeros(0, np.int64),) * 2
+        same, near = none, none
         if copies:
             key, second, doc = (np.concatenate(c) for c in zip(*(packing.unpacked(c, 3) for c in copies), strict=True))
             doc = doc.view(np.int64)
@@ -319,13 +315,38 @@ def _edges(signed: DataFrame, parts: int) -> DataFrame:
             key, second, doc = key[order], second[order], doc[order]
             new = np.append(True, (key[1:] != key[:-1]) | (second[1:] != second[:-1]))
             leader = doc[new][np.cumsum(new) - 1]
-            yield _rows(["kind", "a", "b"], (_COPY, *_different(leader[~new], doc[~new])))
+            same = _different(leader[~new], doc[~new])
         if candidates:
             key, doc = (np.concatenate(c) for c in zip(*(packing.unpacked(c, 2) for c in candidates), strict=True))
-            _, a, b = _stars(key, doc.view(np.int64))
-            yield _rows(["kind", "a", "b"], (_CANDIDATE, a, b))
+            near = _stars(key, doc.view(np.int64))[1:]
+        return same, near
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        copies, candidates, now = [], [], None
+        low, high = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        ends = pa.RecordBatch.from_arrays([pa.array([t], k) for t, k in ((-1, pa.int32()), (_DOC, pa.int8()), (b"", pa.binary()))], ["part", "kind", "body"])
+        for batch in chain(batches, [ends]):  # the last row ends the last range
+            for part, kind, body in zip(batch["part"].to_pylist(), batch["kind"].to_pylist(), batch["body"], strict=True):
+                if part != now:
+                    same, near = stars(copies, candidates)
+                    copies, candidates, now = [], [], part
+                    if len(same[0]):
+                        yield _rows(["kind", "a", "b"], (_COPY, *same))
+                    low, high = _different(np.concatenate([low, near[0]]), np.concatenate([high, near[1]]))
+                    if len(low) > HELD_EDGES or part < 0:
+                        yield _rows(["kind", "a", "b"], (_CANDIDATE, low, high))
+                        low, high = low[:0], high[:0]
+                if part < 0:
+                    break
+                if kind > _DOC:
+                    (copies if kind == _COPY else candidates).append(body.as_py())
+                    continue
+                a, b = (c.view(np.int64) for c in packing.unpacked(body.as_py(), 2))
+                if len(a):
+                    yield _rows(["kind", "a", "b"], (-kind, a, b))
 
-    return signed.repartitionById(parts, F.col("part")).mapInArrow(run, _EDGES)
+    task = F.floor(F.col("part").cast("bigint") * tasks / parts).cast("int")
+    return signed.repartitionById(tasks, task).sortWithinPartitions("part").mapInArrow(run, _EDGES)
 
 
 def _linked(sets: np.ndarray, first: np.ndarray, percent: int) -> np.ndarray:
@@ -502,7 +523,8 @@ def join(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     hot = spark.sparkContext.broadcast(common)
     parts = max(-(-count // RANGE_KEYS), int(spark.conf.get("spark.sql.shuffle.partitions")))
     bits = min(count.bit_length() + SPARE_BITS, 64)
-    edges = storage.written(_edges(_signed(known, width, percent, hot, parts, bits), parts), "edges")
+    tasks = max(-(-count // (RANGE_KEYS * TASK_RANGES)), int(spark.conf.get("spark.sql.shuffle.partitions")))
+    edges = storage.written(_edges(_signed(known, width, percent, hot, parts, bits), parts, tasks), "edges")
     rows = edges.filter(F.col("kind") == _DOC).select(F.col("a").alias("id"), F.col("b").alias("n"))
     copies = edges.filter(F.col("kind").isin(_COPY, _COPY_IN_SLICE)).select("a", "b")
     candidates = edges.filter(F.col("kind") == _CANDIDATE).select("a", "b").distinct()
