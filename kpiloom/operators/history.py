@@ -16,6 +16,8 @@ from kpiloom.operators import dimensions
 from kpiloom.sources import warehouse
 
 LOAD = "load_number"
+#: Keys that are broadcast at most.
+BROADCAST_KEYS = 100_000
 
 
 def as_of(facts: DataFrame, versions: DataFrame, key: str, day: str, attributes: list[str]) -> DataFrame:
@@ -38,12 +40,28 @@ def as_of(facts: DataFrame, versions: DataFrame, key: str, day: str, attributes:
 
 def record(spark: SparkSession, path: str, load: int, changes: DataFrame, key: str, attribute: str) -> None:
     """Store what a load has observed (``valid_from`` and the attribute by key), and the versions of
-    the keys it touches, worked out from all observations of these keys. Late ones find their place."""
+    the keys it touches, worked out from all observations of these keys. Late ones find their place.
+
+    A load of few keys picks their observations where they are read. Otherwise all are dealt by key and put
+    in order once: one sort serves to find touched keys, to reduce a key's days and to build its versions.
+    """
     observed = changes.select(key, "valid_from", attribute)
     warehouse.overwrite(observed, f"{path}/observed/{LOAD}={load}")
     everything = warehouse.read(spark, f"{path}/observed")
     touched = everything.filter(F.col(LOAD) == load).select(key).distinct()
-    by_day = everything.join(touched, key, "left_semi").groupBy(key, "valid_from").agg(F.max(attribute).alias(attribute))
+    if touched.limit(BROADCAST_KEYS + 1).count() <= BROADCAST_KEYS:
+        everything = everything.join(F.broadcast(touched), key, "left_semi")
+    highest = F.col(attribute).desc_nulls_last()
+    of_key = Window.partitionBy(key).orderBy("valid_from", highest)
+    whole = of_key.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    of_day = Window.partitionBy(key, "valid_from").orderBy(highest)
+    by_day = (
+        everything.filter(F.col(key).isNotNull())
+        .withColumn("is_touched", F.max(F.col(LOAD) == load).over(whole))
+        .withColumn("place", F.row_number().over(of_day))
+        .filter("is_touched and place = 1")
+        .select(key, "valid_from", attribute)
+    )
     warehouse.overwrite(dimensions.versions(by_day, key, attribute), f"{path}/versions/{LOAD}={load}")
 
 

@@ -110,3 +110,22 @@ def test_nothing_known(spark):
     empty = dimensions.versions(changes_of(spark, []), "k", "v")
     assert [(r["id"], r["v"]) for r in history.as_of(facts, empty, "k", "on", ["v"]).collect()] == [(1, None)]
     assert history.as_of(facts.filter("false"), empty, "k", "on", ["v"]).count() == 0
+
+
+def test_wide_load_sorts_its_keys_once(spark, tmp_path, monkeypatch):
+    """A load of more keys than are broadcast: one sort and no join, with late days, null keys and null values."""
+    monkeypatch.setattr(history, "BROADCAST_KEYS", 2)
+    draw = random.Random(9)
+    rows = [(draw.randrange(9), draw.randrange(12), draw.randrange(3)) for _ in range(90)]
+    path, plans = str(tmp_path / "h"), []
+    overwrite = warehouse.overwrite
+    monkeypatch.setattr(warehouse, "overwrite", lambda df, to: (plans.append(df._jdf.queryExecution().executedPlan().toString()), overwrite(df, to)))
+    history.record(spark, path, 1, changes_of(spark, rows[:60]), "k", "v")
+    history.record(spark, path, 2, changes_of(spark, rows[60:]), "k", "v")
+    wide = plans[-1]
+    assert "Join" not in wide and wide.count("Sort [") == 1 and "HashAggregate" not in wide
+    assert sorted(built(rows)) == rows_of(history.current(spark, path, "k"))
+    odd = spark.createDataFrame([(None, day(1), 1), (20, day(1), None), (20, day(1), 4), (21, day(2), None), (22, day(3), 1)], "k bigint, valid_from date, v int")
+    history.record(spark, path, 3, odd, "k", "v")
+    got = [r[:3] for r in rows_of(history.current(spark, path, "k").filter("k >= 20 or k is null").withColumn("v", F.coalesce("v", F.lit(-1))))]
+    assert got == [(20, day(1), 4), (21, day(2), -1), (22, day(3), 1)]
