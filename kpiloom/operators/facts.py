@@ -35,7 +35,7 @@ def orders(staged: DataFrame, *more: str) -> DataFrame:
     )
 
 
-def deliveries(staged: DataFrame) -> DataFrame:
+def deliveries(staged: DataFrame, *more: str) -> DataFrame:
     return staged.select(
         "delivery_id",
         "po_id",
@@ -55,10 +55,11 @@ def deliveries(staged: DataFrame) -> DataFrame:
         (F.col("delivery_date") <= F.col("promised_date")).alias("is_on_time"),
         "is_quality_pass",
         "delivery_status",
+        *more,
     )
 
 
-def transactions(staged: DataFrame) -> DataFrame:
+def transactions(staged: DataFrame, *more: str) -> DataFrame:
     return staged.select(
         "transaction_id",
         date_id("transaction_date").alias("transaction_date_id"),
@@ -74,6 +75,7 @@ def transactions(staged: DataFrame) -> DataFrame:
         "exchange_rate",
         "is_intercompany",
         "is_reconciled",
+        *more,
     )
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from kpiloom.sources import warehouse
@@ -13,6 +13,18 @@ def unprocessed(staged: DataFrame, processed: DataFrame, *key: str) -> DataFrame
     return staged.join(processed.select(*key).distinct(), list(key), "left_anti")
 
 
+def unprocessed_lines(staged: DataFrame, processed: DataFrame, key: str, number: str) -> DataFrame:
+    """``unprocessed`` for numbered lines of a key, with one small row per key on the other side: a bit for
+    each finished line from 0 to 62. The join is by ``key`` alone, so lines that another join by ``key``
+    has dealt stay where they are. Lines of other numbers, or of none, are joined by both columns."""
+    small = F.coalesce(F.col(number).between(0, 62), F.lit(False))
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.when(small, F.col(number)).cast("int"))
+    done = processed.filter(small).groupBy(key).agg(F.bit_or(bit).alias("processed_bits"))
+    marked = F.coalesce(F.col("processed_bits").bitwiseAND(bit) != 0, F.lit(False))
+    few = staged.filter(small).join(done, key, "left").filter(~marked).drop("processed_bits")
+    return few.unionByName(unprocessed(staged.filter(~small), processed, key, number))
+
+
 def processed_keys(loaded: DataFrame, *key: str) -> DataFrame:
     """Keys to mark after a load: those that were loaded, not whatever arrived meanwhile."""
     return loaded.select(*key).distinct()
@@ -25,11 +37,14 @@ def overwrite_table(df: DataFrame, path: str) -> int:
     return seen.get["rows"]
 
 
-def append_fact(fact: DataFrame, path: str, date_id: str, load_id: str) -> int:
+def append_fact(
+    fact: DataFrame, path: str, date_id: Column | str, load_id: str, derive: warehouse.Derive | None = None
+) -> int:
     """Add a load to a fact, or replace it if it has run before, and return the rows written. Rows
-    of other loads stay, those of the same months too."""
+    of other loads stay, those of the same months too. With ``derive``, ``fact`` is what the rows are
+    worked out from once they are dealt to their months."""
     seen = Observation()
-    warehouse.overwrite_load(fact, path, date_id, load_id, seen)
+    warehouse.overwrite_load(fact, path, date_id, load_id, seen, derive)
     return seen.get["rows"]
 
 
@@ -40,17 +55,19 @@ def publish_table(df: DataFrame, path: str) -> int:
     return seen.get["rows"]
 
 
-def replace_months(mart: DataFrame, path: str) -> int:
+def replace_months(mart: DataFrame, path: str, months: DataFrame | None = None) -> int:
     """Publish a stored mart with the months that ``mart`` holds, whole, in place of its own, and return
-    the rows of these months. A mart has a row per day, so its other months are copied."""
+    the rows of these months. A mart has a row per day, so its other months are copied. ``months``
+    (``month_id``) names the months of ``mart`` where they are known without working it out again."""
     spark = mart.sparkSession
     seen = Observation()
     fresh = mart.withColumn("month_id", F.floor(F.col("date_id") / 100).cast("int"))
     fresh = fresh.observe(seen, F.count(F.lit(1)).alias("rows"))
     if warehouse.exists(spark, path):
         stored = warehouse.read(spark, path)
-        touched = mart.select(F.floor(F.col("date_id") / 100).cast("int").alias("month_id")).distinct()
-        fresh = fresh.unionByName(stored.join(touched, "month_id", "left_anti"))
+        if months is None:
+            months = mart.select(F.floor(F.col("date_id") / 100).cast("int").alias("month_id")).distinct()
+        fresh = fresh.unionByName(stored.join(months, "month_id", "left_anti"))
     warehouse.publish(fresh, path)
     return seen.get["rows"]
 

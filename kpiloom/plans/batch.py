@@ -7,10 +7,10 @@ from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timezone
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kpiloom.functions.expressions import cents
+from kpiloom.functions.expressions import cents, date_id
 from kpiloom.operators import dimensions, facts, loads, marts, quality
 from kpiloom.sources import staging, warehouse
 
@@ -80,10 +80,10 @@ class _Run:
         warehouse.publish(df, path)
         return warehouse.read(self.spark, path)
 
-    def fact(self, name: str, df: DataFrame, date_id: str) -> DataFrame:
-        return self._audited(
-            name, lambda path: loads.append_fact(facts.with_load_times(df), path, date_id, self.load_id)
-        )
+    def fact(self, name: str, df: DataFrame, day: Column | str, derive: warehouse.Derive = lambda rows: rows) -> DataFrame:
+        """``derive`` makes the fact's rows of those of ``df`` when these are with their months."""
+        timed = lambda rows: facts.with_load_times(derive(rows))
+        return self._audited(name, lambda path: loads.append_fact(df, path, day, self.load_id, timed))
 
     def log(self, checks: DataFrame) -> DataFrame:
         """Add the checks of this run to the quality log; only these are returned."""
@@ -103,18 +103,27 @@ class _Run:
             warehouse.append(audit.coalesce(1), f"{self.out}/dw_load_audit")
 
 
+AMOUNTS = {"order_cents": "order_amount", "total_cents": "total_amount", "cost_cents": "cost_amount"}
+
+
+def _with_date(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("date", F.to_date(F.col("order_date_id").cast("string"), "yyyyMMdd"))
+
+
 def order_day_totals(fact_orders: DataFrame) -> DataFrame:
     """Stored order lines summed per day, customer and status: all that the dimensions and marts ask of
     them. Grouped once and stored, it spares each of its readers a shuffle of all orders."""
-    return (
-        fact_orders.groupBy("order_date_id", "customer_id", "order_status")
-        .agg(
-            F.count(F.lit(1)).alias("order_count"),
-            F.sum(cents("order_amount")).alias("order_cents"),
-            F.sum(cents("total_amount")).alias("total_cents"),
-            F.sum(cents("cost_amount")).alias("cost_cents"),
-        )
-        .withColumn("date", F.to_date(F.col("order_date_id").cast("string"), "yyyyMMdd"))
+    sums = (F.sum(cents(amount)).alias(name) for name, amount in AMOUNTS.items())
+    return _with_date(
+        fact_orders.groupBy("order_date_id", "customer_id", "order_status").agg(F.count(F.lit(1)).alias("order_count"), *sums)
+    )
+
+
+def order_line_totals(fact_orders: DataFrame) -> DataFrame:
+    """Stored order lines as totals of one line each, for a single reader that groups them itself."""
+    amounts = (cents(amount).alias(name) for name, amount in AMOUNTS.items())
+    return _with_date(
+        fact_orders.select("order_date_id", "customer_id", F.lit(1).cast("bigint").alias("order_count"), *amounts)
     )
 
 
@@ -190,14 +199,16 @@ def _load(run: _Run, spark: SparkSession, src: str) -> None:
 
 def run_increment(
     spark: SparkSession, lines: DataFrame, deliveries: DataFrame, sessions: DataFrame, products: DataFrame, out: str,
-    load_id: str,
+    load_id: str, coded: bool = False,
 ) -> None:
     """Load what has arrived and no finished load has taken: facts, then the shop and supply-chain
     marts of the months they touch, then the marks of what was loaded. Lines of one order may arrive
     with different loads; the stored orders keep ``line_number``, which tells them apart.
 
     ``lines`` and ``deliveries`` are staged order lines (as ``staging.orders`` gives them) and
-    deliveries, all that is there so far. A load that broke off is run again under its id: it
+    deliveries, all that is there so far; ``coded``, they are ``staging.order_codes`` and
+    ``staging.delivery_codes``, which are worked out when they are with their months, and move a third of
+    the bytes to get there. A load that broke off is run again under its id: it
     replaces its own rows, and marks are set last. Marts are worked out anew from the stored facts
     of their months, so late rows of an old month count there.
     """
@@ -206,24 +217,29 @@ def run_increment(
         run.begin("fact_orders", "fact_deliveries")
         orders, delivered = run.together(
             lambda: run.fact(
-                "fact_orders", facts.orders(_unmarked(run, lines, "orders"), "line_number"), "order_date_id"
+                "fact_orders", _unmarked(run, lines, "orders"), date_id("order_date"),
+                lambda rows: facts.orders(
+                    staging.orders_from(rows, "month_id") if coded else rows, "line_number", "month_id"
+                ),
             ),
             lambda: run.fact(
-                "fact_deliveries", facts.deliveries(_unmarked(run, deliveries, "deliveries")), "delivery_date_id"
+                "fact_deliveries", _unmarked(run, deliveries, "deliveries"), date_id("delivery_date"),
+                lambda rows: facts.deliveries(staging.deliveries_from(rows, "month_id") if coded else rows, "month_id"),
             ),
         )
         run.begin("ecommerce_daily_metrics", "supply_chain_daily_metrics")
-        shop = marts.ecommerce_daily(order_day_totals(_touched(orders, run.load_id)), sessions, products, sketches=True)
-        in_months = _touched(orders, run.load_id).select("month_id").distinct()
+        shop = marts.ecommerce_daily(order_line_totals(_touched(orders, run.load_id)), sessions, products, sketches=True)
+        sold, brought = _months(orders, run.load_id), _months(delivered, run.load_id)
         shop = shop.withColumn("month", F.floor(F.col("date_id") / 100).cast("int"))
-        shop = shop.join(in_months, F.col("month") == F.col("month_id"), "left_semi").drop("month")
+        shop = shop.join(F.broadcast(sold), F.col("month") == F.col("month_id"), "left_semi").drop("month")
         chain = marts.supply_chain_daily(_touched(delivered, run.load_id))
         run.together(
-            lambda: run._audited("ecommerce_daily_metrics", lambda path: loads.replace_months(shop, path)),
-            lambda: run._audited("supply_chain_daily_metrics", lambda path: loads.replace_months(chain, path)),
+            lambda: run._audited("ecommerce_daily_metrics", lambda path: loads.replace_months(shop, path, sold)),
+            lambda: run._audited("supply_chain_daily_metrics", lambda path: loads.replace_months(chain, path, brought)),
         )
         for name, fact in (("orders", orders), ("deliveries", delivered)):
-            own = loads.processed_keys(fact.filter(F.col("load_id") == run.load_id), *MARKS[name])
+            # A key that comes twice is marked twice: whoever asks for marks tells them apart.
+            own = fact.filter(F.col("load_id") == run.load_id).select(*MARKS[name])
             warehouse.overwrite(own, f"{out}/processed_{name}/load_id={run.load_id}")
     finally:
         run.close()
@@ -239,10 +255,16 @@ def _unmarked(run: _Run, staged: DataFrame, name: str) -> DataFrame:
     if not warehouse.exists(run.spark, path):
         return staged
     marked = warehouse.read(run.spark, path).filter(F.col("load_id") != run.load_id)
+    if name == "orders":
+        return loads.unprocessed_lines(staged, marked, *MARKS[name])
     return loads.unprocessed(staged, marked, *MARKS[name])
 
 
 def _touched(fact: DataFrame, load_id: str) -> DataFrame:
-    """The stored rows, of all loads, of the months that one load has rows in."""
-    months = fact.filter(F.col("load_id") == load_id).select("month_id").distinct()
-    return fact.join(months, "month_id", "left_semi")
+    """The stored rows, of all loads, of the months that one load has rows in. There are as many months
+    as the calendar has: rows are picked where they are read, and do not move."""
+    return fact.join(F.broadcast(_months(fact, load_id)), "month_id", "left_semi")
+
+
+def _months(fact: DataFrame, load_id: str) -> DataFrame:
+    return fact.filter(F.col("load_id") == load_id).select("month_id").distinct()

@@ -448,13 +448,13 @@ def _increments(spark, src):
     for every tenth order and delivery, and of another tenth of the orders the even lines; the second
     sees everything and loads the rest, late rows of old months and of split orders among it."""
     out = session.work_dir(spark, "increments")
-    lines, deliveries = staging.orders(spark, src), staging.deliveries(spark, src)
+    lines, deliveries = staging.order_codes(spark, src), staging.delivery_codes(spark, src)
     clicks, products = staging.sessions(spark, src), frames.dim_products(spark, src)
     early = (F.col("order_date") < "1997-01-15") & (F.col("order_id") % 10 != 3)
     early &= (F.col("order_id") % 10 != 7) | (F.col("line_number") % 2 == 1)
     arrived = (F.col("delivery_date") < "1997-01-15") & (F.col("delivery_id") % 10 != 3)
-    batch.run_increment(spark, lines.filter(early), deliveries.filter(arrived), clicks, products, out, "1")
-    batch.run_increment(spark, lines, deliveries, clicks, products, out, "2")
+    batch.run_increment(spark, lines.filter(early), deliveries.filter(arrived), clicks, products, out, "1", coded=True)
+    batch.run_increment(spark, lines, deliveries, clicks, products, out, "2", coded=True)
     return out
 
 

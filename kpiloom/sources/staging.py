@@ -131,21 +131,37 @@ def gl_accounts(spark: SparkSession, src: str) -> DataFrame:
 def order_lines(spark: SparkSession, src: str) -> DataFrame:
     """Order lines, with their amounts in MONEY and in whole cents; a reader of sums takes the
     cents and never touches a decimal."""
-    price = hundredths("l_extendedprice")
-    amounts = (
-        raw(spark, src, "lineitem")
-        .withColumn("list_cents", price)
-        .withColumn("cost_cents", divided(F.col("list_cents") * COST_PCT, 100))
-        .withColumn("order_cents", divided(F.col("list_cents") * (100 - hundredths("l_discount")), 100))
-        .withColumn("tax_cents", divided(F.col("order_cents") * hundredths("l_tax"), 100))
-        .withColumn("total_cents", F.col("order_cents") + F.col("tax_cents"))
-    )
-    return amounts.select(
+    return _lines_from(_line_codes(spark, src))
+
+
+def _line_codes(spark: SparkSession, src: str) -> DataFrame:
+    """What order lines are worked out from, in small numbers: few bytes a row in a shuffle."""
+    return raw(spark, src, "lineitem").select(
         F.col("l_orderkey").alias("order_id"),
         F.col("l_linenumber").alias("line_number"),
         F.col("l_partkey").alias("product_id"),
         F.col("l_suppkey").alias("supplier_id"),
         F.col("l_quantity").cast("int").alias("quantity"),
+        hundredths("l_extendedprice").alias("list_cents"),
+        hundredths("l_discount").alias("discount_pct"),
+        hundredths("l_tax").alias("tax_pct"),
+        (F.col("l_linestatus") == "F").alias("is_shipped"),
+    )
+
+
+def _lines_from(codes: DataFrame, *more: str) -> DataFrame:
+    amounts = (
+        codes.withColumn("cost_cents", divided(F.col("list_cents") * COST_PCT, 100))
+        .withColumn("order_cents", divided(F.col("list_cents") * (100 - F.col("discount_pct")), 100))
+        .withColumn("tax_cents", divided(F.col("order_cents") * F.col("tax_pct"), 100))
+        .withColumn("total_cents", F.col("order_cents") + F.col("tax_cents"))
+    )
+    return amounts.select(
+        "order_id",
+        "line_number",
+        "product_id",
+        "supplier_id",
+        "quantity",
         money("list_cents").alias("list_price"),
         money(F.col("list_cents") - F.col("order_cents")).alias("discount_amount"),
         money("order_cents").alias("order_amount"),
@@ -153,21 +169,35 @@ def order_lines(spark: SparkSession, src: str) -> DataFrame:
         F.lit(Decimal("0.00")).cast(MONEY).alias("shipping_amount"),
         money("total_cents").alias("total_amount"),
         money("cost_cents").alias("cost_amount"),
-        F.when(F.col("l_linestatus") == "F", "shipped").otherwise("processing").alias("shipping_status"),
+        F.when(F.col("is_shipped"), "shipped").otherwise("processing").alias("shipping_status"),
         "order_cents",
         "total_cents",
         "cost_cents",
+        *more,
     )
 
 
 def order_headers(spark: SparkSession, src: str, start: Day = None, end: Day = None) -> DataFrame:
-    heads = in_days(raw(spark, src, "orders"), "o_orderdate", start, end)
-    status = F.col("o_orderstatus")
-    cancelled = (status == "P") & (F.col("o_orderpriority") == "5-LOW")
-    return heads.select(
+    return _heads_from(_head_codes(spark, src, start, end))
+
+
+def _head_codes(spark: SparkSession, src: str, start: Day = None, end: Day = None) -> DataFrame:
+    return in_days(raw(spark, src, "orders"), "o_orderdate", start, end).select(
         F.col("o_orderkey").alias("order_id"),
         F.col("o_custkey").alias("customer_id"),
         F.col("o_orderdate").alias("order_date"),
+        F.col("o_orderstatus").alias("status_code"),
+        (F.col("o_orderpriority") == "5-LOW").alias("is_low"),
+    )
+
+
+def _heads_from(codes: DataFrame, *more: str) -> DataFrame:
+    status = F.col("status_code")
+    cancelled = (status == "P") & F.col("is_low")
+    return codes.select(
+        "order_id",
+        "customer_id",
+        "order_date",
         F.when(cancelled, "cancelled")
         .when(status == "F", "delivered")
         .when(status == "O", "shipped")
@@ -175,6 +205,7 @@ def order_headers(spark: SparkSession, src: str, start: Day = None, end: Day = N
         .otherwise(F.lower(status))
         .alias("order_status"),
         F.when(cancelled, "refunded").when(status == "F", "paid").otherwise("pending").alias("payment_status"),
+        *more,
     )
 
 
@@ -198,11 +229,24 @@ def newest_click_day(spark: SparkSession, src: str) -> Column:
 
 def orders(spark: SparkSession, src: str, start: Day = None, end: Day = None) -> DataFrame:
     """Staged orders: one row per order line, since an order event carries one product."""
-    return (
-        order_lines(spark, src)
-        .join(order_headers(spark, src, start, end), "order_id")
-        .withColumn("created_at", F.col("order_date"))
-    )
+    return orders_from(order_codes(spark, src, start, end))
+
+
+def order_codes(spark: SparkSession, src: str, start: Day = None, end: Day = None) -> DataFrame:
+    """What staged orders are worked out from: lines and heads are joined, and may be shuffled on, in
+    this form, which is a third of the staged one. ``orders_from`` works them out."""
+    return _line_codes(spark, src).join(_head_codes(spark, src, start, end), "order_id")
+
+
+def orders_from(codes: DataFrame, *more: str) -> DataFrame:
+    """Staged orders of ``order_codes``, and ``more`` of the columns that the codes have beside them."""
+    heads = ["customer_id", "order_date", "status_code", "is_low", *more]
+    lines = _lines_from(codes, *heads)
+    staged = [name for name in lines.columns if name not in ("order_id", *heads)]
+    return _heads_from(lines, *staged, *more).select(
+        "order_id", *staged, "customer_id", "order_date", "order_status", "payment_status",
+        F.col("order_date").alias("created_at"), *more,
+    )
 
 
 def order_totals(spark: SparkSession, src: str, start: Day = None, end: Day = None) -> DataFrame:
@@ -289,25 +333,43 @@ def sessions(spark: SparkSession, src: str, start: Day = None, end: Day = None)
 def deliveries(spark: SparkSession, src: str, start: Day = None, end: Day = None) -> DataFrame:
     """One delivery per line. Ship and order dates are unrelated in the raw data, so the lead
     time comes from the keys and the order date from delivery minus lead time."""
-    quantity = F.col("l_quantity").cast("int")
-    rejected = F.when(F.col("l_returnflag") == "R", quantity).otherwise(0)
-    lead = (1 + (F.col("l_orderkey") * 31 + F.col("l_partkey") * 17 + F.col("l_linenumber")) % MAX_LEAD_DAYS).cast("int")
-    total = divided(hundredths("l_extendedprice") * COST_PCT, 100)
+    return deliveries_from(delivery_codes(spark, src, start, end))
+
+
+def delivery_codes(spark: SparkSession, src: str, start: Day = None, end: Day = None) -> DataFrame:
+    """What deliveries are worked out from, as ``order_codes`` are for orders."""
+    return in_days(raw(spark, src, "lineitem"), "l_shipdate", start, end).select(
+        (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("delivery_id"),
+        F.col("l_orderkey").alias("po_id"),
+        F.col("l_suppkey").alias("supplier_id"),
+        F.col("l_partkey").alias("product_id"),
+        F.col("l_quantity").cast("int").alias("quantity"),
+        divided(hundredths("l_extendedprice") * COST_PCT, 100).alias("total_cost_cents"),
+        F.to_date("l_shipdate").alias("delivery_date"),
+        (F.col("l_returnflag") != "R").alias("is_quality_pass"),
+        (F.col("l_linestatus") == "F").alias("is_finished"),
+    )
+
+
+def deliveries_from(codes: DataFrame, *more: str) -> DataFrame:
+    quantity = F.col("quantity")
+    line_number = F.col("delivery_id") - F.col("po_id") * 8
+    lead = (1 + (F.col("po_id") * 31 + F.col("product_id") * 17 + line_number) % MAX_LEAD_DAYS).cast("int")
     return (
-        in_days(raw(spark, src, "lineitem"), "l_shipdate", start, end)
-        .select(
-            (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("delivery_id"),
-            F.col("l_orderkey").alias("po_id"),
-            F.col("l_suppkey").alias("supplier_id"),
-            F.col("l_partkey").alias("product_id"),
+        codes.select(
+            "delivery_id",
+            "po_id",
+            "supplier_id",
+            "product_id",
             quantity.alias("quantity_ordered"),
             quantity.alias("quantity_delivered"),
-            rejected.alias("quantity_rejected"),
-            total.alias("total_cost_cents"),
-            F.to_date("l_shipdate").alias("delivery_date"),
+            F.when(~F.col("is_quality_pass"), quantity).otherwise(0).alias("quantity_rejected"),
+            "total_cost_cents",
+            "delivery_date",
             lead.alias("staged_lead"),
-            (F.col("l_returnflag") != "R").alias("is_quality_pass"),
-            F.col("l_linestatus"),
+            "is_quality_pass",
+            "is_finished",
+            *more,
         )
         .withColumn("total_cost", money("total_cost_cents"))
         .withColumn("unit_cost", money(divided(F.col("total_cost_cents"), F.col("quantity_ordered"))))
@@ -316,10 +378,10 @@ def deliveries(spark: SparkSession, src: str, start: Day = None, end: Day = None
         .withColumn(
             "delivery_status",
             F.when(F.col("delivery_date") > F.col("promised_date"), "delayed")
-            .when(F.col("l_linestatus") == "F", "delivered")
+            .when(F.col("is_finished"), "delivered")
             .otherwise("in_transit"),
         )
-        .drop("staged_lead", "l_linestatus")
+        .drop("staged_lead", "is_finished")
     )
 
 
@@ -327,13 +389,28 @@ def deliveries(spark: SparkSession, src: str, start: Day = None, end: Day = None
 
 
 def transactions(spark: SparkSession, src: str, start: Day = None, end: Day = None) -> DataFrame:
-    amount = F.col("o_totalprice").cast(LEDGER_MONEY)
-    nothing = F.lit(Decimal("0.00")).cast(LEDGER_MONEY)
-    is_payment = F.col("o_orderstatus") == "O"
+    return transactions_from(ledger_codes(spark, src, start, end))
+
+
+def ledger_codes(spark: SparkSession, src: str, start: Day = None, end: Day = None) -> DataFrame:
+    """What transactions are worked out from, as ``order_codes`` are for orders."""
     return in_days(raw(spark, src, "orders"), "o_orderdate", start, end).select(
-        F.col("o_orderkey").alias("transaction_id"),
+        "o_orderkey",
         F.col("o_orderdate").alias("transaction_date"),
         F.col("o_orderpriority").alias("gl_account_id"),
+        F.col("o_totalprice").cast(LEDGER_MONEY).alias("amount"),
+        "o_orderstatus",
+    )
+
+
+def transactions_from(codes: DataFrame, *more: str) -> DataFrame:
+    amount = F.col("amount")
+    nothing = F.lit(Decimal("0.00")).cast(LEDGER_MONEY)
+    is_payment = F.col("o_orderstatus") == "O"
+    return codes.select(
+        F.col("o_orderkey").alias("transaction_id"),
+        "transaction_date",
+        "gl_account_id",
         F.when(is_payment, nothing).otherwise(amount).alias("debit_amount"),
         F.when(is_payment, amount).otherwise(nothing).alias("credit_amount"),
         F.when(is_payment, "payment")
@@ -346,6 +423,7 @@ def transactions(spark: SparkSession, src: str, start: Day = None, end: Day = No
         F.lit(Decimal("1.000000")).cast("decimal(10,6)").alias("exchange_rate"),
         F.lit(False).alias("is_intercompany"),
         (F.col("o_orderstatus") == "F").alias("is_reconciled"),
+        *more,
     )
 
 

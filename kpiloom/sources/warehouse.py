@@ -11,7 +11,9 @@ an old month join those that are there.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -89,16 +91,27 @@ def append(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
 
-def overwrite_load(df: DataFrame, path: str, date_id: str, load_id: str, seen: Observation | None = None) -> None:
+Derive = Callable[[DataFrame], DataFrame]
+
+
+def overwrite_load(
+    df: DataFrame, path: str, date_id: Column | str, load_id: str, seen: Observation | None = None, derive: Derive | None = None
+) -> None:
     """Write the rows of one load, in place of what an earlier run of this load has written."""
-    _by_month(df, f"{path}/load_id={load_id}", date_id, seen)
+    _by_month(df, f"{path}/load_id={load_id}", date_id, seen, derive)
 
 
-def _by_month(df: DataFrame, path: str, date_id: str, seen: Observation | None) -> None:
+def _by_month(
+    df: DataFrame, path: str, date_id: Column | str, seen: Observation | None, derive: Derive | None
+) -> None:
     """The rebalance hint gathers each month into few files and lets AQE split a month that
-    holds most of the rows over several tasks.
+    holds most of the rows over several tasks. ``derive`` works rows out behind that shuffle and
+    keeps ``month_id``.
     """
-    rows = df.withColumn("month_id", F.floor(F.col(date_id) / 100).cast("int")).hint("rebalance", "month_id")
+    day = F.col(date_id) if isinstance(date_id, str) else date_id
+    rows = df.withColumn("month_id", F.floor(day / 100).cast("int")).hint("rebalance", "month_id")
+    if derive is not None:
+        rows = derive(rows)
     if seen is not None:
         # Counted behind the shuffle: a map task that is run again would be counted again.
         rows = rows.observe(seen, F.count(F.lit(1)).alias("rows"))
