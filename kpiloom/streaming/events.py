@@ -71,11 +71,12 @@ def outbox_messages(spark: SparkSession, outbox: str, dead: bool) -> DataFrame:
     return stored.filter(F.col("dead") == dead).drop("dead")
 
 
-def parse(value: Column, kind: str) -> Column:
-    """A message value as a struct; a value that does not parse leaves nulls and its text."""
-    return F.from_json(
-        value, f"{EVENTS[kind]}, {CORRUPT} string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
-    )
+def parse(value: Column, kind: str, *fields: str) -> Column:
+    """A message value as a struct; a value that does not parse leaves nulls and its text. With
+    ``fields``, only these of the topic's schema are converted; the message is read to its end all the same."""
+    of_topic = StructType.fromDDL(EVENTS[kind])
+    wanted = StructType([f for f in of_topic.fields if not fields or f.name in fields]).add(CORRUPT, "string")
+    return F.from_json(value, wanted, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
 
 
 def decode(messages: DataFrame, kind: str) -> DataFrame:

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+from functools import partial
+
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -89,6 +93,10 @@ def stream_land_staging(spark: SparkSession, src: str) -> DataFrame:
     )
 
 
+def _land_topic(spark: SparkSession, src: str, kind: str, path: str) -> None:
+    land(events.encode(events.EVENT_MAKERS[kind](spark, src), kind), path)
+
+
 def stream_multi_topic_route(spark: SparkSession, src: str) -> DataFrame:
     """All nine topics in one stream: each message is parsed by its topic's schema and lands in its
     topic's partition, in a single pass. Customers and suppliers carry no amount."""
@@ -104,15 +112,18 @@ def stream_multi_topic_route(spark: SparkSession, src: str) -> DataFrame:
         "customers": None,
         "suppliers": None,
     }
-    for kind in amounts:
-        land(events.encode(events.EVENT_MAKERS[kind](spark, src), kind), landing)
+    # Each topic has a folder of its own: its job commits without the others.
+    lands = [partial(_land_topic, spark, src, kind, f"{landing}/{kind}") for kind in amounts]
+    with ThreadPoolExecutor(len(lands)) as pool:
+        for done in [pool.submit(inheritable_thread_target(spark)(step)) for step in lands]:
+            done.result()
 
     def amount(kind: str) -> Column:
-        return events.parse(F.col("value"), kind)[amounts[kind]].cast("decimal(15,2)")
+        return events.parse(F.col("value"), kind, amounts[kind])[amounts[kind]].cast("decimal(15,2)")
 
     routed = F.coalesce(*(F.when(F.col("topic") == TOPICS[kind], amount(kind)) for kind in amounts if amounts[kind]))
     table = append_to_table(
-        spark, message_stream(spark, landing).select("topic", "key", routed.alias("amount")), "routed", partition_by=["topic"]
+        spark, message_stream(spark, f"{landing}/*").select("topic", "key", routed.alias("amount")), "routed", partition_by=["topic"]
     )
     return table.groupBy("topic").agg(
         F.count(F.lit(1)).alias("messages"),

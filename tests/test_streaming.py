@@ -247,3 +247,25 @@ def test_nothing_to_send(spark, tmp_path):
     df = spark.createDataFrame([], "id bigint, rate double")
     sent = []
     assert events.send_batch(events.sort_out(df, "t", "id"), str(tmp_path / "o"), sent.append) == (0, 0) and not sent
+
+
+def test_one_field_of_a_message_equals_that_of_the_whole(spark):
+    """Messages that are cut off, have a field of another type before or behind the amount, or repeat it."""
+    good = '{"order_id":1,"order_date":"2024-01-01T00:00:00.000Z","quantity":2,"total_amount":12.34,"order_status":"x"}'
+    values = [
+        good, good[:-1], good.replace("12.34", '"a"'), good.replace(":2,", ':"many",'), good.replace("2024-01", "never"), "", "[]", None,
+        good[:-1] + ',"total_amount":5}', good.replace('"x"', "{}"), good.replace("12.34", "null"), good + "}", good + good, "[" + good + "]",
+    ]
+    df = spark.createDataFrame([(v,) for v in values], "value string")
+    whole, one = (events.parse(F.col("value"), "orders", *f)["total_amount"] for f in ((), ("total_amount",)))
+    rows = df.select(whole.alias("whole"), one.alias("one")).collect()
+    assert [r["whole"] for r in rows] == [r["one"] for r in rows]
+    assert str(rows[0]["one"]) == "12.34" and rows[1]["one"] is None
+
+
+def test_topics_land_apart(spark, src, monkeypatch):
+    seen = []
+    keep = queries.land
+    monkeypatch.setattr(queries, "land", lambda messages, path: (seen.append(path), keep(messages, path)))
+    table = queries.stream_multi_topic_route(spark, src)
+    assert len(set(seen)) == 9 and table.count() == 9
