@@ -163,10 +163,17 @@ def _load(run: _Run, spark: SparkSession, src: str) -> None:
         "dim_dates",
     )
     orders, deliveries, ledger, budget, products, _, _ = run.together(
-        lambda: run.fact("fact_orders", facts.orders(staging.orders(spark, src)), "order_date_id"),
-        lambda: run.fact("fact_deliveries", facts.deliveries(staging.deliveries(spark, src)), "delivery_date_id"),
         lambda: run.fact(
-            "fact_transactions", facts.transactions(staging.transactions(spark, src)), "transaction_date_id"
+            "fact_orders", staging.order_codes(spark, src), date_id("order_date"),
+            lambda codes: facts.orders(staging.orders_from(codes, "month_id"), "month_id"),
+        ),
+        lambda: run.fact(
+            "fact_deliveries", staging.delivery_codes(spark, src), date_id("delivery_date"),
+            lambda codes: facts.deliveries(staging.deliveries_from(codes, "month_id"), "month_id"),
+        ),
+        lambda: run.fact(
+            "fact_transactions", staging.ledger_codes(spark, src), date_id("transaction_date"),
+            lambda codes: facts.transactions(staging.transactions_from(codes, "month_id"), "month_id"),
         ),
         lambda: run.fact(
             "fact_budget_actuals",

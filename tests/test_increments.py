@@ -79,3 +79,13 @@ def test_single_lines_make_the_same_mart(spark, src):
     one, other = (marts.ecommerce_daily(totals(fact), clicks, products) for totals in (batch.order_line_totals, batch.order_day_totals))
     assert sorted(map(repr, one.collect())) == sorted(map(repr, other.collect()))
     assert shuffles(one) < shuffles(other)
+
+
+def test_whole_batch_deals_codes_to_months(spark, src, tmp_path, monkeypatch):
+    dealt, keep = {}, loads.append_fact
+    monkeypatch.setattr(loads, "append_fact", lambda df, path, *more: (dealt.update({path.split("/")[-1]: df.columns}), keep(df, path, *more))[1])
+    batch.run_batch(spark, src, str(tmp_path))
+    assert not {"order_status", "total_amount", "delivery_status", "unit_cost", "description"} & {c for n in dealt for c in dealt[n]}
+    direct = facts.transactions(staging.transactions(spark, src))
+    stored = warehouse.read(spark, f"{tmp_path}/fact_transactions").select(direct.columns)
+    assert sorted(map(repr, stored.collect())) == sorted(map(repr, direct.collect()))
