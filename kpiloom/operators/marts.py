@@ -72,6 +72,14 @@ def merged_customers(sketch: Column | str = "customers_sketch") -> Column:
     return F.theta_union_agg(sketch, SKETCH_LG_SIZE)
 
 
+def exact_customers(sketch: Column) -> Column:
+    """The customers of a sketch that has kept them all. One that has left hashes out, and so gives more
+    than 2^14, fails the read: its number would be an estimate."""
+    customers = F.theta_sketch_estimate(sketch)
+    refused = F.raise_error(F.lit("more customers than a sketch counts exactly: give the orders"))
+    return F.when(customers > 2**SKETCH_LG_SIZE, refused).otherwise(customers)
+
+
 def distinct_customers(mart: DataFrame, period: Column) -> DataFrame:
     """Customers of each period of a mart with sketches, and those who had bought in the period
     before it too: ``period``, ``customers``, ``returning``. Orders are not read again.

@@ -51,42 +51,46 @@ def metrics_range(mart: DataFrame, columns: tuple[str, ...], start: date | str,
 
 
 def ecommerce_metrics(
-    mart: DataFrame, start: date | str, end: date | str, granularity: str = "daily"
+    mart: DataFrame, start: date | str, end: date | str, granularity: str = "daily", orders: DataFrame | None = None
 ) -> DataFrame:
     """Shop metrics by day, or re-aggregated to weeks (from Monday) or months.
 
     Wider periods are built from daily sums: order value is revenue over orders, never a mean
-    of means. Customers are distinct over the whole period, from the merged sketches of its days: the
-    mart must have been built with them. Conversion is the mean of the days that have one; turnover
+    of means. Customers are distinct over the whole period and counted exactly, over all rows of
+    ``orders`` (``date`` and ``customer_id``). Without orders they come from the merged sketches of the
+    days, which the mart must have been built with; a period of more customers than a sketch counts exactly
+    is then refused, not estimated. Conversion is the mean of the days that have one; turnover
     is summed, since it is cost over a constant stock.
     """
     checks.one_of("granularity", granularity, checks.GRANULARITIES)
     if granularity == "daily":
         return metrics_range(mart, ECOMMERCE, start, end)
     unit = {"weekly": "week", "monthly": "month"}[granularity]
-    return (
+    period = F.to_date(F.date_trunc(unit, "date")).alias("period")
+    sketched = [marts.exact_customers(marts.merged_customers()).alias("customers")] if orders is None else []
+    periods = (
         _in_range(mart, start, end)
-        .groupBy(F.to_date(F.date_trunc(unit, "date")).alias("period"))
+        .groupBy(period)
         .agg(
             F.sum("total_orders").alias("total_orders"),
-            F.coalesce(F.theta_sketch_estimate(marts.merged_customers()), F.lit(0)).alias("total_customers"),
             F.sum(F.col("total_revenue").cast("decimal(25,2)")).alias("revenue"),
             rounded(F.avg("conversion_rate"), 2).alias("conversion_rate"),
             F.sum(F.col("inventory_turnover").cast("decimal(20,6)")).alias("turnover"),
+            *sketched,
         )
-        .select(
-            F.col("period").alias("date"),
-            "total_orders",
-            "total_customers",
-            F.col("revenue").cast("double").alias("total_revenue"),
-            F.coalesce(rounded(ratio(F.col("revenue"), F.col("total_orders")), 2), F.lit(0.0)).alias(
-                "average_order_value"
-            ),
-            "conversion_rate",
-            F.col("turnover").cast("double").alias("inventory_turnover"),
-        )
-        .orderBy(F.desc("date"))
     )
+    if orders is not None:
+        bought = _in_range(orders, start, end).filter("customer_id is not null").select(period, "customer_id").distinct()
+        periods = periods.join(bought.groupBy("period").agg(F.count(F.lit(1)).alias("customers")), "period", "left")
+    return periods.select(
+        F.col("period").alias("date"),
+        "total_orders",
+        F.coalesce("customers", F.lit(0)).alias("total_customers"),
+        F.col("revenue").cast("double").alias("total_revenue"),
+        F.coalesce(rounded(ratio(F.col("revenue"), F.col("total_orders")), 2), F.lit(0.0)).alias("average_order_value"),
+        "conversion_rate",
+        F.col("turnover").cast("double").alias("inventory_turnover"),
+    ).orderBy(F.desc("date"))
 
 
 def _as_of(mart: DataFrame, as_of: date | str | None) -> Column:

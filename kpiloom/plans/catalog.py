@@ -174,8 +174,8 @@ def ecommerce_metrics_monthly(spark, src):
 
 
 def _shop_range(spark, src, granularity):
-    mart = frames.ecommerce(spark, src, *RANGE, sketches=granularity != "daily")
-    return serving.ecommerce_metrics(mart, *RANGE, granularity)
+    orders = None if granularity == "daily" else staging.order_totals(spark, src, *RANGE)
+    return serving.ecommerce_metrics(frames.ecommerce(spark, src, *RANGE), *RANGE, granularity, orders)
 
 
 @query

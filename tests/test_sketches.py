@@ -67,3 +67,45 @@ def test_sketches_are_left_out_where_they_are_not_asked_for(spark, src):
     mart = frames.ecommerce(spark, src)
     assert "customers_sketch" not in mart.columns
     assert "theta" not in mart._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_large_periods_are_counted_not_estimated(spark):
+    """50,000 customers on three days each, within two weeks: far beyond what a sketch keeps."""
+    orders = spark.range(150_000).select((F.col("id") % 50_000).alias("customer_id"), F.floor(F.col("id") / 50_000).alias("third"), "id")
+    orders = orders.select("customer_id", (F.col("third") * 4 + F.col("id") % 3).cast("int").alias("day"))
+    totals, mart = mart_of(spark, orders)
+    for granularity, unit in (("weekly", "week"), ("monthly", "month")):
+        rows = serving.ecommerce_metrics(mart, "2024-01-01", "2024-01-31", granularity, totals).collect()
+        exact = totals.groupBy(F.to_date(F.date_trunc(unit, "date")).alias("date")).agg(F.countDistinct("customer_id").alias("n")).collect()
+        assert {r["date"]: r["total_customers"] for r in rows} == {r["date"]: r["n"] for r in exact}
+        assert max(r["n"] for r in exact) == 50_000
+    with pytest.raises(Exception, match="give the orders"):
+        serving.ecommerce_metrics(mart, "2024-01-01", "2024-01-31", "monthly").collect()
+
+
+def test_large_tables_are_counted_by_the_queries(spark, src, tmp_path):
+    """20,000 customers of one month, two of whom come in two weeks of it, and an order of no customer."""
+    from kpiloom.plans.catalog import QUERIES
+    from kpiloom.sources.schemas import RAW
+
+    for table in ("part", "events"):
+        (tmp_path / f"{table}.parquet").symlink_to(f"{src}/{table}.parquet")
+    given = {
+        "orders": {
+            "o_orderkey": F.col("id"),
+            "o_custkey": F.when(F.col("id") < 20_002, F.col("id") % 20_000),
+            "o_orderdate": F.when(F.col("id") < 20_000, F.lit("1997-06-03")).otherwise(F.lit("1997-06-10")),
+            "o_orderstatus": F.lit("F"),
+        },
+        "lineitem": {"l_orderkey": F.col("id"), "l_partkey": F.lit(1), "l_quantity": F.lit(1), "l_extendedprice": F.lit(10.0), "l_discount": F.lit(0.0)},
+    }
+    for table, columns in given.items():
+        fields = spark.createDataFrame([], RAW[table]).schema.fields
+        rows = spark.range(20_003).select(*(columns.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in fields))
+        rows.write.parquet(str(tmp_path / f"{table}.parquet"))
+    weeks, months = (
+        {str(r["date"]): (r["total_orders"], r["total_customers"]) for r in QUERIES[f"ecommerce_metrics_{name}"](spark, str(tmp_path)).collect()}
+        for name in ("weekly", "monthly")
+    )
+    assert weeks == {"1997-06-02": (20_000, 20_000), "1997-06-09": (3, 2)}
+    assert months == {"1997-06-01": (20_003, 20_000)}
