@@ -19,6 +19,10 @@ from kpiloom.sources.schemas import MESSAGE, RAW
 
 BATCH = "batch_id"
 
+#: How landed messages and tables of streams are stored. Messages repeat their field names in every row: with
+#: this codec, over pages of 4 MB, they take about a third of what the default takes (a bit over half in small files).
+STORED = {"compression": "zstd", "parquet.page.size": str(4 << 20)}
+
 
 def event_stream(spark: SparkSession, src: str, files_per_trigger: int | None = None) -> DataFrame:
     """The events table as a stream. The one-letter pattern lets the path name a file or a folder."""
@@ -33,7 +37,7 @@ def event_stream(spark: SparkSession, src: str, files_per_trigger: int | None =
 
 def land(messages: DataFrame, path: str) -> None:
     """Put messages where a stream can pick them up (in place of a broker)."""
-    messages.write.mode("append").parquet(path)
+    messages.write.mode("append").options(**STORED).parquet(path)
 
 
 def message_stream(spark: SparkSession, path: str, files_per_trigger: int | None = None) -> DataFrame:
@@ -112,7 +116,7 @@ def follow(stream: DataFrame, home: str, every: str = CHECKPOINT_INTERVAL) -> St
 def run_append(spark: SparkSession, stream: DataFrame, label: str, partition_by: list[str] | None = None) -> Run:
     """Run an append-mode stream into a file table (exactly once) and read the table."""
     home = work_dir(spark, label)
-    writer = stream.writeStream.format("parquet").option("path", f"{home}/out").outputMode("append")
+    writer = stream.writeStream.format("parquet").options(**STORED).option("path", f"{home}/out").outputMode("append")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     batches = _finish(writer, f"{home}/checkpoint")

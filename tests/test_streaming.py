@@ -269,3 +269,17 @@ def test_topics_land_apart(spark, src, monkeypatch):
     monkeypatch.setattr(queries, "land", lambda messages, path: (seen.append(path), keep(messages, path)))
     table = queries.stream_multi_topic_route(spark, src)
     assert len(set(seen)) == 9 and table.count() == 9
+
+
+def test_messages_and_routed_tables_take_little_disk(spark, src, tmp_path):
+    """Three fifths at most of what the default codec takes, also in small files, and the same rows."""
+    sent = events.encode(events.order_events(spark, src), "orders").coalesce(1)
+    landed, plain = tmp_path / "landed", tmp_path / "plain"
+    runner.land(sent, str(landed))
+    sent.write.parquet(str(plain))
+    size = {path: sum(f.stat().st_size for f in path.glob("part-*")) for path in (landed, plain)}
+    assert 0 < size[landed] < 0.6 * size[plain]
+    assert spark.read.parquet(str(landed)).exceptAll(sent).count() == 0 and spark.read.parquet(str(landed)).count() == sent.count()
+    run = runner.run_append(spark, runner.message_stream(spark, str(landed)).select("topic", "key"), "routed", partition_by=["topic"])
+    stored = run.table.inputFiles()
+    assert stored and all(name.endswith(".zstd.parquet") for name in stored) and run.table.count() == sent.count()
