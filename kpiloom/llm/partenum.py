@@ -15,6 +15,9 @@ weak ones out: one of the others is shared too. A set with more of them gives al
 set that agrees with it in weak ones only. Which shingles count as widespread changes the work, never
 the links.
 
+Equal sets are found before anything signs: a text signs if its id is the smallest of its copies. So the
+signatures, and the edges they give, grow with the different texts, however often each is repeated.
+
 What shares a signature is a candidate. Candidates are gathered into clusters by their connection
 alone: equal keys are reduced to a star around their smallest document, first within each task's
 slice of texts, so that a hot key leaves a task once. The keys of a slice travel as one sorted array for
@@ -71,7 +74,9 @@ SALTS = 32
 #: Bits of a text's number within its slice, and how many texts a slice may have for that.
 _DOC_BITS = 14
 MOST_TEXTS = 1 << _DOC_BITS
-_DOC, _COPY, _CANDIDATE, _COPY_IN_SLICE = 0, 1, 2, 3
+#: Kinds of rows: of what is known of a slice, and of signatures and the edges a slice has found already.
+_DOC, _COPY, _COPY_IN_SLICE, _SHINGLE = 0, 1, 2, 3
+_SIGNATURE, _EDGE = 0, 1
 
 
 def band_starts(largest: int) -> np.ndarray:
@@ -120,10 +125,10 @@ def _layout(size: np.ndarray, percent: int) -> tuple[np.ndarray, ...]:
     return owner, tag, parts, groups + extra, extra
 
 
-def signature_count(size: np.ndarray, percent: int) -> int:
-    """How many signatures sets of these sizes have at most."""
-    _, _, parts, groups, _ = _layout(size, percent)
-    return int((groups * np.where(parts > 1, comb(PARTS, SPARE), 1)).sum())
+def signature_count(size: np.ndarray, percent: int) -> np.ndarray:
+    """How many signatures each set of these sizes has at most."""
+    owner, _, parts, groups, _ = _layout(size, percent)
+    return np.bincount(owner, groups * np.where(parts > 1, comb(PARTS, SPARE), 1), len(size)).astype(np.int64)
 
 
 def signatures(
@@ -177,31 +182,95 @@ def signatures(
     return np.concatenate(keys)[kept], np.concatenate(owners)[kept]
 
 
-def widespread(docs: DataFrame, width: int, percent: int) -> tuple[np.ndarray, int]:
-    """The shingles that the most different texts share, in order, and a bound of all signatures."""
+def _read(docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """What is known of the texts before they sign, a few rows for each slice (one scan, written): often
+    used shingles, sizes, copies within the slice, and the keys of its different texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for _, _, part in text.slices(batch["text"], most=MOST_TEXTS):
+            for a, b, part in text.slices(batch["text"], most=MOST_TEXTS):
+                ids = batch["doc_id"].slice(a, b - a).to_numpy(zero_copy_only=False).astype(np.int64)
                 sets, first = shingle_sets(part, width)
+                size = np.diff(first)
                 whole = _sums(text.mix(sets + np.uint64(2)), first)
                 new = np.zeros(len(whole), bool)
                 new[np.unique(whole, return_index=True)[1]] = True  # copies count once
-                ordered = np.sort(sets[np.repeat(new, np.diff(first))])
+                ordered = np.sort(sets[np.repeat(new, size)])
                 at = np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1])) if len(ordered) else np.zeros(0, int)
                 times = np.diff(np.append(at, len(ordered)))
                 often = times >= HOT_IN_SLICE
-                # A shingle of -1 stands for the signatures.
-                shingle = np.append(ordered[at[often]].astype(np.int64), -1)
-                count = np.append(times[often], signature_count(np.diff(first), percent))
-                yield pa.RecordBatch.from_arrays([pa.array(shingle), pa.array(count)], ["shingle", "texts"])
+                yield _noted(_SHINGLE, shingle=ordered[at[often]].astype(np.int64), texts=times[often])
 
-    counts = docs.select("text").mapInArrow(run, "shingle bigint, texts bigint")
-    counts = counts.groupBy("shingle").agg(F.sum("texts").alias("texts"))
-    counts = counts.filter((F.col("shingle") < 0) | (F.col("texts") >= HOT_TEXTS))
-    top = counts.orderBy(F.expr("shingle >= 0"), F.desc("texts"), "shingle").limit(MAX_HOT + 1).toArrow()
-    shingle, count = top["shingle"].to_numpy(), top["texts"].to_numpy()
-    return np.sort(shingle[shingle >= 0]).astype(np.uint64), int(count[shingle < 0].sum())
+                second = _sums(text.mix(sets * np.uint64(0x9E3779B97F4A7C15)), first)
+                key = text.mix(whole + size.astype(np.uint64))
+                full = np.flatnonzero(size > 0)
+                # Copies within the slice: the smallest id stands for all.
+                both = text.mix(key + text.mix(second))
+                order = full[np.lexsort((ids[full], both[full]))]
+                new = np.append(True, both[order][1:] != both[order][:-1]) if len(order) else np.zeros(0, bool)
+                stands = order[new]
+                leader = ids[stands][np.cumsum(new) - 1][~new]
+                copy = ids[order[~new]]
+                order = np.argsort(ids)
+                yield _noted(_DOC, packing.packed(ids[order], size[order]))
+                order = np.argsort(leader)
+                yield _noted(_COPY_IN_SLICE, packing.packed(leader[order], copy[order]))
+                stands = stands[np.argsort(key[stands])]
+                columns = (second[stands].view(np.int64), ids[stands], signature_count(size, percent)[stands])
+                yield _noted(_COPY, packing.packed(key[stands].view(np.int64), *columns))
+
+    return storage.written(docs.mapInArrow(run, "kind tinyint, shingle bigint, texts bigint, body binary"), "texts")
+
+
+def _noted(kind: int, body: bytes | None = None, shingle: np.ndarray | None = None, texts: np.ndarray | None = None) -> pa.RecordBatch:
+    n = 1 if shingle is None else len(shingle)
+    columns = [pa.array(np.full(n, kind, np.int8))]
+    columns += [pa.nulls(n, pa.int64()) if c is None else pa.array(c, pa.int64()) for c in (shingle, texts)]
+    return pa.RecordBatch.from_arrays([*columns, pa.array([body] * n, pa.binary())], ["kind", "shingle", "texts", "body"])
+
+
+def _unpacked(read: DataFrame, kind: int, *names: str) -> DataFrame:
+    """The packed rows of a kind, as columns of these names."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for body in batch["body"]:
+                columns = packing.unpacked(body.as_py(), len(names))
+                yield pa.RecordBatch.from_arrays([pa.array(c.view(np.int64)) for c in columns], list(names))
+
+    packed = read.filter(F.col("kind") == kind).select("body")
+    return packed.mapInArrow(run, ", ".join(f"{name} bigint" for name in names))
+
+
+def _widespread(read: DataFrame) -> np.ndarray:
+    """The shingles that the most different texts share, in order."""
+    counts = read.filter(F.col("kind") == _SHINGLE).groupBy("shingle").agg(F.sum("texts").alias("texts"))
+    top = counts.filter(F.col("texts") >= HOT_TEXTS).orderBy(F.desc("texts"), "shingle").limit(MAX_HOT).toArrow()
+    return np.sort(top["shingle"].to_numpy()).astype(np.uint64)
+
+
+def _copies(read: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Edges from the smallest id of equal sets, first within a slice, and the different sets: ``id``, the
+    smallest of each, and ``signed``, its signatures at most."""
+    found = _unpacked(read, _COPY, "key", "second", "id", "signed")
+    alike = found.groupBy("key", "second").agg(F.min("id").alias("low"), F.max("id").alias("high"), F.max("signed").alias("signed"))
+    alike = storage.written(alike, "alike")
+    again = found.join(alike.filter("low < high").select("key", "second", F.col("low").alias("a")), ["key", "second"])
+    again = again.filter("id != a").select("a", F.col("id").alias("b"))
+    copies = _unpacked(read, _COPY_IN_SLICE, "a", "b").filter("a != b").unionByName(again)
+    return storage.written(copies, "copies"), alike.select(F.col("low").alias("id"), "signed")
+
+
+def _signing(docs: DataFrame, copies: DataFrame, different: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that have to sign: not those whose id is that of copies alone. A bitmap drops
+    those where they are read; the few others that it marks too are found again by a join."""
+    standing = different.select("id").distinct()
+    gone = storage.written(copies.select(F.col("b").alias("id")).distinct().join(standing, "id", "left_anti"), "gone")
+    may_be_gone = marks.marked(gone)
+    missed = storage.written(standing.filter(may_be_gone(F.col("id"))), "missed")
+    may_be_missed = marks.marked(missed)
+    marked = docs.filter(may_be_gone(F.col("doc_id")) & may_be_missed(F.col("doc_id")))
+    return docs.filter(~may_be_gone(F.col("doc_id"))).unionByName(marked.join(missed, F.col("doc_id") == F.col("id"), "left_semi"))
 
 
 def _stars(key: np.ndarray, node: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -233,7 +302,7 @@ def _different(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 _SIGNED = "part int, kind tinyint, body binary"
-_EDGES = "kind tinyint, a bigint, b bigint"
+_EDGES = "a bigint, b bigint"
 
 
 def _rows(names: list[str], *parts: tuple) -> pa.RecordBatch:
@@ -247,103 +316,70 @@ def _ranges(key: np.ndarray, parts: int) -> np.ndarray:
     return ((key >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
 
 
-def _packed(kind: int, key: np.ndarray, columns: tuple, parts: int, bits: int) -> list[tuple]:
-    """Rows of part, kind and body: the keys of each range in order, cut to ``bits``, and their columns."""
+def _packed(kind: int, key: np.ndarray, ids: np.ndarray, parts: int, bits: int) -> list[tuple]:
+    """Rows of part, kind and body: the keys of each range in order, cut to ``bits``, and their ids."""
     order = np.argsort(key)
-    key = key[order]
+    key, ids = key[order], ids[order]
     part = _ranges(key, parts)
     edges = np.flatnonzero(np.append(True, part[1:] != part[:-1])) if len(key) else np.zeros(0, np.int64)
     key = key >> np.uint64(64 - bits)
-    columns = [c[order] for c in columns]
     out = []
     for a, b in zip(edges, np.append(edges[1:], len(key)), strict=True):
-        out.append((int(part[a]), kind, packing.packed(key[a:b].view(np.int64), *(c[a:b] for c in columns))))
+        out.append((int(part[a]), kind, packing.packed(key[a:b].view(np.int64), ids[a:b])))
     return out
 
 
 def _signed(docs: DataFrame, width: int, percent: int, hot, parts: int, bits: int) -> DataFrame:
-    """For each text its size, its key as a whole and its signatures, reduced within a slice."""
+    """The signatures of each text, reduced within a slice."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for a, b, part in text.slices(batch["text"], SIGNED_BYTES, MOST_TEXTS):
                 ids = batch["doc_id"].slice(a, b - a).to_numpy(zero_copy_only=False).astype(np.int64)
-                sets, first = shingle_sets(part, width)
-                size = np.diff(first)
-                whole = _sums(text.mix(sets + np.uint64(2)), first)
-                second = _sums(text.mix(sets * np.uint64(0x9E3779B97F4A7C15)), first)
-                key = text.mix(whole + size.astype(np.uint64))
-                full = np.flatnonzero(size > 0)
-                # Copies within the slice: the smallest id stands for all.
-                both = text.mix(key + text.mix(second))
-                order = full[np.lexsort((ids[full], both[full]))]
-                new = np.append(True, both[order][1:] != both[order][:-1]) if len(order) else np.zeros(0, bool)
-                stands = order[new]
-                leader = ids[stands][np.cumsum(new) - 1][~new]
-                copy = ids[order[~new]]
-                signed, owner = signatures(sets, first, percent, hot.value)
-                held = np.zeros(len(size), bool)
-                held[stands] = True
-                signed, owner = signed[held[owner]], owner[held[owner]]
+                signed, owner = signatures(*shingle_sets(part, width), percent, hot.value)
                 keep, x, y = _stars(signed >> np.uint64(64 - bits), ids[owner])
-                # Sizes and edges found already only pass through, in any one task.
+                # Edges found already only pass through, in any one task.
                 at = int(_ranges(text.mix(ids[:1].astype(np.uint64)), parts)[0])
-                order = np.argsort(ids)
-                rows = [(at, _DOC, packing.packed(ids[order], size[order]))]
-                for kind, low, high in ((-_COPY_IN_SLICE, leader, copy), (-_CANDIDATE, x, y)):
-                    order = np.argsort(low)
-                    rows.append((at, kind, packing.packed(low[order], high[order])))
-                rows += _packed(_COPY, key[stands], (second[stands].view(np.int64), ids[stands]), parts, 64)
-                rows += _packed(_CANDIDATE, signed[keep], (ids[owner][keep],), parts, bits)
+                order = np.argsort(x)
+                rows = [(at, _EDGE, packing.packed(x[order], y[order]))]
+                rows += _packed(_SIGNATURE, signed[keep], ids[owner][keep], parts, bits)
                 columns = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int32(), pa.int8(), pa.binary()), strict=True)]
                 yield pa.RecordBatch.from_arrays(columns, ["part", "kind", "body"])
 
-    return docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")).mapInArrow(run, _SIGNED)
+    return docs.mapInArrow(run, _SIGNED)
 
 
 def _edges(signed: DataFrame, parts: int, tasks: int) -> DataFrame:
-    """Sizes of documents, and a star of edges for each key. A task takes a run of ranges, one range of
-    keys at a time, and gives a pair found in several of them once (``HELD_EDGES`` are held)."""
-
-    def stars(copies: list[bytes], candidates: list[bytes]) -> tuple[tuple, tuple]:
-        none = (np.zeros(0, np.int64),) * 2
-        same, near = none, none
-        if copies:
-            key, second, doc = (np.concatenate(c) for c in zip(*(packing.unpacked(c, 3) for c in copies), strict=True))
-            doc = doc.view(np.int64)
-            order = np.lexsort((doc, second, key))
-            key, second, doc = key[order], second[order], doc[order]
-            new = np.append(True, (key[1:] != key[:-1]) | (second[1:] != second[:-1]))
-            leader = doc[new][np.cumsum(new) - 1]
-            same = _different(leader[~new], doc[~new])
-        if candidates:
-            key, doc = (np.concatenate(c) for c in zip(*(packing.unpacked(c, 2) for c in candidates), strict=True))
-            near = _stars(key, doc.view(np.int64))[1:]
-        return same, near
+    """A star of edges for each key. A task takes a run of ranges, one range of keys at a time, and gives a
+    pair found in several of them once (``HELD_EDGES`` are held)."""
+
+    def stars(candidates: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        if not candidates:
+            return (np.zeros(0, np.int64),) * 2
+        key, doc = (np.concatenate(c) for c in zip(*(packing.unpacked(c, 2) for c in candidates), strict=True))
+        return _stars(key, doc.view(np.int64))[1:]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        copies, candidates, now = [], [], None
+        candidates, now = [], None
         low, high = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        ends = pa.RecordBatch.from_arrays([pa.array([t], k) for t, k in ((-1, pa.int32()), (_DOC, pa.int8()), (b"", pa.binary()))], ["part", "kind", "body"])
+        ends = pa.RecordBatch.from_arrays([pa.array([t], k) for t, k in ((-1, pa.int32()), (_SIGNATURE, pa.int8()), (b"", pa.binary()))], ["part", "kind", "body"])
         for batch in chain(batches, [ends]):  # the last row ends the last range
             for part, kind, body in zip(batch["part"].to_pylist(), batch["kind"].to_pylist(), batch["body"], strict=True):
                 if part != now:
-                    same, near = stars(copies, candidates)
-                    copies, candidates, now = [], [], part
-                    if len(same[0]):
-                        yield _rows(["kind", "a", "b"], (_COPY, *same))
+                    near = stars(candidates)
+                    candidates, now = [], part
                     low, high = _different(np.concatenate([low, near[0]]), np.concatenate([high, near[1]]))
                     if len(low) > HELD_EDGES or part < 0:
-                        yield _rows(["kind", "a", "b"], (_CANDIDATE, low, high))
+                        yield _rows(["a", "b"], (low, high))
                         low, high = low[:0], high[:0]
                 if part < 0:
                     break
-                if kind > _DOC:
-                    (copies if kind == _COPY else candidates).append(body.as_py())
+                if kind == _SIGNATURE:
+                    candidates.append(body.as_py())
                     continue
                 a, b = (c.view(np.int64) for c in packing.unpacked(body.as_py(), 2))
                 if len(a):
-                    yield _rows(["kind", "a", "b"], (-kind, a, b))
+                    yield _rows(["a", "b"], (a, b))
 
     task = F.floor(F.col("part").cast("bigint") * tasks / parts).cast("int")
     return signed.repartitionById(tasks, task).sortWithinPartitions("part").mapInArrow(run, _EDGES)
@@ -518,22 +554,19 @@ def join(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     source = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     known = source.filter("doc_id is not null")
     spark = docs.sparkSession
-    common, count = widespread(known, width, percent)
+    read = _read(known, width, percent)
+    copies, different = _copies(read)
+    count = different.agg(F.sum("signed")).first()[0] or 0
     # At most MAX_HOT numbers are broadcast.
-    hot = spark.sparkContext.broadcast(common)
-    parts = max(-(-count // RANGE_KEYS), int(spark.conf.get("spark.sql.shuffle.partitions")))
+    hot = spark.sparkContext.broadcast(_widespread(read))
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = max(-(-count // RANGE_KEYS), partitions)
     bits = min(count.bit_length() + SPARE_BITS, 64)
-    tasks = max(-(-count // (RANGE_KEYS * TASK_RANGES)), int(spark.conf.get("spark.sql.shuffle.partitions")))
-    edges = storage.written(_edges(_signed(known, width, percent, hot, parts, bits), parts, tasks), "edges")
-    rows = edges.filter(F.col("kind") == _DOC).select(F.col("a").alias("id"), F.col("b").alias("n"))
-    copies = edges.filter(F.col("kind").isin(_COPY, _COPY_IN_SLICE)).select("a", "b")
-    candidates = edges.filter(F.col("kind") == _CANDIDATE).select("a", "b").distinct()
-    # Of copies only a slice's smallest has signed; the smallest of all slices stands for them.
-    alike = edges.filter(F.col("kind") == _COPY).groupBy("b").agg(F.min("a").alias("to"))
-    for end in ("a", "b"):
-        to = alike.select(F.col("b").alias(end), "to")
-        candidates = candidates.join(to, end, "left").withColumn(end, F.coalesce("to", end)).drop("to")
-    candidates = storage.written(candidates.filter("a != b").distinct(), "candidate-edges")
+    tasks = max(-(-count // (RANGE_KEYS * TASK_RANGES)), partitions)
+    signing = _signing(known, copies, different)
+    edges = storage.written(_edges(_signed(signing, width, percent, hot, parts, bits), parts, tasks), "edges")
+    rows = _unpacked(read, _DOC, "id", "n")
+    candidates = storage.written(edges.filter("a != b").distinct(), "candidate-edges")
     clusters = storage.written(graph.components(candidates), "clusters")
     ends = candidates.select(F.col("a").alias("id")).unionAll(candidates.select(F.col("b").alias("id")))
     degree = ends.groupBy("id").agg(F.count(F.lit(1)).alias("degree"))
@@ -563,16 +596,20 @@ def keep_one(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """The rows of ``docs``, all columns, of which one stays of each component: that of the smallest
     id, and of several rows of this id the one of the smallest text hash. Rows without id stay."""
     found = join(docs, width, percent).filter("doc_id is not null")
-    found = found.groupBy("doc_id", "component_id").agg(F.count(F.lit(1)).alias("rows_of_id"))
-    found = found.withColumn("stays", F.col("doc_id") == F.col("component_id"))
-    # Most rows are the only ones of an id that stays: they are in no shuffle.
-    found = storage.written(found.filter("not stays or rows_of_id > 1").select("doc_id", "stays"), "found")
+    found = storage.written(found.groupBy("doc_id", "component_id").agg(F.count(F.lit(1)).alias("rows_of_id")), "found")
     own = docs["doc_id"].cast("bigint")
-    touched = marks.marked(found.select("doc_id"))(own)
-    kept = docs.filter(own.isNull() | ~touched)
-    single = docs.filter(own.isNotNull() & touched).join(found, own == found["doc_id"], "left_anti")
-    repeated = found.filter("stays")
+    may_be_gone = marks.marked(found.filter("doc_id != component_id").select("doc_id"))
+    # Ids that stay, but are marked by chance or have several rows. What is marked as gone and is not marked as
+    # one of these goes where it is read; what is marked as neither stays: most rows are in no shuffle.
+    special = found.filter("doc_id = component_id").select("doc_id", "rows_of_id")
+    special = storage.written(special.filter((F.col("rows_of_id") > 1) | may_be_gone(F.col("doc_id"))), "special")
+    may_be_special = marks.marked(special.select("doc_id"))
+    kept = docs.filter(own.isNull() | ~(may_be_gone(own) | may_be_special(own)))
+    marked = docs.filter(own.isNotNull() & may_be_special(own))
+    same = own == special["doc_id"]
+    loose = marked.filter(~may_be_gone(own)).join(special, same, "left_anti")
+    single = marked.join(special.filter("rows_of_id = 1"), same, "left_semi")
     row = F.struct(*(F.col(f"`{c}`") for c in docs.columns))
-    first = docs.filter(own.isNotNull() & touched).join(repeated, own == repeated["doc_id"], "left_semi")
+    first = marked.join(special.filter("rows_of_id > 1"), same, "left_semi")
     first = first.groupBy(own.alias("of")).agg(F.min_by(row, F.struct(F.xxhash64("text"), "text")).alias("row"))
-    return kept.unionByName(single).unionByName(first.select("row.*"))
+    return kept.unionByName(loose).unionByName(single).unionByName(first.select("row.*"))

@@ -115,3 +115,33 @@ def test_many_short_texts_in_one_batch(spark):
         spark.conf.set(name, before)
     assert len(got) == 20_000 and {r["n_shingles"] for r in got} == {2}
     assert all(r["component_id"] == r["doc_id"] for r in got)
+
+
+def test_copies_of_other_slices_do_not_sign(spark, monkeypatch):
+    """Thirty copies of six texts in ten slices: no edge of a shared signature, and each copy found."""
+    seen, write = {}, partenum.storage.written
+
+    def counted(df, label):
+        table = write(df, label)
+        seen[label] = table.count()
+        return table
+
+    monkeypatch.setattr(partenum.storage, "written", counted)
+    draw = random.Random(9)
+    texts = [" ".join(f"w{draw.randrange(10**6)}" for _ in range(60)) for _ in range(6)]
+    docs = odd.documents(spark, [(i, texts[i % 6]) for i in range(180)]).repartition(10)
+    assert {r["doc_id"]: r["component_id"] for r in partenum.join(docs).collect()} == {i: i % 6 for i in range(180)}
+    assert seen["edges"] == 0
+    assert sorted(r["doc_id"] for r in partenum.keep_one(docs).collect()) == list(range(6))
+
+
+def test_ids_marked_by_chance(spark, monkeypatch):
+    """Bitmaps so small that they mark most ids: nothing is lost, nothing stays twice."""
+    monkeypatch.setattr(partenum.marks, "MAX_BITS", 64)
+    rows = group(40, 60, 4, 4, 0) + group(6, 30, 0, 5, 100) + [(200 + i, f"words of number {i} that stand all alone {i}") for i in range(60)]
+    rows += [(210, "another row of one id"), (210, "another row of one id"), (3, rows[41][1]), (None, rows[0][1]), (300, "")]
+    whole = brute(rows, 5, 80)
+    docs = odd.documents(spark, rows)
+    assert sorted((tuple(r) for r in partenum.join(docs).collect()), key=repr) == whole
+    kept = sorted((r["doc_id"] for r in partenum.keep_one(docs).collect()), key=repr)
+    assert kept == sorted({i for i, _, c in whole if i is not None and i == c} | {None}, key=repr)
