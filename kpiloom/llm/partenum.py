@@ -261,16 +261,14 @@ def _copies(read: DataFrame) -> tuple[DataFrame, DataFrame]:
     return storage.written(copies, "copies"), alike.select(F.col("low").alias("id"), "signed")
 
 
-def _signing(docs: DataFrame, copies: DataFrame, different: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that have to sign: not those whose id is that of copies alone. A bitmap drops
-    those where they are read; the few others that it marks too are found again by a join."""
+def _spared(copies: DataFrame, different: DataFrame) -> tuple:
+    """Two bitmaps: of the ids of copies alone, which need not sign, and of the other ids that the first one
+    marks too. A text marked in the first only has an equal one that signs; a few copies sign as well."""
     standing = different.select("id").distinct()
     gone = storage.written(copies.select(F.col("b").alias("id")).distinct().join(standing, "id", "left_anti"), "gone")
     may_be_gone = marks.marked(gone)
     missed = storage.written(standing.filter(may_be_gone(F.col("id"))), "missed")
-    may_be_missed = marks.marked(missed)
-    marked = docs.filter(may_be_gone(F.col("doc_id")) & may_be_missed(F.col("doc_id")))
-    return docs.filter(~may_be_gone(F.col("doc_id"))).unionByName(marked.join(missed, F.col("doc_id") == F.col("id"), "left_semi"))
+    return marks.bitmap(gone), marks.bitmap(missed, like=gone.count())
 
 
 def _stars(key: np.ndarray, node: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -329,11 +327,15 @@ def _packed(kind: int, key: np.ndarray, ids: np.ndarray, parts: int, bits: int)
     return out
 
 
-def _signed(docs: DataFrame, width: int, percent: int, hot, parts: int, bits: int) -> DataFrame:
-    """The signatures of each text, reduced within a slice."""
+def _signed(docs: DataFrame, spared: tuple, width: int, percent: int, hot, parts: int, bits: int) -> DataFrame:
+    """The signatures of each text that is not ``spared``, reduced within a slice."""
+    (gone_at, gone), (missed_at, missed) = spared
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            # Here and not by a filter before: that would take a second Python worker for each task.
+            signs = ~marks.found(gone.value, batch["gone_at"]) | marks.found(missed.value, batch["missed_at"])
+            batch = batch.filter(pa.array(signs))
             for a, b, part in text.slices(batch["text"], SIGNED_BYTES, MOST_TEXTS):
                 ids = batch["doc_id"].slice(a, b - a).to_numpy(zero_copy_only=False).astype(np.int64)
                 signed, owner = signatures(*shingle_sets(part, width), percent, hot.value)
@@ -346,7 +348,8 @@ def _signed(docs: DataFrame, width: int, percent: int, hot, parts: int, bits: in
                 columns = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int32(), pa.int8(), pa.binary()), strict=True)]
                 yield pa.RecordBatch.from_arrays(columns, ["part", "kind", "body"])
 
-    return docs.mapInArrow(run, _SIGNED)
+    own = F.col("doc_id")
+    return docs.select("doc_id", "text", gone_at(own).alias("gone_at"), missed_at(own).alias("missed_at")).mapInArrow(run, _SIGNED)
 
 
 def _edges(signed: DataFrame, parts: int, tasks: int) -> DataFrame:
@@ -563,8 +566,8 @@ def join(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     parts = max(-(-count // RANGE_KEYS), partitions)
     bits = min(count.bit_length() + SPARE_BITS, 64)
     tasks = max(-(-count // (RANGE_KEYS * TASK_RANGES)), partitions)
-    signing = _signing(known, copies, different)
-    edges = storage.written(_edges(_signed(signing, width, percent, hot, parts, bits), parts, tasks), "edges")
+    signed = _signed(known, _spared(copies, different), width, percent, hot, parts, bits)
+    edges = storage.written(_edges(signed, parts, tasks), "edges")
     rows = _unpacked(read, _DOC, "id", "n")
     candidates = storage.written(edges.filter("a != b").distinct(), "candidate-edges")
     clusters = storage.written(graph.components(candidates), "clusters")
